@@ -50,7 +50,7 @@ def measure_files(
     """
     by_line = written(measure_lines(read_lines(spark, paths)), scratch)
     broken = by_line.where("broken_lines").select(names.decoded("file_uri").alias("p"))
-    broken_paths = [row.p for row in broken.toLocalIterator()]
+    broken_paths = [row.p for row in broken.collect()]
     records = quoted.quoted_records(spark, broken_paths, scratch) if broken_paths else None
     if records is None:
         measured = by_line.withColumn("unclosed", F.lit(False))

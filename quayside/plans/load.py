@@ -162,7 +162,7 @@ class Loader:
         )
         found = {
             row.file_path: row
-            for row in per_file.withColumn("file_path", names.decoded("file_uri")).toLocalIterator()
+            for row in per_file.withColumn("file_path", names.decoded("file_uri")).collect()
         }
         for f in group:
             profile = found.get(f.file_path)
@@ -210,7 +210,7 @@ class Loader:
         with_table = T.StructType([*stored.fields, T.StructField(by_table, T.StringType())])
         # no column is read for this: the row counts stand in the file footers
         counted = self.spark.read.schema(with_table).parquet(folder).groupBy(by_table).count()
-        loaded = {row[0]: row[1] for row in counted.toLocalIterator()}
+        loaded = {row[0]: row[1] for row in counted.collect()}
         for f in group:
             f.rows_loaded = loaded.get(f.table_nm, 0)
             f.location = f"{folder}/{by_table}={f.table_nm}"

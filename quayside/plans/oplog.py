@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,12 +104,15 @@ class OpsStore:
 
 
 class RunLog:
-    """Appends the steps and checks of one run under one run id."""
+    """Collects the steps and checks of one run and appends them, a flush at a time."""
 
     def __init__(self, store: OpsStore, run_id: str, category: str):
         self.store, self.run_id, self.category = store, run_id, category
-        self._event_base = store.next_id("job_events", "event_id")
-        self._audit_base = store.next_id("audit_log", "audit_id")
+        self._next = {
+            "job_events": store.next_id("job_events", "event_id"),
+            "audit_log": store.next_id("audit_log", "audit_id"),
+        }
+        self._pending: dict[str, list[tuple[DataFrame, int]]] = defaultdict(list)
 
     def steps(
         self,
@@ -128,45 +134,58 @@ class RunLog:
         def moment(value: datetime | Column | None) -> Column:
             return (value if isinstance(value, Column) else F.lit(value)).cast("timestamp")
 
-        fields = {
-            "event_id": F.lit(self._event_base) + F.monotonically_increasing_id(),
-            "job_run_id": F.lit(self.run_id),
-            "job_nm": F.lit(v.JOB_NAME),
-            "category": F.lit(self.category),
-            "file_nm": F.col("file_nm"),
-            "step_nm": F.lit(step),
-            "target_object": text(target),
-            "status": F.lit(status) if isinstance(status, str) else status,
-            "row_cnt": (F.lit(None) if row_cnt is None else row_cnt).cast("long"),
-            "error_msg": text(error_msg),
-            "start_ts": moment(started),
-            "end_ts": moment(ended),
-            "created_by": F.current_user(),
-        }
-        self._event_base += ID_STRIDE
-        self.store.append("job_events", _log_parts(files, n_files).select(*_named(fields)))
+        self._add(
+            "job_events",
+            files,
+            n_files,
+            job_run_id=F.lit(self.run_id),
+            job_nm=F.lit(v.JOB_NAME),
+            category=F.lit(self.category),
+            file_nm=F.col("file_nm"),
+            step_nm=F.lit(step),
+            target_object=text(target),
+            status=F.lit(status) if isinstance(status, str) else status,
+            row_cnt=(F.lit(None) if row_cnt is None else row_cnt).cast("long"),
+            error_msg=text(error_msg),
+            start_ts=moment(started),
+            end_ts=moment(ended),
+            created_by=F.current_user(),
+        )
 
     def checks(self, audit: DataFrame, n_rows: int) -> None:
-        fields = {
-            "audit_id": F.lit(self._audit_base) + F.monotonically_increasing_id(),
-            "job_run_id": F.lit(self.run_id),
-            "category": F.lit(self.category),
-            "file_nm": F.col("file_nm"),
-            "check_nm": F.col("check_nm"),
-            "expected_val": F.col("expected_val"),
-            "actual_val": F.col("actual_val"),
-            "check_status": F.col("check_status"),
-            "check_msg": F.col("check_msg"),
-            "checked_at": F.lit(utc_now()).cast("timestamp"),
-        }
-        self._audit_base += ID_STRIDE
-        self.store.append("audit_log", _log_parts(audit, n_rows).select(*_named(fields)))
-
-
-def _named(fields: dict[str, Column]) -> list[Column]:
-    return [column.alias(name) for name, column in fields.items()]
-
-
-def _log_parts(rows: DataFrame, n_rows: int) -> DataFrame:
-    parts = math.ceil(n_rows / ROWS_PER_LOG_PART)
-    return rows.coalesce(max(1, min(MAX_LOG_PARTS, parts)))
+        self._add(
+            "audit_log",
+            audit,
+            n_rows,
+            job_run_id=F.lit(self.run_id),
+            category=F.lit(self.category),
+            file_nm=F.col("file_nm"),
+            check_nm=F.col("check_nm"),
+            expected_val=F.col("expected_val"),
+            actual_val=F.col("actual_val"),
+            check_status=F.col("check_status"),
+            check_msg=F.col("check_msg"),
+            checked_at=F.lit(utc_now()).cast("timestamp"),
+        )
+
+    def _add(self, log: str, rows: DataFrame, n_rows: int, **fields: Column) -> None:
+        named = [column.alias(name) for name, column in fields.items()]
+        self._pending[log].append((rows.select(*named), n_rows))
+
+    def flush(self) -> None:
+        """Append what was collected, each log by one small write, and number the rows."""
+
+        def write(log: str) -> None:
+            frames = self._pending.pop(log)
+            rows = reduce(DataFrame.unionByName, (frame for frame, _ in frames))
+            parts = math.ceil(sum(n for _, n in frames) / ROWS_PER_LOG_PART)
+            number = F.lit(self._next[log]) + F.monotonically_increasing_id()
+            key = "event_id" if log == "job_events" else "audit_id"
+            numbered = rows.coalesce(max(1, min(MAX_LOG_PARTS, parts))).select(
+                number.alias(key), "*"
+            )
+            self._next[log] += ID_STRIDE
+            self.store.append(log, numbered)
+
+        with ThreadPoolExecutor(2) as pool:
+            list(pool.map(write, list(self._pending)))

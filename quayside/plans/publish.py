@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from quayside.config import IntakeConfig
 from quayside.operators.latest import latest_tables
 from quayside.plans.oplog import TABLE_SCHEMA, VIEW_SCHEMA, OpsStore, utc_now
+from quayside.session import local_frame
 from quayside.sources import hadoop
 from quayside.sources.catalog import base_tables, list_catalog
 
@@ -36,7 +37,7 @@ class Publisher:
         newest = F.max_by(F.struct("location", "schema_json"), "registered_at").alias("t")
         known = store.read("table_registry").where(F.col("table_schema") == category)
         self._known = {
-            row.table_nm: row.t for row in known.groupBy("table_nm").agg(newest).toLocalIterator()
+            row.table_nm: row.t for row in known.groupBy("table_nm").agg(newest).collect()
         }
 
     def rehydrate(self) -> None:
@@ -48,7 +49,7 @@ class Publisher:
                 schema = T.StructType.fromJson(json.loads(known.schema_json))
                 self._create_table(table_nm, known.location, schema)
         views = {t.name.upper() for t in self.spark.catalog.listTables(self.view_schema)}
-        for row in self.store.current_view_source(self.category).toLocalIterator():
+        for row in self.store.current_view_source(self.category).collect():
             if row.view_nm not in views:
                 self._create_view(row.view_nm, row.points_to)
 
@@ -84,17 +85,17 @@ class Publisher:
     def latest(self) -> dict[str, str]:
         """Newest dated table per base name in the catalog."""
         tables = base_tables(list_catalog(self.spark, self.category))
-        return {row.base_nm: row.latest_table for row in latest_tables(tables).toLocalIterator()}
+        return {row.base_nm: row.latest_table for row in latest_tables(tables).collect()}
 
     def remember(self) -> None:
         """Write this run's tables and views to the registries, then drop replaced data."""
         if self._tables:
             self.store.append(
-                "table_registry", self.spark.createDataFrame(self._tables, TABLE_SCHEMA).coalesce(1)
+                "table_registry", local_frame(self.spark, self._tables, TABLE_SCHEMA).coalesce(1)
             )
         if self._views:
             self.store.append(
-                "view_registry", self.spark.createDataFrame(self._views, VIEW_SCHEMA).coalesce(1)
+                "view_registry", local_frame(self.spark, self._views, VIEW_SCHEMA).coalesce(1)
             )
         current = {row[1]: row[2] for row in self._tables}
         replaced = [row[2] for row in self._tables if row[2] != current[row[1]]]

@@ -16,7 +16,7 @@ from quayside.operators import checks, measure
 from quayside.plans.load import FileLoad, Loader
 from quayside.plans.oplog import OpsStore, RunLog, utc_now
 from quayside.plans.publish import Publisher, archive_file
-from quayside.session import new_folder, written
+from quayside.session import local_frame, new_folder, written
 from quayside.sources import hadoop, quoted
 from quayside.sources.folder import list_folder, waiting_files
 from quayside.sources.manifest import read_manifest
@@ -40,7 +40,6 @@ STEPS = (
 class Outcome:
     """What became of one file, for the counters of the run."""
 
-    file_nm: str
     listed: bool = True
     loaded: bool = False
     failed: bool = False
@@ -120,33 +119,32 @@ class Intake:
             left = v.MSG_LEFT_IN_FOLDER.format(folder=self.folder)
             self._close_validation(verdicts, n_files, left)
             outcomes = {
-                row.relative_path: Outcome(
-                    row.file_nm,
+                row.file_path: Outcome(
                     listed=row.n_listed > 0,
                     failed=row.n_listed > 0 and (row.n_failed > 0 or row.error is not None),
                 )
                 for row in verdicts.select(
-                    "relative_path", "file_nm", "n_listed", "n_failed", "error"
-                ).toLocalIterator()
+                    "file_path", "n_listed", "n_failed", "error"
+                ).collect()
             }
             loads = self._load(verdicts, records)
             published = self._publish(loads)
             archived = self._archive(published)
             for f in loads:
-                outcome = outcomes[f"{self.folder}{f.file_nm}"]
-                outcome.loaded = f.file_nm in archived
+                outcome = outcomes[f.file_path]
+                outcome.loaded = f.file_path in archived
                 outcome.failed = not outcome.loaded
         missing = self._report_missing(manifest, files)
         return self._folder_result(list(outcomes.values()), missing)
 
     def _folder_result(self, outcomes: list[Outcome], missing: DataFrame) -> DataFrame:
         rows = [(o.listed, o.loaded, o.failed) for o in outcomes]
-        frame = self.spark.createDataFrame(rows, "listed boolean, loaded boolean, failed boolean")
+        frame = local_frame(self.spark, rows, "listed boolean, loaded boolean, failed boolean")
         counters = checks.run_summary(frame, missing)
         row = counters.select(
             F.lit(self.run_id).alias("job_run_id"), F.lit(self.category).alias("category"), "*"
         ).first()
-        return self.spark.createDataFrame([tuple(row)], FOLDER_RESULT)
+        return local_frame(self.spark, [tuple(row)], FOLDER_RESULT)
 
     def _report_missing(self, manifest: DataFrame, files: DataFrame) -> DataFrame:
         only = self.category if self.cfg.history_by_category else None
@@ -160,6 +158,7 @@ class Intake:
             self.log.steps(
                 missing, n_missing, v.FILE_MISSING, v.FAILED, now, error_msg=message, ended=now
             )
+        self.log.flush()
         return missing
 
     # -- driven by the manifest
@@ -192,10 +191,11 @@ class Intake:
             self.log.checks(audit, 3 * n_files)
             self._close_validation(verdicts, n_files, v.MSG_VALIDATION_FAILED)
             published = self._publish(self._load(verdicts, records))
-            served = self.spark.createDataFrame([(f.file_nm,) for f in published], "file_nm string")
+            self.log.flush()
+            served = local_frame(self.spark, [(f.file_nm,) for f in published], "file_nm string")
             n_loaded = _passed(verdicts).join(served, "file_nm", "left_semi").count()
         result = (self.run_id, self.category, n_loaded, n_files - n_loaded)
-        return self.spark.createDataFrame([result], MANIFEST_RESULT)
+        return local_frame(self.spark, [result], MANIFEST_RESULT)
 
     # -- steps both share
 
@@ -212,28 +212,29 @@ class Intake:
         self.log.steps(
             files, n_files, v.VALIDATION, v.RUNNING, self.opened, target=self._table_label()
         )
+        self.log.flush()
         in_place = F.col("relative_path") == F.concat(F.lit(self.folder), F.col("file_nm"))
         paths = [
             row.file_path
             for row in files.where(present & in_place)
             .select("file_path")
             .distinct()
-            .toLocalIterator()
+            .collect()
         ]
         measures, records, errors = self._measure(paths)
-        unread = self.spark.createDataFrame(list(errors.items()), "file_path string, error string")
+        unread = local_frame(self.spark, list(errors.items()), "file_path string, error string")
         judged = checks.verdict(measure.with_measures(files, measures), present)
         return self._kept(judged.join(unread, "file_path", "left")), records
 
     def _measure(self, paths: list[str]):
         """Measure all files in one job; if that fails, find the files that cannot be read."""
         if not paths:
-            return self.spark.createDataFrame([], measure.MEASURES), None, {}
+            return local_frame(self.spark, [], measure.MEASURES), None, {}
         try:
             return *measure.measure_files(self.spark, paths, self.scratch), {}
         except Exception as error:
             if len(paths) <= 1:
-                nothing = self.spark.createDataFrame([], measure.MEASURES)
+                nothing = local_frame(self.spark, [], measure.MEASURES)
                 return nothing, None, {path: _cut(error) for path in paths}
         errors = self._unreadable(paths)
         readable = [path for path in paths if path not in errors]
@@ -283,17 +284,19 @@ class Intake:
                 bool(row.unclosed),
                 None if row.exp_rows is None else int(row.exp_rows),
             )
-            for row in _passed(verdicts).toLocalIterator()
+            for row in _passed(verdicts).collect()
         }
         loads = sorted(by_path.values(), key=lambda f: f.file_nm)
         if not loads:
+            self.log.flush()
             return loads
         opened = utc_now()
         self.newest = self.publisher.latest()
-        frame = self.spark.createDataFrame([(f.file_nm,) for f in loads], "file_nm string")
+        frame = local_frame(self.spark, [(f.file_nm,) for f in loads], "file_nm string")
         self.log.steps(
             frame, len(loads), v.TABLE_LOAD, v.RUNNING, opened, target=self._table_label()
         )
+        self.log.flush()
         Loader(self.spark, self.cfg, self.category, self.run_id, records).load(loads)
         for f in loads:
             if f.error is None and (f.rows_loaded == f.exp_rows or not self.cfg.strict_rows_loaded):
@@ -302,7 +305,8 @@ class Intake:
                 except Exception as error:
                     f.fail(error)
 
-        done = self.spark.createDataFrame(
+        done = local_frame(
+            self.spark,
             [
                 (
                     f.file_nm,
@@ -345,12 +349,15 @@ class Intake:
             if f.error is None and (f.rows_loaded == f.exp_rows or not self.cfg.strict_rows_loaded)
         ]
         if not ready:
+            self.log.flush()
             return []
         opened = utc_now()
-        frame = self.spark.createDataFrame(
+        frame = local_frame(
+            self.spark,
             [(f.file_nm, self._view_label(f)) for f in ready], "file_nm string, target string"
         )
         self.log.steps(frame, len(ready), v.VIEW_REFRESH, v.RUNNING, opened, target=F.col("target"))
+        self.log.flush()
 
         newest, shown = self.newest, {}
         for f in ready:
@@ -382,14 +389,15 @@ class Intake:
         return self.cfg.table_label(f"{self.category}_VW", base)
 
     def _archive(self, published: list[FileLoad]) -> set[str]:
-        """Move the published files to the history folder; returns those that moved."""
+        """Move the published files to the history folder; returns the paths that moved."""
         if not published:
             return set()
         opened = utc_now()
         history = self.cfg.history(self.category)
-        frame = self.spark.createDataFrame([(f.file_nm,) for f in published], "file_nm string")
+        frame = local_frame(self.spark, [(f.file_nm,) for f in published], "file_nm string")
         target = F.concat(F.lit(history), F.col("file_nm"))
         self.log.steps(frame, len(published), v.ARCHIVE, v.RUNNING, opened, target=target)
+        self.log.flush()
 
         def move(f: FileLoad) -> tuple:
             try:
@@ -402,11 +410,11 @@ class Intake:
         with ThreadPoolExecutor(self.cfg.max_parallel_loads) as pool:
             rows = list(pool.map(move, published))
         self._close_steps(v.ARCHIVE, rows)
-        return {row[0] for row in rows if row[2] == v.SUCCESS}
+        return {f.file_path for f, row in zip(published, rows) if row[2] == v.SUCCESS}
 
     def _close_steps(self, step: str, rows: list[tuple]) -> None:
         self.log.steps(
-            self.spark.createDataFrame(rows, STEPS),
+            local_frame(self.spark, rows, STEPS),
             len(rows),
             step,
             F.col("status"),

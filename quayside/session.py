@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def local_session(cores: int | str = "*", app: str = "quayside", **conf: str) -> SparkSession:
@@ -54,3 +57,24 @@ def written(df: DataFrame, folder: str) -> DataFrame:
     path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_ARROW = {
+    "string": pa.string(),
+    "bigint": pa.int64(),
+    "int": pa.int32(),
+    "boolean": pa.bool_(),
+    "timestamp": pa.timestamp("us", "UTC"),
+}
+
+
+def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A frame of a few driver rows, without starting Python workers for it."""
+    fields = T.StructType.fromDDL(schema).fields
+    columns = zip(*rows) if rows else ([] for _ in fields)
+    arrays = [
+        pa.array(list(values), _ARROW[f.dataType.simpleString()])
+        for f, values in zip(fields, columns)
+    ]
+    table = pa.Table.from_arrays(arrays, names=[f.name for f in fields])
+    return spark.createDataFrame(table, schema)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quayside.session import local_frame
+
 CATALOG = "table_schema string, table_nm string, table_type string, comment string"
 VIEW_TYPES = ("VIEW", "TEMPORARY")
 
@@ -17,7 +19,7 @@ def list_catalog(spark: SparkSession, database: str) -> DataFrame:
             for t in spark.catalog.listTables(database)
             if not t.isTemporary
         ]
-    return spark.createDataFrame(rows, CATALOG)
+    return local_frame(spark, rows, CATALOG)
 
 
 def base_tables(catalog: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions import names
+from quayside.session import local_frame
 from quayside.sources.hadoop import glob_safe
 
 # Comma-separated, one header line, optional double quotes, spaces
@@ -41,7 +42,7 @@ def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     ``line_id`` grows along a split, and the split at offset 0 starts a file.
     """
     if not paths:
-        return spark.createDataFrame([], LINES)
+        return local_frame(spark, [], LINES)
     return _with_position(spark.read.text([glob_safe(p) for p in paths]))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions import names
+from quayside.session import local_frame
 from quayside.sources import hadoop
 
 LISTING = "relative_path string, size long, last_modified timestamp, file_path string"
@@ -26,7 +27,7 @@ def list_folder(
         (path, size, datetime.fromtimestamp(ms / 1000, timezone.utc), f"{base}/{path}")
         for path, size, ms in hadoop.walk(spark, root, below, skip)
     ]
-    return spark.createDataFrame(rows, LISTING)
+    return local_frame(spark, rows, LISTING)
 
 
 def waiting_files(

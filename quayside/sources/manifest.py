@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions import names, values
+from quayside.session import local_frame
 from quayside.sources import hadoop
 from quayside.sources.files import CSV_FORMAT
 
@@ -26,7 +27,7 @@ def parse_manifest(raw: DataFrame) -> DataFrame:
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """One manifest by position; a manifest that is not there lists nothing."""
     if not hadoop.exists(spark, path):
-        return parse_manifest(spark.createDataFrame([], RAW_MANIFEST))
+        return parse_manifest(local_frame(spark, [], RAW_MANIFEST))
     raw = spark.read.schema(RAW_MANIFEST).options(header="true", **CSV_FORMAT)
     return parse_manifest(raw.csv(hadoop.glob_safe(path)))
 
