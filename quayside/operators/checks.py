@@ -149,7 +149,7 @@ def loaded_before(job_events: DataFrame, category: str | None = None) -> DataFra
     done = (F.col("step_nm") == v.TABLE_LOAD) & (F.col("status") == v.SUCCESS)
     if category is not None:
         done = done & (F.col("category") == category)
-    return job_events.where(done).select(file_key("file_nm").alias("file_key"))
+    return job_events.where(done).select(file_key("file_nm").alias("file_key")).distinct()
 
 
 def missing_files(manifest: DataFrame, files: DataFrame, loaded: DataFrame) -> DataFrame:

@@ -36,14 +36,16 @@ def _with_position(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def read_lines(
+    spark: SparkSession, paths: Sequence[str], line_sep: str | None = None
+) -> DataFrame:
     """Physical lines of files, with file, split offset and an id that keeps line order.
 
     ``line_id`` grows along a split, and the split at offset 0 starts a file.
     """
     if not paths:
         return local_frame(spark, [], LINES)
-    return _with_position(spark.read.text([glob_safe(p) for p in paths]))
+    return _with_position(spark.read.text([glob_safe(p) for p in paths], lineSep=line_sep))
 
 
 def scan_matching(spark: SparkSession, root: str, path_pattern: str) -> DataFrame:

@@ -25,6 +25,11 @@ def delete(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes below a path."""
+    return _fs(spark, path).getContentSummary(_path(spark, path)).getLength()
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     return _fs(spark, path).makeQualified(_path(spark, path)).toString()
 

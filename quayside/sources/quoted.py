@@ -147,8 +147,11 @@ def split_states(numbered: DataFrame) -> DataFrame:
 
 
 def quoted_records(spark: SparkSession, paths: Sequence[str], scratch: str) -> QuotedRecords:
-    """Number the lines of files and keep them, as the numbering holds for these splits only."""
-    numbered = written(number_lines(read_lines(spark, paths)), scratch)
+    """Number the lines of files and keep them, as the numbering holds for these splits only.
+
+    Lines end at a line feed alone, so a carriage return inside a field stays in it.
+    """
+    numbered = written(number_lines(read_lines(spark, paths, line_sep="\n")), scratch)
     return QuotedRecords(numbered, written(split_states(numbered), scratch))
 
 
@@ -187,7 +190,8 @@ def record_texts(quoted: QuotedRecords) -> DataFrame:
     joined = parts.groupBy("file_uri", "record_no").agg(
         F.array_join(F.transform(pieces, lambda piece: piece["line"]), "\n").alias("record")
     )
-    return whole.select("file_uri", "record_no", F.col("line").alias("record")).unionByName(joined)
+    records = whole.select("file_uri", "record_no", F.col("line").alias("record"))
+    return records.unionByName(joined).withColumn("record", F.regexp_replace("record", "\r$", ""))
 
 
 def parse_records(records: DataFrame, types: list[str], mode: str) -> DataFrame:
@@ -195,6 +199,6 @@ def parse_records(records: DataFrame, types: list[str], mode: str) -> DataFrame:
     schema = ", ".join(f"c{i} {t}" for i, t in enumerate(types))
     if mode == "PERMISSIVE":
         schema += ", _corrupt_record string"
-    fields = F.from_csv("record", schema, {**CSV_FORMAT, "mode": mode}).alias("fields")
+    fields = F.from_csv("record", schema, {**CSV_FORMAT, "multiLine": "true", "mode": mode}).alias("fields")
     data = records.where(F.col("record_no") > 1).select("file_uri", fields)
     return data.select("fields.*", "file_uri")
