@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The literal forms a column type is inferred from.
+# The literal forms a column type is inferred from. Whole numbers have up
+# to 38 digits; dates are yyyy-MM-dd.
 WHOLE = r"^[+-]?[0-9]{1,38}$"
-DECIMAL = r"^[+-]?([0-9]{1,38}[.][0-9]{0,37}|[.][0-9]{1,37})$"
+DECIMAL = r"^[+-]?([0-9]+[.][0-9]*|[.][0-9]+)$"
 SCIENTIFIC = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)[eE][+-]?[0-9]{1,3}$"
-DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?$"
+MAX_WHOLE_DIGITS = 38
+DATE_LENGTH, TIMESTAMP_LENGTH = 10, 19
 
 # One bit per kind, so that "all kinds seen in a column" is a bitwise or.
 KIND_WHOLE = 1
@@ -33,26 +35,49 @@ def seconds_between(start: Column | str, end: Column | str) -> Column:
     )
 
 
+def _signed(value: Column) -> Column:
+    """Of values that look like numbers: is there a sign in front?"""
+    return value < "."
+
+
 def kind(value: Column | str) -> Column:
-    """Kind bit of a text value; NULL for NULL."""
+    """Kind bit of a text value; NULL for NULL.
+
+    This runs once per value of every file, so lengths and positions come first and a
+    pattern is tried only where they leave the kind open. Casts that throw on bad input
+    are kept away from it.
+    """
     value = F.col(value) if isinstance(value, str) else value
-    starts_like_number = value.rlike("^[0-9+.-]")
+    like_number = (value >= "+") & (value < ":")
+    length, point = F.octet_length(value), F.instr(value, ".")
+    unsigned_digits = (length <= MAX_WHOLE_DIGITS) & ~value.rlike("[^0-9]")
+    like_date = (length == DATE_LENGTH) & (F.instr(value, "-") == 5)
+    like_time = (length >= TIMESTAMP_LENGTH) & (F.instr(value, "-") == 5)
     return (
         F.when(value.isNull(), F.lit(None).cast("int"))
-        .when(~starts_like_number, KIND_TEXT)
-        .when(value.rlike(WHOLE), KIND_WHOLE)
-        .when(value.rlike(DECIMAL), KIND_DECIMAL)
-        .when(value.rlike(DATE) & value.try_cast("date").isNotNull(), KIND_DATE)
-        .when(value.rlike(TIMESTAMP) & value.try_cast("timestamp_ntz").isNotNull(), KIND_TIMESTAMP)
+        .when(~like_number, KIND_TEXT)
+        .when(like_date & (value.try_cast("date").cast("string") == value), KIND_DATE)
+        .when(like_time & value.rlike(TIMESTAMP), _timestamp_or_text(value))
+        .when((point > 0) & value.rlike(DECIMAL), KIND_DECIMAL)
+        .when(~_signed(value) & unsigned_digits, KIND_WHOLE)
+        .when(_signed(value) & value.rlike(WHOLE), KIND_WHOLE)
         .when(value.rlike(SCIENTIFIC), KIND_SCIENTIFIC)
         .otherwise(KIND_TEXT)
     )
 
 
+def _timestamp_or_text(value: Column) -> Column:
+    return F.when(value.try_cast("timestamp_ntz").isNotNull(), KIND_TIMESTAMP).otherwise(KIND_TEXT)
+
+
 def whole_digits(value: Column | str) -> Column:
-    """Digits before the decimal point, sign not counted."""
-    return F.length(F.split_part(F.ltrim(value, F.lit("+-")), F.lit("."), F.lit(1)))
+    """Digits before the decimal point of a number, sign not counted."""
+    value = F.col(value) if isinstance(value, str) else value
+    point = F.instr(value, ".")
+    end = F.when(point > 0, point - 1).otherwise(F.octet_length(value))
+    return end - F.when(_signed(value), 1).otherwise(0)
 
 
 def scale_digits(value: Column | str) -> Column:
-    return F.length(F.split_part(value, F.lit("."), F.lit(2)))
+    """Digits after the decimal point of a number that has one."""
+    return F.octet_length(value) - F.instr(value, ".")

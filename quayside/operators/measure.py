@@ -27,7 +27,7 @@ def measure_lines(lines: DataFrame) -> DataFrame:
     at_top = F.when(F.col("block_start") == 0, F.col("line_id"))
     blank = text.is_blank("line")
     measured = lines.groupBy("file_uri").agg(
-        F.min_by(text.column_count("line"), at_top).alias("act_cols"),
+        F.min_by(F.when(at_top.isNotNull(), text.column_count("line")), at_top).alias("act_cols"),
         F.count_if(~blank).alias("n_lines"),
         F.min_by(F.xxhash64("line"), F.when(~blank, at_top)).alias("header_key"),
         F.max(text.open_after("line")).alias("broken_lines"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import csv
 from collections import defaultdict
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -20,7 +20,7 @@ from quayside.functions import names, text
 from quayside.operators.lineage import lineage_clash, with_lineage
 from quayside.operators.profile import column_type, column_values, profile_values
 from quayside.plans.oplog import utc_now
-from quayside.sources import quoted
+from quayside.sources import hadoop, quoted
 from quayside.sources.files import read_lines, read_records, text_schema
 
 
@@ -84,7 +84,7 @@ class Loader:
         with ThreadPoolExecutor(self.cfg.max_parallel_loads) as pool:
             self._each(pool, _alive(files), self._header_group, self._read_header)
             self._each(pool, _alive(files), self._header_group, self._profile)
-            for wave in self._waves(_alive(files)):
+            for wave in waves(_alive(files)):
                 self._each(pool, wave, self._batch, self._write)
 
     def _each(
@@ -118,14 +118,6 @@ class Loader:
         alone = f.file_path if f.size >= self.cfg.solo_bytes else None
         return self._header_group(f), tuple(f.types), alone
 
-    def _waves(self, files: list[FileLoad]) -> Iterable[list[FileLoad]]:
-        """Files of one table name are loaded one after another: the last one stays."""
-        seen, waves = defaultdict(int), defaultdict(list)
-        for f in sorted(files, key=lambda f: f.file_nm):
-            waves[seen[f.table_nm.upper()]].append(f)
-            seen[f.table_nm.upper()] += 1
-        return waves.values()
-
     def _records_of(self, group: list[FileLoad]) -> DataFrame:
         paths = [f.file_path for f in group]
         return self.records.where(names.decoded("file_uri").isin(paths))
@@ -214,10 +206,21 @@ class Loader:
         for f in group:
             f.rows_loaded = loaded.get(f.table_nm, 0)
             f.location = f"{folder}/{by_table}={f.table_nm}"
+            if f.rows_loaded == 0:
+                hadoop.make_folder(self.spark, f.location)
             f.schema = stored
             f.ended = utc_now()
 
 
+def waves(files: list[FileLoad]) -> list[list[FileLoad]]:
+    """Files in name order, those of one table name in different waves."""
+    seen, found = defaultdict(int), defaultdict(list)
+    for f in sorted(files, key=lambda f: f.file_nm):
+        found[seen[f.table_nm.upper()]].append(f)
+        seen[f.table_nm.upper()] += 1
+    return list(found.values())
+
+
 def _alive(files: list[FileLoad]) -> list[FileLoad]:
     return [f for f in files if f.error is None]
 

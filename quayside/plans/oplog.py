@@ -33,6 +33,8 @@ FOLDERS = {
     "table_registry": TABLE_SCHEMA,
 }
 
+LOG_KEYS = {"job_events": "event_id", "audit_log": "audit_id"}
+
 # A log append is spread over at most 64 tasks, so ids of one append stay below this.
 MAX_LOG_PARTS = 64
 ROWS_PER_LOG_PART = 100_000
@@ -108,10 +110,7 @@ class RunLog:
 
     def __init__(self, store: OpsStore, run_id: str, category: str):
         self.store, self.run_id, self.category = store, run_id, category
-        self._next = {
-            "job_events": store.next_id("job_events", "event_id"),
-            "audit_log": store.next_id("audit_log", "audit_id"),
-        }
+        self._next = {log: store.next_id(log, key) for log, key in LOG_KEYS.items()}
         self._pending: dict[str, list[tuple[DataFrame, int]]] = defaultdict(list)
 
     def steps(
@@ -180,9 +179,8 @@ class RunLog:
             rows = reduce(DataFrame.unionByName, (frame for frame, _ in frames))
             parts = math.ceil(sum(n for _, n in frames) / ROWS_PER_LOG_PART)
             number = F.lit(self._next[log]) + F.monotonically_increasing_id()
-            key = "event_id" if log == "job_events" else "audit_id"
             numbered = rows.coalesce(max(1, min(MAX_LOG_PARTS, parts))).select(
-                number.alias(key), "*"
+                number.alias(LOG_KEYS[log]), "*"
             )
             self._next[log] += ID_STRIDE
             self.store.append(log, numbered)

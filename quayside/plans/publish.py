@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import SparkSession
@@ -32,6 +33,7 @@ class Publisher:
     def __init__(self, spark: SparkSession, cfg: IntakeConfig, store: OpsStore, category: str):
         self.spark, self.cfg, self.store, self.category = spark, cfg, store, category
         self.view_schema = f"{category}_VW"
+        self._there: set[str] = set()
         self._tables: list[tuple] = []
         self._views: list[tuple] = []
         newest = F.max_by(F.struct("location", "schema_json"), "registered_at").alias("t")
@@ -43,9 +45,9 @@ class Publisher:
     def rehydrate(self) -> None:
         """Bring back tables and views that the catalog of this session does not have."""
         ensure_databases(self.spark, self.category)
-        there = {t.name.upper() for t in self.spark.catalog.listTables(self.category)}
+        self._there = {t.name.upper() for t in self.spark.catalog.listTables(self.category)}
         for table_nm, known in self._known.items():
-            if table_nm not in there:
+            if table_nm not in self._there:
                 schema = T.StructType.fromJson(json.loads(known.schema_json))
                 self._create_table(table_nm, known.location, schema)
         views = {t.name.upper() for t in self.spark.catalog.listTables(self.view_schema)}
@@ -60,6 +62,7 @@ class Publisher:
             source="parquet",
             schema=schema,
         )
+        self._there.add(table_nm)
 
     def _create_view(self, view_nm: str, points_to: str) -> None:
         target = points_to.rsplit(".", 1)[1]
@@ -72,8 +75,8 @@ class Publisher:
     def put_table(self, table_nm: str, location: str, schema: T.StructType) -> None:
         """Make a freshly written folder the dated table, replacing an earlier load of it."""
         name = table_nm.upper()
-        hadoop.make_folder(self.spark, location)
-        self.spark.sql(f"DROP TABLE IF EXISTS {_quoted(self.category)}.{_quoted(name)}")
+        if name in self._there:
+            self.spark.sql(f"DROP TABLE IF EXISTS {_quoted(self.category)}.{_quoted(name)}")
         self._create_table(name, location, schema)
         self._tables.append((self.category, name, location, json.dumps(schema.jsonValue()), utc_now()))
 
@@ -89,14 +92,20 @@ class Publisher:
 
     def remember(self) -> None:
         """Write this run's tables and views to the registries, then drop replaced data."""
-        if self._tables:
-            self.store.append(
-                "table_registry", local_frame(self.spark, self._tables, TABLE_SCHEMA).coalesce(1)
-            )
-        if self._views:
-            self.store.append(
-                "view_registry", local_frame(self.spark, self._views, VIEW_SCHEMA).coalesce(1)
-            )
+        new = [
+            ("table_registry", self._tables, TABLE_SCHEMA),
+            ("view_registry", self._views, VIEW_SCHEMA),
+        ]
+        with ThreadPoolExecutor(2) as pool:
+            done = [
+                pool.submit(
+                    self.store.append, name, local_frame(self.spark, rows, schema).coalesce(1)
+                )
+                for name, rows, schema in new
+                if rows
+            ]
+        for write in done:
+            write.result()
         current = {row[1]: row[2] for row in self._tables}
         replaced = [row[2] for row in self._tables if row[2] != current[row[1]]]
         replaced += [self._known[name].location for name in current if name in self._known]

@@ -6,14 +6,14 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quayside import vocabulary as v
 from quayside.config import IntakeConfig
 from quayside.functions import names
 from quayside.operators import checks, measure
-from quayside.plans.load import FileLoad, Loader
+from quayside.plans.load import FileLoad, Loader, waves
 from quayside.plans.oplog import OpsStore, RunLog, utc_now
 from quayside.plans.publish import Publisher, archive_file
 from quayside.session import local_frame, new_folder, written
@@ -70,9 +70,11 @@ class Intake:
         self.run_id = str(uuid.uuid4())
         self.store = OpsStore(spark, cfg)
         self.store.ensure()
-        self.publisher = Publisher(spark, cfg, self.store, category)
-        self.publisher.rehydrate()
-        self.log = RunLog(self.store, self.run_id, category)
+        with ThreadPoolExecutor(2) as pool:
+            opened = pool.submit(RunLog, self.store, self.run_id, category)
+            self.publisher = Publisher(spark, cfg, self.store, category)
+            self.publisher.rehydrate()
+            self.log = opened.result()
         self.scratch = new_folder(spark, "intake")
 
     def run(self) -> DataFrame:
@@ -103,10 +105,12 @@ class Intake:
             listing, self.folder, self.cfg.history(self.category), self.cfg.manifest_prefix
         )
         files = self._kept(checks.look_up(waiting, checks.manifest_lookup(manifest)))
-        n_files = files.count()
-        outcomes: dict[str, Outcome] = {}
+        found = files.select("file_nm", "relative_path", "file_path", "n_listed").collect()
+        n_files = len(found)
+        outcomes = {row.file_path: Outcome(listed=row.n_listed > 0) for row in found}
         if n_files:
-            verdicts, records = self._validate(files, n_files, checks.listed())
+            paths = [r.file_path for r in found if r.n_listed > 0 and self._in_place(r)]
+            verdicts, records = self._validate(files, n_files, paths, checks.listed())
             manifest_name = self.cfg.manifest_name(self.category)
             audit = (
                 checks.in_manifest_check(verdicts, manifest_name)
@@ -118,48 +122,41 @@ class Intake:
             self.log.checks(audit, 3 * n_files)
             left = v.MSG_LEFT_IN_FOLDER.format(folder=self.folder)
             self._close_validation(verdicts, n_files, left)
-            outcomes = {
-                row.file_path: Outcome(
-                    listed=row.n_listed > 0,
-                    failed=row.n_listed > 0 and (row.n_failed > 0 or row.error is not None),
-                )
-                for row in verdicts.select(
-                    "file_path", "n_listed", "n_failed", "error"
-                ).collect()
-            }
             loads = self._load(verdicts, records)
             published = self._publish(loads)
             archived = self._archive(published)
-            for f in loads:
-                outcome = outcomes[f.file_path]
-                outcome.loaded = f.file_path in archived
-                outcome.failed = not outcome.loaded
-        missing = self._report_missing(manifest, files)
-        return self._folder_result(list(outcomes.values()), missing)
-
-    def _folder_result(self, outcomes: list[Outcome], missing: DataFrame) -> DataFrame:
-        rows = [(o.listed, o.loaded, o.failed) for o in outcomes]
-        frame = local_frame(self.spark, rows, "listed boolean, loaded boolean, failed boolean")
-        counters = checks.run_summary(frame, missing)
-        row = counters.select(
-            F.lit(self.run_id).alias("job_run_id"), F.lit(self.category).alias("category"), "*"
-        ).first()
-        return local_frame(self.spark, [tuple(row)], FOLDER_RESULT)
-
-    def _report_missing(self, manifest: DataFrame, files: DataFrame) -> DataFrame:
+            for path, outcome in outcomes.items():
+                outcome.loaded = path in archived
+                outcome.failed = outcome.listed and not outcome.loaded
+        return self._report(manifest, files, list(outcomes.values()))
+
+    def _report(
+        self, manifest: DataFrame, files: DataFrame, outcomes: list[Outcome]
+    ) -> DataFrame:
+        """Log the missing files and return the counters of the run."""
         only = self.category if self.cfg.history_by_category else None
         history = checks.loaded_before(self.store.job_events(), only)
-        missing = self._kept(checks.missing_files(manifest, files, history))
-        n_missing = missing.count()
-        if n_missing:
-            self.log.checks(checks.missing_audit(missing, self.folder), n_missing)
+        missing = checks.missing_files(manifest, files, history)
+        frame = local_frame(
+            self.spark,
+            [(o.listed, o.loaded, o.failed) for o in outcomes],
+            "listed boolean, loaded boolean, failed boolean",
+        )
+        counters = checks.run_summary(frame, missing).first()
+        if counters.files_missing:
+            self.log.checks(checks.missing_audit(missing, self.folder), counters.files_missing)
             now = utc_now()
-            message = F.lit(v.MSG_STEP_MISSING.format(folder=self.folder))
             self.log.steps(
-                missing, n_missing, v.FILE_MISSING, v.FAILED, now, error_msg=message, ended=now
+                missing,
+                counters.files_missing,
+                v.FILE_MISSING,
+                v.FAILED,
+                now,
+                error_msg=F.lit(v.MSG_STEP_MISSING.format(folder=self.folder)),
+                ended=now,
             )
         self.log.flush()
-        return missing
+        return local_frame(self.spark, [(self.run_id, self.category, *counters)], FOLDER_RESULT)
 
     # -- driven by the manifest
 
@@ -173,11 +170,12 @@ class Intake:
                 promised, listing, F.col("relative_path"), "file_path", "size"
             )
         )
-        n_files = files.count()
-        n_loaded = 0
+        found = files.select("file_nm", "relative_path", "file_path").collect()
+        n_files, n_loaded = len(found), 0
         present = F.col("n_found") > 0
         if n_files:
-            verdicts, records = self._validate(files, n_files, present)
+            paths = sorted({r.file_path for r in found if r.file_path is not None})
+            verdicts, records = self._validate(files, n_files, paths, present)
             looked = F.replace(
                 F.lit(v.MSG_LOOKED_FOR.format(folder=self.folder, file="{file}")),
                 F.lit("{file}"),
@@ -199,28 +197,24 @@ class Intake:
 
     # -- steps both share
 
+    def _in_place(self, row: Row) -> bool:
+        """Files in folders below the category folder are found but never read."""
+        return row.relative_path == self.folder + row.file_nm
+
     def _table_label(self) -> Column:
         return F.concat(
             F.lit(self.cfg.table_label(self.category, "")), names.table_name("file_nm")
         )
 
     def _validate(
-        self, files: DataFrame, n_files: int, present: Column
+        self, files: DataFrame, n_files: int, paths: list[str], present: Column
     ) -> tuple[DataFrame, quoted.QuotedRecords | None]:
-        """Open the validation steps, measure the files that are promised, judge all."""
+        """Open the validation steps, measure the files at ``paths``, judge all files."""
         self.opened = utc_now()
         self.log.steps(
             files, n_files, v.VALIDATION, v.RUNNING, self.opened, target=self._table_label()
         )
         self.log.flush()
-        in_place = F.col("relative_path") == F.concat(F.lit(self.folder), F.col("file_nm"))
-        paths = [
-            row.file_path
-            for row in files.where(present & in_place)
-            .select("file_path")
-            .distinct()
-            .collect()
-        ]
         measures, records, errors = self._measure(paths)
         unread = local_frame(self.spark, list(errors.items()), "file_path string, error string")
         judged = checks.verdict(measure.with_measures(files, measures), present)
@@ -298,13 +292,7 @@ class Intake:
         )
         self.log.flush()
         Loader(self.spark, self.cfg, self.category, self.run_id, records).load(loads)
-        for f in loads:
-            if f.error is None and (f.rows_loaded == f.exp_rows or not self.cfg.strict_rows_loaded):
-                try:
-                    self.publisher.put_table(f.table_nm, f.location, f.schema)
-                except Exception as error:
-                    f.fail(error)
-
+        self._register(loads)
         done = local_frame(
             self.spark,
             [
@@ -338,16 +326,31 @@ class Intake:
         )
         return loads
 
+    def _to_publish(self, loads: list[FileLoad]) -> list[FileLoad]:
+        strict = self.cfg.strict_rows_loaded
+        return [
+            f for f in loads if f.error is None and (f.rows_loaded == f.exp_rows or not strict)
+        ]
+
+    def _register(self, loads: list[FileLoad]) -> None:
+        """Put the written folders into the catalog; of files with one table the last one stays."""
+
+        def put(f: FileLoad) -> None:
+            try:
+                self.publisher.put_table(f.table_nm, f.location, f.schema)
+            except Exception as error:
+                f.fail(error)
+
+        with ThreadPoolExecutor(self.cfg.max_parallel_loads) as pool:
+            for wave in waves(self._to_publish(loads)):
+                list(pool.map(put, wave))
+
     def _publish(self, loads: list[FileLoad]) -> list[FileLoad]:
         """Point the views at their newest tables; returns the files whose view is right.
 
         Files are taken in name order, so each step names the table its view had after it.
         """
-        ready = [
-            f
-            for f in loads
-            if f.error is None and (f.rows_loaded == f.exp_rows or not self.cfg.strict_rows_loaded)
-        ]
+        ready = self._to_publish(loads)
         if not ready:
             self.log.flush()
             return []
@@ -394,6 +397,7 @@ class Intake:
             return set()
         opened = utc_now()
         history = self.cfg.history(self.category)
+        hadoop.make_folder(self.spark, f"{self.cfg.landing_root}/{history}")
         frame = local_frame(self.spark, [(f.file_nm,) for f in published], "file_nm string")
         target = F.concat(F.lit(history), F.col("file_nm"))
         self.log.steps(frame, len(published), v.ARCHIVE, v.RUNNING, opened, target=target)

@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
+@lru_cache(maxsize=8)
+def _entry_points(jvm, jsc):
+    """The Path class and the Hadoop configuration, looked up once per session."""
+    return jvm.org.apache.hadoop.fs.Path, jsc.hadoopConfiguration()
+
+
 def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
+    return _entry_points(spark._jvm, spark._jsc)[0](path)
 
 
 def _fs(spark: SparkSession, path: str):
-    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+    return _path(spark, path).getFileSystem(_entry_points(spark._jvm, spark._jsc)[1])
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -59,16 +68,23 @@ def walk(spark: SparkSession, root: str, below: str = "", skip: tuple[str, ...]
 
 
 def move(spark: SparkSession, source: str, target: str) -> None:
-    """Move a file, replacing a file of the same name; raise if it did not move."""
+    """Move a file into an existing folder, replacing a file of the same name.
+
+    Raises if it did not move.
+    """
     fs = _fs(spark, source)
     src, dst = _path(spark, source), _path(spark, target)
-    fs.mkdirs(dst.getParent())
+    refused = None
+    try:
+        if fs.rename(src, dst):
+            return
+    except Py4JJavaError as error:
+        refused = error
+    # most file systems refuse to rename onto a file that exists
     if not fs.exists(src):
-        raise FileNotFoundError(f"cannot archive {source}: it is gone")
-    if fs.exists(dst) and not fs.delete(dst, False):
-        raise OSError(f"cannot replace {target}")
-    if not fs.rename(src, dst):
-        raise OSError(f"cannot move {source} to {target}")
+        raise FileNotFoundError(f"cannot move {source}: it is gone")
+    if not (fs.exists(dst) and fs.delete(dst, False) and fs.rename(src, dst)):
+        raise OSError(f"cannot move {source} to {target}") from refused
 
 
 def glob_safe(path: str) -> str:

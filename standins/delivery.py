@@ -51,6 +51,7 @@ class Delivery:
             .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
             .csv(target)
         )
+        hadoop.make_folder(self.spark, self.folder)
         for part, _, _ in hadoop.walk(self.spark, target):
             if part.endswith(".csv"):
                 stamped = part.split("/")[0].removeprefix("stamp=")
