@@ -48,12 +48,6 @@ def read_lines(
     return _with_position(spark.read.text([glob_safe(p) for p in paths], lineSep=line_sep))
 
 
-def scan_matching(spark: SparkSession, root: str, path_pattern: str) -> DataFrame:
-    """Lines of every file below a root whose whole path matches a pattern."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(root)
-    return _with_position(lines.where(names.scanned_uri().rlike(f"^(?:{path_pattern})$")))
-
-
 def read_records(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType, **options: str
 ) -> DataFrame:

@@ -14,7 +14,6 @@ from quayside import IntakeConfig, load_category
 from quayside.plans.oplog import OpsStore
 from quayside.session import new_folder
 from quayside.sources import hadoop
-from quayside.sources.files import CSV_FORMAT
 from standins.frames import table
 
 FILE_BYTES = 1 << 30
@@ -77,6 +76,11 @@ class Delivery:
     def store(self) -> OpsStore:
         return OpsStore(self.spark, self.cfg)
 
+    def landed(self) -> list[str]:
+        """Paths of the delivered files."""
+        names = [name for name, _, _ in hadoop.walk(self.spark, self.folder)]
+        return [f"{self.folder}/{n}" for n in names if not n.startswith(self.cfg.manifest_prefix)]
+
     def dated_tables(self) -> list[DataFrame]:
         lineage = ("SRC_FILE_NM", "LOAD_TS")
         names = [t.name for t in self.spark.catalog.listTables(self.category)]
