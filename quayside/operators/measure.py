@@ -13,7 +13,7 @@ from quayside.sources import quoted
 from quayside.sources.files import read_lines
 
 MEASURES = (
-    "file_path string, act_cols int, act_rows long, header_key long, "
+    "file_path string, act_cols int, act_rows long, header_key long, header_open boolean, "
     "broken_lines boolean, unclosed boolean"
 )
 
@@ -26,17 +26,21 @@ def measure_lines(lines: DataFrame) -> DataFrame:
     """
     at_top = F.when(F.col("block_start") == 0, F.col("line_id"))
     blank = text.is_blank("line")
+    at_header = F.when(~blank, at_top)
+    runs_on = text.open_after("line")
     measured = lines.groupBy("file_uri").agg(
         F.min_by(F.when(at_top.isNotNull(), text.column_count("line")), at_top).alias("act_cols"),
         F.count_if(~blank).alias("n_lines"),
-        F.min_by(F.xxhash64("line"), F.when(~blank, at_top)).alias("header_key"),
-        F.max(text.open_after("line")).alias("broken_lines"),
+        F.min_by(F.xxhash64("line"), at_header).alias("header_key"),
+        F.min_by(runs_on, at_header).alias("header_open"),
+        F.max(runs_on).alias("broken_lines"),
     )
     return measured.select(
         "file_uri",
         F.coalesce("act_cols", F.lit(0)).alias("act_cols"),
         F.greatest(F.col("n_lines") - 1, F.lit(0)).alias("act_rows"),
         "header_key",
+        "header_open",
         "broken_lines",
     )
 
@@ -67,6 +71,7 @@ def measure_files(
         "act_cols",
         "act_rows",
         "header_key",
+        "header_open",
         "broken_lines",
         "unclosed",
     ), records

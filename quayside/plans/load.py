@@ -32,6 +32,7 @@ class FileLoad:
     file_path: str
     size: int
     header_key: int | None
+    header_open: bool
     broken_lines: bool
     unclosed: bool
     exp_rows: int | None
@@ -68,7 +69,7 @@ class Loader:
         records: quoted.QuotedRecords | None,
     ):
         self.spark, self.cfg, self.category, self.run_id = spark, cfg, category, run_id
-        self.records = None if records is None else quoted.record_texts(records)
+        self.records = records
         self.loaded_at = utc_now()
 
     def load(self, files: list[FileLoad]) -> None:
@@ -112,15 +113,14 @@ class Loader:
         list(pool.map(guarded, groups.values()))
 
     def _header_group(self, f: FileLoad) -> object:
-        return f.file_path if f.broken_lines else f.header_key
+        return f.file_path if f.header_open else (f.header_key, f.broken_lines)
 
     def _batch(self, f: FileLoad) -> object:
         alone = f.file_path if f.size >= self.cfg.solo_bytes else None
         return self._header_group(f), tuple(f.types), alone
 
     def _records_of(self, group: list[FileLoad]) -> DataFrame:
-        paths = [f.file_path for f in group]
-        return self.records.where(names.decoded("file_uri").isin(paths))
+        return quoted.record_texts(self.records.of([f.file_path for f in group]))
 
     def _read_header(self, group: list[FileLoad]) -> None:
         first = group[0]

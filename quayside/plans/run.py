@@ -274,6 +274,7 @@ class Intake:
                 row.file_path,
                 row.size,
                 row.header_key,
+                bool(row.header_open),
                 bool(row.broken_lines),
                 bool(row.unclosed),
                 None if row.exp_rows is None else int(row.exp_rows),

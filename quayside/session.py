@@ -49,14 +49,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, folder: str) -> DataFrame:
+def written(df: DataFrame, folder: str, *partition_by: str) -> DataFrame:
     """Write a frame below a shared folder and read it back.
 
     The result survives the loss of executors, does not change when files are moved
     later, costs one evaluation, and has a size that joins can plan with.
     """
     path = f"{folder}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -16,10 +16,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quayside.functions import text
+from quayside.functions import names, text
 from quayside.session import written
 from quayside.sources.files import CSV_FORMAT, read_lines
 
@@ -44,6 +44,16 @@ class QuotedRecords:
     lines: DataFrame
     splits: DataFrame
 
+    def of(self, paths: Sequence[str]) -> QuotedRecords:
+        """The same for some of the files; only their part of the lines is read."""
+        keys = [_file_key(F.lit(path)) for path in paths]
+        chosen = self.splits.where(names.decoded("file_uri").isin(list(paths)))
+        return QuotedRecords(self.lines.where(F.col("file_key").isin(keys)), chosen)
+
+
+def _file_key(path: Column) -> Column:
+    return F.xxhash64(path)
+
 
 def _states(toggles: np.ndarray, fixed: np.ndarray, before: int) -> np.ndarray:
     """Open-quote state after each line: ``fixed`` is 0/1 where a line decides it, else -1."""
@@ -151,7 +161,9 @@ def quoted_records(spark: SparkSession, paths: Sequence[str], scratch: str) -> Q
 
     Lines end at a line feed alone, so a carriage return inside a field stays in it.
     """
-    numbered = written(number_lines(read_lines(spark, paths, line_sep="\n")), scratch)
+    lines = number_lines(read_lines(spark, paths, line_sep="\n"))
+    by_file = lines.withColumn("file_key", _file_key(names.decoded("file_uri")))
+    numbered = written(by_file, scratch, "file_key")
     return QuotedRecords(numbered, written(split_states(numbered), scratch))
 
 

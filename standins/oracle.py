@@ -72,6 +72,10 @@ _YEARS = """y AS (
   SELECT 'ORDERS_' || CAST(year(o_orderdate) AS VARCHAR) || '0101.csv' AS file_nm, count(*) AS n
   FROM orders GROUP BY 1)"""
 
+_LATE = """s AS (
+  SELECT 'ORDERS_' || CAST(year(o_orderdate) + 1 AS VARCHAR) || '0101.csv' AS file_nm, count(*) AS n
+  FROM orders GROUP BY 1)"""
+
 ORACLE = {
     "manifest_parse": """
 SELECT p_partkey, trim(p_name) AS file_nm, CAST(NULL AS DECIMAL(38,0)) AS col_cnt,
@@ -217,24 +221,21 @@ SELECT file_nm, 'SUCCESS' AS validation_status, 'SUCCESS' AS load_status, n AS r
        'SUCCESS' AS view_status, 'SUCCESS' AS archive_status, CAST(NULL AS VARCHAR) AS missing_status,
        'Points to ' || split_part(file_nm, '.', 1) AS error_msg FROM y""",
     "load_rejected_result": f"""
-WITH {_YEARS},
-s AS (SELECT 'ORDERS_' || CAST(year(l_shipdate) AS VARCHAR) || '0101.csv' AS file_nm, count(*) AS n FROM lineitem GROUP BY 1),
+WITH {_YEARS}, {_LATE},
 j AS (SELECT y.file_nm, s.n AS promised, y.n AS delivered FROM y LEFT JOIN s ON s.file_nm = y.file_nm)
 SELECT count(*) AS files_found, count(CASE WHEN promised = delivered THEN 1 END) AS files_loaded,
        count(CASE WHEN promised <> delivered THEN 1 END) AS files_failed,
        count(CASE WHEN promised IS NULL THEN 1 END) AS files_not_in_inventory,
        (SELECT count(*) FROM s WHERE file_nm NOT IN (SELECT file_nm FROM y)) AS files_missing FROM j""",
     "load_rejected_checks": f"""
-WITH {_YEARS},
-s AS (SELECT 'ORDERS_' || CAST(year(l_shipdate) AS VARCHAR) || '0101.csv' AS file_nm, count(*) AS n FROM lineitem GROUP BY 1)
+WITH {_YEARS}, {_LATE}
 SELECT y.file_nm, 'ROW_COUNT' AS check_nm, CAST(s.n AS VARCHAR) AS expected_val, CAST(y.n AS VARCHAR) AS actual_val
 FROM y JOIN s ON s.file_nm = y.file_nm WHERE s.n <> y.n
 UNION ALL SELECT y.file_nm, 'FILE_IN_INVENTORY', 'Y', 'N' FROM y WHERE file_nm NOT IN (SELECT file_nm FROM s)
 UNION ALL SELECT s.file_nm, 'FILE_NAME_EXISTS', 'Y', 'N' FROM s WHERE file_nm NOT IN (SELECT file_nm FROM y)""",
     "load_by_manifest": f"""
-WITH {_YEARS},
-x AS (SELECT DISTINCT 'ORDERS_' || CAST(year(o_orderdate) + 1 AS VARCHAR) || '0101.csv' AS file_nm FROM orders),
-m AS (SELECT file_nm FROM x WHERE file_nm NOT IN (SELECT file_nm FROM y))
+WITH {_YEARS}, {_LATE},
+m AS (SELECT file_nm FROM s WHERE file_nm NOT IN (SELECT file_nm FROM y))
 SELECT file_nm, 'FILE_NAME_EXISTS' AS check_nm, 'Y' AS expected_val, 'Y' AS actual_val, 'PASS' AS check_status FROM y
 UNION ALL SELECT file_nm, 'COLUMN_COUNT', '6', '6', 'PASS' FROM y
 UNION ALL SELECT file_nm, 'ROW_COUNT', CAST(n AS VARCHAR), CAST(n AS VARCHAR), 'PASS' FROM y
