@@ -95,7 +95,7 @@ class Loader:
         key: Callable[[FileLoad], object],
         work: Callable[[list[FileLoad]], None],
     ) -> None:
-        """Run a job per group; if a group fails, its files are tried one by one."""
+        """Run a job per group; a group that fails is halved until the bad files stand alone."""
 
         def guarded(group: list[FileLoad]) -> None:
             try:
@@ -104,8 +104,9 @@ class Loader:
                 if len(group) == 1:
                     group[0].fail(error)
                     return
-                for f in group:
-                    guarded([f])
+                half = len(group) // 2
+                guarded(group[:half])
+                guarded(group[half:])
 
         groups = defaultdict(list)
         for f in files:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -39,11 +40,15 @@ def shared_folder(spark: SparkSession) -> str:
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="quayside-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        named = _own_folder()
     return named.rstrip("/")
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="quayside-")
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path of its own in the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"

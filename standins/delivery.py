@@ -17,7 +17,7 @@ from quayside.sources import hadoop
 from standins.frames import table
 
 FILE_BYTES = 1 << 30
-FEWEST, MOST = 3, 64
+FEWEST, MOST = 3, 1000
 FIRST_DAY = date(2000, 1, 1)
 
 

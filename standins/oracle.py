@@ -199,7 +199,9 @@ SELECT string_agg(col || ' ' || CASE WHEN kinds = 1 AND whole_digits <= 9 THEN '
          WHEN kinds = 1 AND whole_digits <= 18 THEN 'bigint' WHEN kinds = 1 THEN 'decimal(38,0)'
          WHEN kinds <= 3 THEN 'decimal(' || (whole_digits + scale) || ',' || scale || ')'
          ELSE 'string' END, ', ' ORDER BY pos) AS ddl FROM p""",
-    "column_profile": f"WITH {_PART_VALUES} SELECT pos, kinds, whole_digits, scale FROM p",
+    "column_profile": f"""
+WITH {_PART_VALUES}
+SELECT pos, kinds, CAST(whole_digits AS INTEGER) AS whole_digits, CAST(scale AS INTEGER) AS scale FROM p""",
     "current_view_source": """
 WITH r AS (
   SELECT CASE o_orderstatus WHEN 'F' THEN 'hds_vw' WHEN 'O' THEN 'ihp_vw' ELSE 'ops' END AS view_schema,

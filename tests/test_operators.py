@@ -135,3 +135,24 @@ def test_summary_of_informational_messages(spark):
 def test_ids_of_one_append_stay_below_the_stride(spark):
     ids = spark.range(0, 1000, 1, MAX_LOG_PARTS).select(F.monotonically_increasing_id().alias("i"))
     assert ids.agg(F.max("i")).first()[0] < ID_STRIDE
+
+
+def test_a_failing_group_is_halved_down_to_the_bad_files(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from quayside import IntakeConfig
+    from quayside.plans.load import FileLoad, Loader
+
+    files = [FileLoad(f"F{i}_20240101.csv", f"/x/F{i}", 1, 1, False, False, False, 1) for i in range(16)]
+    calls = []
+
+    def work(group):
+        calls.append(len(group))
+        if any(f.file_nm.startswith(("F3_", "F11_")) for f in group):
+            raise RuntimeError("bad")
+
+    loader = Loader(spark, IntakeConfig("/x", "/y"), "C", "run", None)
+    with ThreadPoolExecutor(2) as pool:
+        loader._each(pool, files, lambda f: 0, work)
+    assert [f.file_nm for f in files if f.error] == ["F3_20240101.csv", "F11_20240101.csv"]
+    assert len(calls) < 18
