@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import uuid
-from datetime import date, timedelta
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
