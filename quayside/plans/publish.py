@@ -15,7 +15,7 @@ from quayside.operators.latest import latest_tables
 from quayside.plans.oplog import TABLE_SCHEMA, VIEW_SCHEMA, OpsStore, utc_now
 from quayside.session import local_frame
 from quayside.sources import hadoop
-from quayside.sources.catalog import base_tables, list_catalog
+from quayside.sources.catalog import base_tables, entries, list_catalog
 
 
 def _quoted(name: str) -> str:
@@ -45,12 +45,12 @@ class Publisher:
     def rehydrate(self) -> None:
         """Bring back tables and views that the catalog of this session does not have."""
         ensure_databases(self.spark, self.category)
-        self._there = {t.name.upper() for t in self.spark.catalog.listTables(self.category)}
+        self._there = {t.name.upper() for t in entries(self.spark, self.category)}
         for table_nm, known in self._known.items():
             if table_nm not in self._there:
                 schema = T.StructType.fromJson(json.loads(known.schema_json))
                 self._create_table(table_nm, known.location, schema)
-        views = {t.name.upper() for t in self.spark.catalog.listTables(self.view_schema)}
+        views = {t.name.upper() for t in entries(self.spark, self.view_schema)}
         for row in self.store.current_view_source(self.category).collect():
             if row.view_nm not in views:
                 self._create_view(row.view_nm, row.points_to)

@@ -14,6 +14,7 @@ from quayside import IntakeConfig, load_category
 from quayside.plans.oplog import OpsStore
 from quayside.session import new_folder
 from quayside.sources import hadoop
+from quayside.sources.catalog import entries
 from standins.frames import table
 
 FILE_BYTES = 1 << 30
@@ -83,7 +84,7 @@ class Delivery:
 
     def dated_tables(self) -> list[DataFrame]:
         lineage = ("SRC_FILE_NM", "LOAD_TS")
-        names = [t.name for t in self.spark.catalog.listTables(self.category)]
+        names = [t.name for t in entries(self.spark, self.category)]
         return [self.spark.table(f"{self.category}.{n}").drop(*lineage) for n in sorted(names)]
 
     def view(self, feed: str) -> DataFrame:

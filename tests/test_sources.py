@@ -113,6 +113,8 @@ def test_catalog(spark, tmp_path):
     spark.sql("create database if not exists cat_t")
     spark.sql("create table if not exists cat_t.base_20240101 (a int) using parquet")
     spark.sql("create or replace view cat_t.v comment 'to base' as select * from cat_t.base_20240101")
+    spark.range(1).createOrReplaceTempView("of_the_session")
+    assert {t.name for t in catalog.entries(spark, "cat_t")} == {"base_20240101", "v"}
     listed = catalog.list_catalog(spark, "cat_t")
     assert [r.table_nm for r in catalog.base_tables(listed).collect()] == ["BASE_20240101"]
     assert [(r.table_nm, r.comment) for r in catalog.views(listed).collect()] == [("V", "to base")]
