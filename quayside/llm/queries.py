@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import simhash
-from quayside.llm.common import table
+from quayside.llm import bpe, simhash
+from quayside.llm.common import sha256_hex, table
+
+
+BYTE_BPE = "byte_bpe_50k.tiktoken"
+
+
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(BYTE_BPE)
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, path).select(
+        F.col("id").alias("doc_id"),
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        sha256_hex("ids").alias("ids_sha256"),
+        sha256_hex("decoded").alias("decoded_sha256"),
+    )
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +34,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op7_simhash": op7_simhash,
 }
 
