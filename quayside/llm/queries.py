@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bpe, langid, simhash
-from quayside.llm.common import sha256_hex, table
+from quayside.llm import bpe, langid, posindex, simhash
+from quayside.llm.common import sha256_hex, snapshot, table
 
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -40,10 +40,36 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Words of a benchmark item that are looked for together.
+WINDOW_WORDS = 10
+#: Text of a benchmark, at most: its phrases go to every segment of the index.
+BENCHMARK_BYTES = 64 << 20
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the benchmark's windows hit in each document."""
+    index = snapshot(posindex.build(docs), "index")
+    phrases = posindex.stated_phrases(table(spark, sf_dir, "benchmark"), "item_id", "text", WINDOW_WORDS, BENCHMARK_BYTES)
+    return posindex.search(index, phrases)
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminated(spark, table(spark, sf_dir, "documents"), sf_dir)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_langid": op2_langid,
     "op7_simhash": op7_simhash,
+    "op8_decontamination": op8_decontamination,
 }
 
 ORACLE: dict[str, str] = {}
