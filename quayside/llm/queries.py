@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bpe, langid, posindex, simhash
+from quayside.llm import bpe, langid, pii, posindex, simhash
 from quayside.llm.common import sha256_hex, snapshot, table
 
 
@@ -31,6 +31,18 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    base = F.concat(*(pii.listed(k, F.col(k)) for k in pii.KINDS))
+    every = F.concat(*(pii.listed(k, pii.all_spans(k)) for k in pii.KINDS))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *(F.size(k).cast("long").alias(f"n_{k}") for k in pii.KINDS),
+        F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
+        F.array_join(every, ",").alias("spans"),
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -68,6 +80,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_langid": op2_langid,
+    "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
 }
