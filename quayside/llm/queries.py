@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bpe, langid, pii, posindex, simhash
+from quayside.llm import bpe, langid, pii, posindex, simhash, wavelet
 from quayside.llm.common import sha256_hex, snapshot, table
 
 
@@ -15,8 +15,8 @@ BYTE_BPE = "byte_bpe_50k.tiktoken"
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(BYTE_BPE)
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, path).select(
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decoded=True)
+    return encoded.select(
         F.col("id").alias("doc_id"),
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         sha256_hex("ids").alias("ids_sha256"),
@@ -31,6 +31,18 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+WORD_BPE = "word_bpe_49k.json"
+END_ID = 2
+
+
+def op3_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = wavelet.round_trip(docs, public_tokenizers.path(WORD_BPE), END_ID)
+    return found.select(
+        F.col("id").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
     base = F.concat(*(pii.listed(k, F.col(k)) for k in pii.KINDS))
@@ -80,6 +92,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_langid": op2_langid,
+    "op3_wavelet": op3_wavelet,
     "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
