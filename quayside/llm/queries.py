@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bpe, langid, pii, posindex, simhash, wavelet
+from quayside.llm import bpe, capfilters, langid, pii, posindex, simhash, warc, wavelet
 from quayside.llm.common import sha256_hex, snapshot, table
 
 
@@ -43,6 +43,27 @@ def op3_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = capfilters.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        F.col("id").alias("vec_id"),
+        F.col("links").alias("n_links"),
+        F.col("component").alias("component_id"),
+        F.col("id").eqNullSafe(F.col("component")).alias("kept"),
+    )
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select(
+        "page_id",
+        "payload_bytes",
+        F.when(F.col("record_type") == "response", F.sha1("payload")).otherwise(F.col("digest")).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
     base = F.concat(*(pii.listed(k, F.col(k)) for k in pii.KINDS))
@@ -93,9 +114,25 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_langid": op2_langid,
     "op3_wavelet": op3_wavelet,
+    "op4_cap_filters": op4_cap_filters,
+    "op5_warc": op5_warc,
     "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_warc": """
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ), d AS (
+            SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS payload_digest FROM p
+        ), w AS (
+            SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS newest FROM d
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> newest THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> newest THEN newest END AS refers_to
+        FROM w
+    """,
+}
