@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bpe, capfilters, langid, pii, posindex, simhash, warc, wavelet
+from quayside.llm import bpe, capfilters, chat, langid, pii, posindex, secrets, simhash, warc, wavelet
 from quayside.llm.common import sha256_hex, snapshot, table
 
 
@@ -110,6 +110,52 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.find(docs, secrets.learn(docs))
+    base = F.filter("spans", lambda s: s["kind"] != secrets.MARKOV)
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+        )
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *(count(k) for k in secrets.KINDS),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    columns = ["conv_id", "turn", "role", "text"]
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"),
+    )
+    turns = chat.turns_of_rows(rows.select(*columns).unionByName(extra), columns)
+    found = chat.parsed(chat.formatted(chat.gathered(turns))).withColumn("learned", chat.masked())
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return found.select(
+        F.col("conv").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_langid": op2_langid,
@@ -119,9 +165,27 @@ QUERIES = {
     "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
+    "op9_secrets": op9_secrets,
+    "op10_chat": op10_chat,
 }
 
 ORACLE: dict[str, str] = {
+    # formatted_chars: <s> and [INST] with a space before a text, [/INST]</s> with a space after it, and a
+    # backslash for each control string
+    "op10_chat": r"""
+        WITH rows AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(22 + length(role) + length(text)
+                   + len(regexp_extract_all(role || ' ' || text, '<\\*/?s>|\[\\*/?INST\]')))::BIGINT AS formatted_chars
+        FROM rows GROUP BY conv_id
+    """,
     "op5_warc": """
         WITH p AS (
             SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
