@@ -16,13 +16,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def snapshot(df: DataFrame, label: str) -> DataFrame:
-    """A frame written to the shared folder and read back: evaluated once, lineage cut."""
+#: Narrow rows that are no work for more than one task.
+ROWS_OF_A_TASK = 200_000
+
+
+def snapshot(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+    """A frame written to the shared folder and read back: evaluated once, lineage cut.
+
+    With the number of narrow rows that a shuffle is known to give at most, it is written by as many
+    tasks as these rows need, however many partitions the shuffle has.
+    """
+    if rows is not None:
+        df = df.coalesce(-(-max(rows, 1) // ROWS_OF_A_TASK))
     return written(df, new_folder(df.sparkSession, label))
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send whole texts to Python in batches of at most so many rows, unless fewer are set already."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Id and text under names of our own, so that other columns cannot clash."""
+    """Id and text under names of our own, so that other columns cannot clash; sets small_batches."""
+    small_batches(df.sparkSession)
     return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
 

@@ -28,27 +28,27 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while (mark := _mark(now)) != before:
         before = mark
-        now = snapshot(_small_star(_large_star(now)), "edges")
+        now = _small_star(_large_star(now, mark[0]), mark[0])
     stars = now.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
     return stars.union(now.select("lo", "lo").distinct())
 
 
 def _mark(edges: DataFrame) -> tuple:
-    """Equal for equal sets of edges."""
+    """The number of edges, and a value equal for equal sets of edges."""
     hashed = F.xxhash64("hi", "lo").cast("decimal(38,0)")
     return tuple(edges.agg(F.count("*"), F.sum(hashed)).first())
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(edges.select("lo", "hi"))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    hung = both.join(snapshot(least, "least"), "u").where("v > u")
-    return snapshot(hung.select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct(), "stars")
+    hung = both.join(snapshot(least, "least", 2 * rows), "u").where("v > u")
+    return snapshot(hung.select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct(), "stars", rows)
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
     least = edges.groupBy("hi").agg(F.min("lo").alias("m"))
-    hung = edges.join(snapshot(least, "least"), "hi")
+    hung = edges.join(snapshot(least, "least", rows), "hi")
     to_root = hung.select("hi", F.col("m").alias("lo"))
     moved = hung.where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-    return to_root.union(moved).distinct()
+    return snapshot(to_root.union(moved).distinct(), "edges", 2 * rows)
