@@ -18,8 +18,6 @@ class IntakeConfig:
     strict_rows_loaded   a load whose row count differs is not published
     history_by_category  the "was it ever loaded" test looks at one category only
     text_columns         upper-case column names never inferred as numbers or dates
-    solo_bytes           files this large get a load job of their own; smaller files
-                         with the same header and types share one
     max_parallel_loads   load jobs submitted at the same time
     """
 
@@ -32,7 +30,6 @@ class IntakeConfig:
     strict_rows_loaded: bool = True
     history_by_category: bool = False
     text_columns: frozenset[str] = frozenset()
-    solo_bytes: int = 256 * 1024 * 1024
     max_parallel_loads: int = 4
 
     def __post_init__(self) -> None:

@@ -12,6 +12,9 @@ DECIMAL = r"^[+-]?([0-9]+[.][0-9]*|[.][0-9]+)$"
 SCIENTIFIC = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)[eE][+-]?[0-9]{1,3}$"
 TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?$"
 MAX_WHOLE_DIGITS = 38
+# A double keeps any number of 15 significant digits between these sizes.
+DOUBLE_DIGITS = 15
+SMALLEST_DOUBLE, LARGEST_DOUBLE = 2.2250738585072014e-308, 1.7976931348623157e308
 DATE_LENGTH, TIMESTAMP_LENGTH = 10, 19
 
 # One bit per kind, so that "all kinds seen in a column" is a bitwise or.
@@ -78,6 +81,18 @@ def whole_digits(value: Column | str) -> Column:
     return end - F.when(_signed(value), 1).otherwise(0)
 
 
+def keeps_as_double(value: Column | str) -> Column:
+    """Does a number keep its value as a double: at most 15 significant digits, no over- or underflow?"""
+    value = F.col(value) if isinstance(value, str) else value
+    exponent = F.greatest(F.instr(value, "e"), F.instr(value, "E"))
+    digits = F.when(exponent > 0, F.substring(value, F.lit(1), exponent - 1)).otherwise(value)
+    significant = F.regexp_replace(F.regexp_replace(digits, "[+.-]", ""), "^0+|0+$", "")
+    size = F.abs(value.try_cast("double"))
+    in_range = size.between(SMALLEST_DOUBLE, LARGEST_DOUBLE) | (significant == "")
+    short = (F.octet_length(value) <= DOUBLE_DIGITS) & (exponent == 0)
+    return short | ((F.length(significant) <= DOUBLE_DIGITS) & F.coalesce(in_range, F.lit(False)))
+
+
 def scale_digits(value: Column | str) -> Column:
     """Digits after the decimal point of a number that has one."""
     return F.octet_length(value) - F.instr(value, ".")

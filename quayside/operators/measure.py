@@ -19,7 +19,7 @@ MEASURES = (
 
 
 def measure_lines(lines: DataFrame) -> DataFrame:
-    """Per file: columns of the first line, data lines, header fingerprint, open quotes.
+    """Per file: columns of the first line that is not blank, data lines, header fingerprint, open quotes.
 
     Every buffer has a fixed width, so this stays a hash aggregate with one small row
     per file and split going through the shuffle, however large a single file is.
@@ -29,7 +29,7 @@ def measure_lines(lines: DataFrame) -> DataFrame:
     at_header = F.when(~blank, at_top)
     runs_on = text.open_after("line")
     measured = lines.groupBy("file_uri").agg(
-        F.min_by(F.when(at_top.isNotNull(), text.column_count("line")), at_top).alias("act_cols"),
+        F.min_by(F.when(at_header.isNotNull(), text.column_count("line")), at_header).alias("act_cols"),
         F.count_if(~blank).alias("n_lines"),
         F.min_by(F.xxhash64("line"), at_header).alias("header_key"),
         F.min_by(runs_on, at_header).alias("header_open"),

@@ -57,7 +57,7 @@ def current_view_source(registry: DataFrame, schemas: Sequence[str]) -> DataFram
     """Which dated table each published view serves, and since when."""
     return (
         registry.where(F.col("view_schema").isin(*schemas))
-        .groupBy("view_schema", "view_nm")
+        .groupBy("view_schema", "view_name")
         .agg(
             F.max_by("points_to", "refreshed_at").alias("points_to"),
             F.max("refreshed_at").alias("last_refreshed"),

@@ -29,18 +29,24 @@ def profile_values(column_values: DataFrame, *keys: str) -> DataFrame:
     """
     tagged = column_values.withColumn("kind", val.kind("value"))
     whole = F.col("kind").isin(val.KIND_WHOLE, val.KIND_DECIMAL)
+    number = whole | (F.col("kind") == val.KIND_SCIENTIFIC)
     return tagged.groupBy(*keys).agg(
         F.coalesce(F.bit_or("kind"), F.lit(0)).alias("kinds"),
         F.coalesce(F.max(F.when(whole, val.whole_digits("value"))), F.lit(0)).alias("whole_digits"),
         F.coalesce(
             F.max(F.when(F.col("kind") == val.KIND_DECIMAL, val.scale_digits("value"))), F.lit(0)
         ).alias("scale"),
+        F.count_if(number & ~val.keeps_as_double("value")).alias("not_doubles"),
         F.count_if("bad_width").alias("bad_records"),
     )
 
 
 def column_type() -> Column:
-    """Spark type of a profiled column; a column without values is text."""
+    """Spark type of a profiled column that keeps every value; a column without values is text.
+
+    Numbers of more digits than a decimal holds, and columns with scientific notation of which a value
+    would change as a double, stay text.
+    """
     kinds = F.col("kinds")
     digits, scale = F.col("whole_digits"), F.col("scale")
 
@@ -58,7 +64,12 @@ def column_type() -> Column:
             only(numbers) & (precision <= MAX_DIGITS),
             F.concat(F.lit("decimal("), precision, F.lit(","), scale, F.lit(")")),
         )
-        .when(only(numbers | val.KIND_SCIENTIFIC), "double")
+        .when(
+            only(numbers | val.KIND_SCIENTIFIC)
+            & (kinds.bitwiseAND(F.lit(val.KIND_SCIENTIFIC)) > 0)
+            & (F.col("not_doubles") == 0),
+            "double",
+        )
         .when(only(val.KIND_DATE), "date")
         .when(only(times), "timestamp_ntz")
         .otherwise("string")

@@ -24,6 +24,17 @@ from quayside.sources import hadoop, quoted
 from quayside.sources.files import read_lines, read_records, text_schema
 
 
+# What Spark and the JVM say when a job fails whatever it reads.
+NOT_THE_FILE = (
+    "ExecutorLostFailure",
+    "No space left on device",
+    "OutOfMemoryError",
+    "SparkContext was shut down",
+    "stopped SparkContext",
+    "cancelled",
+)
+
+
 @dataclass
 class FileLoad:
     """A file that passed its checks, and what became of it."""
@@ -57,7 +68,7 @@ class Loader:
     """Reads headers, infers types and writes tables for the files of one run.
 
     Files with one header are profiled by one job, and files with one header and the
-    same types are written by one job; a large file gets a job of its own.
+    same types are written by one job, whatever their sizes: splits make its tasks.
     """
 
     def __init__(
@@ -101,6 +112,8 @@ class Loader:
             try:
                 work(group)
             except Exception as error:
+                if not blames_file(error):
+                    raise
                 if len(group) == 1:
                     group[0].fail(error)
                     return
@@ -117,8 +130,7 @@ class Loader:
         return f.file_path if f.header_open else (f.header_key, f.broken_lines)
 
     def _batch(self, f: FileLoad) -> object:
-        alone = f.file_path if f.size >= self.cfg.solo_bytes else None
-        return self._header_group(f), tuple(f.types), alone
+        return self._header_group(f), tuple(f.types)
 
     def _records_of(self, group: list[FileLoad]) -> DataFrame:
         return quoted.record_texts(self.records.of([f.file_path for f in group]))
@@ -213,6 +225,11 @@ class Loader:
             f.ended = utc_now()
 
 
+def blames_file(error: Exception) -> bool:
+    """May a job have failed for its input? Not if executors, disk, memory or the session gave out."""
+    return not any(sign in str(error) for sign in NOT_THE_FILE)
+
+
 def waves(files: list[FileLoad]) -> list[list[FileLoad]]:
     """Files in name order, those of one table name in different waves."""
     seen, found = defaultdict(int), defaultdict(list)

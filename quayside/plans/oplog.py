@@ -5,8 +5,9 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ AUDIT_SCHEMA = (
     "expected_val string, actual_val string, check_status string, check_msg string, "
     "checked_at timestamp"
 )
-VIEW_SCHEMA = "view_schema string, view_nm string, points_to string, refreshed_at timestamp"
+VIEW_SCHEMA = "view_schema string, view_name string, points_to string, refreshed_at timestamp"
 TABLE_SCHEMA = (
     "table_schema string, table_nm string, location string, schema_json string, "
     "registered_at timestamp"
@@ -33,12 +34,14 @@ FOLDERS = {
     "table_registry": TABLE_SCHEMA,
 }
 
+NESTED = {"recursiveFileLookup": "true"}
 LOG_KEYS = {"job_events": "event_id", "audit_log": "audit_id"}
 
-# A log append is spread over at most 64 tasks, so ids of one append stay below this.
-MAX_LOG_PARTS = 64
-ROWS_PER_LOG_PART = 100_000
-ID_STRIDE = MAX_LOG_PARTS << 33
+ROWS_PER_LOG_PART = 1_000_000
+# An id is the number of its run, which no other run has, and its place in that run's logs:
+# days since 2020 (14 bits), runs of that day (12 bits), places (36 bits).
+FIRST_DAY = date(2020, 1, 1)
+RUN_BITS, PLACE_BITS = 12, 36
 
 
 def utc_now() -> datetime:
@@ -63,16 +66,30 @@ class OpsStore:
             if not self.spark.catalog.tableExists(f"{self.cfg.ops_db}.{name}"):
                 self.spark.sql(
                     f"CREATE TABLE IF NOT EXISTS `{self.cfg.ops_db}`.`{name}` ({schema}) "
-                    f"USING parquet LOCATION '{self.folder(name)}'"
+                    f"USING parquet OPTIONS (recursiveFileLookup 'true') LOCATION '{self.folder(name)}'"
                 )
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(FOLDERS[name]).parquet(self.folder(name))
+        return self.spark.read.schema(FOLDERS[name]).options(**NESTED).parquet(self.folder(name))
 
     def append(self, name: str, rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(self.folder(name))
+        """Write rows to a folder of their own, so that runs at the same time never meet in one."""
+        today = utc_now().date().isoformat()
+        rows.write.parquet(f"{self.folder(name)}/run_date={today}/part={uuid4().hex}")
         self.spark.catalog.refreshTable(f"{self.cfg.ops_db}.{name}")
 
+    def claim_run(self) -> int:
+        """A number that no other run on this store has, whatever else runs at the same time."""
+        day = utc_now().date()
+        folder = f"{self.folder('runs')}/{day.isoformat()}"
+        hadoop.make_folder(self.spark, folder)
+        number = len(hadoop.names_in(self.spark, folder))
+        while not hadoop.create_new(self.spark, f"{folder}/{number}"):
+            number += 1
+        if number >> RUN_BITS:
+            raise RuntimeError(f"more than {1 << RUN_BITS} runs in a day")
+        return (day - FIRST_DAY).days << RUN_BITS | number
+
     def job_events(self) -> DataFrame:
         return self.read("job_events")
 
@@ -100,17 +117,14 @@ class OpsStore:
         self.failed_checks().createOrReplaceTempView("vw_failed_checks")
         self.current_view_source(*categories).createOrReplaceTempView("vw_current_view_source")
 
-    def next_id(self, name: str, column: str) -> int:
-        newest = self.read(name).agg(F.max(column)).first()[0]
-        return 0 if newest is None else (newest // ID_STRIDE + 1) * ID_STRIDE
-
 
 class RunLog:
     """Collects the steps and checks of one run and appends them, a flush at a time."""
 
     def __init__(self, store: OpsStore, run_id: str, category: str):
         self.store, self.run_id, self.category = store, run_id, category
-        self._next = {log: store.next_id(log, key) for log, key in LOG_KEYS.items()}
+        first = store.claim_run() << PLACE_BITS
+        self._next = {log: first for log in LOG_KEYS}
         self._pending: dict[str, list[tuple[DataFrame, int]]] = defaultdict(list)
 
     def steps(
@@ -177,12 +191,13 @@ class RunLog:
         def write(log: str) -> None:
             frames = self._pending.pop(log)
             rows = reduce(DataFrame.unionByName, (frame for frame, _ in frames))
-            parts = math.ceil(sum(n for _, n in frames) / ROWS_PER_LOG_PART)
-            number = F.lit(self._next[log]) + F.monotonically_increasing_id()
-            numbered = rows.coalesce(max(1, min(MAX_LOG_PARTS, parts))).select(
-                number.alias(LOG_KEYS[log]), "*"
-            )
-            self._next[log] += ID_STRIDE
+            most = sum(n for _, n in frames)
+            parts = max(1, math.ceil(most / ROWS_PER_LOG_PART))
+            in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+            number = F.lit(self._next[log]) + F.spark_partition_id() * F.lit(most) + in_part
+            # a shuffle of small rows keeps what they are made from in as many tasks as it needs
+            numbered = rows.repartition(parts).select(number.alias(LOG_KEYS[log]), "*")
+            self._next[log] += parts * most
             self.store.append(log, numbered)
 
         with ThreadPoolExecutor(2) as pool:

@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.config import IntakeConfig
+from quayside.functions import names
 from quayside.operators.latest import latest_tables
 from quayside.plans.oplog import TABLE_SCHEMA, VIEW_SCHEMA, OpsStore, utc_now
 from quayside.session import local_frame
 from quayside.sources import hadoop
-from quayside.sources.catalog import base_tables, entries, list_catalog
 
 
 def _quoted(name: str) -> str:
@@ -33,27 +34,48 @@ class Publisher:
     def __init__(self, spark: SparkSession, cfg: IntakeConfig, store: OpsStore, category: str):
         self.spark, self.cfg, self.store, self.category = spark, cfg, store, category
         self.view_schema = f"{category}_VW"
-        self._there: set[str] = set()
+        self._known: dict[str, Row] = {}
         self._tables: list[tuple] = []
         self._views: list[tuple] = []
+
+    def _registered(self) -> DataFrame:
+        return self.store.read("table_registry").where(F.col("table_schema") == self.category)
+
+    def _lookup(self, table_names: Iterable[str]) -> dict[str, Row]:
+        """The newest registration of each of some tables."""
+        wanted = local_frame(self.spark, [(n,) for n in set(table_names)], "table_nm string")
         newest = F.max_by(F.struct("location", "schema_json"), "registered_at").alias("t")
-        known = store.read("table_registry").where(F.col("table_schema") == category)
-        self._known = {
-            row.table_nm: row.t for row in known.groupBy("table_nm").agg(newest).collect()
-        }
+        known = self._registered().join(wanted, "table_nm", "left_semi")
+        return {row.table_nm: row.t for row in known.groupBy("table_nm").agg(newest).collect()}
+
+    def _has(self, database: str, name: str) -> bool:
+        return self.spark.catalog.tableExists(f"{_quoted(database)}.{_quoted(name)}")
 
     def rehydrate(self) -> None:
-        """Bring back tables and views that the catalog of this session does not have."""
+        """Bring back the published views that the catalog of this session does not have.
+
+        Work goes with the number of views, not of the tables ever loaded: of these only the ones
+        that a missing view serves are registered.
+        """
         ensure_databases(self.spark, self.category)
-        self._there = {t.name.upper() for t in entries(self.spark, self.category)}
-        for table_nm, known in self._known.items():
-            if table_nm not in self._there:
+        published = self.store.current_view_source(self.category).collect()
+        missing = {
+            r.view_name: r.points_to for r in published if not self._has(self.view_schema, r.view_name)
+        }
+        if missing:
+            self._restore(target.rsplit(".", 1)[1] for target in missing.values())
+            for view_name, points_to in missing.items():
+                self._create_view(view_name, points_to)
+
+    def _restore(self, table_names: Iterable[str]) -> None:
+        for table_nm, known in self._lookup(table_names).items():
+            if not self._has(self.category, table_nm):
                 schema = T.StructType.fromJson(json.loads(known.schema_json))
                 self._create_table(table_nm, known.location, schema)
-        views = {t.name.upper() for t in entries(self.spark, self.view_schema)}
-        for row in self.store.current_view_source(self.category).collect():
-            if row.view_nm not in views:
-                self._create_view(row.view_nm, row.points_to)
+
+    def prepare(self, table_names: Iterable[str]) -> None:
+        """Look up earlier loads of the tables that this run is about to write."""
+        self._known = self._lookup(n.upper() for n in table_names)
 
     def _create_table(self, table_nm: str, location: str, schema: T.StructType) -> None:
         self.spark.catalog.createTable(
@@ -62,12 +84,11 @@ class Publisher:
             source="parquet",
             schema=schema,
         )
-        self._there.add(table_nm)
 
-    def _create_view(self, view_nm: str, points_to: str) -> None:
+    def _create_view(self, view_name: str, points_to: str) -> None:
         target = points_to.rsplit(".", 1)[1]
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {_quoted(self.view_schema)}.{_quoted(view_nm)} "
+            f"CREATE OR REPLACE VIEW {_quoted(self.view_schema)}.{_quoted(view_name)} "
             f"COMMENT '{points_to}' "
             f"AS SELECT * FROM {_quoted(self.category)}.{_quoted(target)}"
         )
@@ -75,20 +96,23 @@ class Publisher:
     def put_table(self, table_nm: str, location: str, schema: T.StructType) -> None:
         """Make a freshly written folder the dated table, replacing an earlier load of it."""
         name = table_nm.upper()
-        if name in self._there:
-            self.spark.sql(f"DROP TABLE IF EXISTS {_quoted(self.category)}.{_quoted(name)}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {_quoted(self.category)}.{_quoted(name)}")
         self._create_table(name, location, schema)
         self._tables.append((self.category, name, location, json.dumps(schema.jsonValue()), utc_now()))
 
-    def put_view(self, view_nm: str, latest_table: str) -> None:
+    def put_view(self, view_name: str, latest_table: str) -> None:
         points_to = self.cfg.table_label(self.category, latest_table)
-        self._create_view(view_nm, points_to)
-        self._views.append((self.view_schema, view_nm.upper(), points_to, utc_now()))
-
-    def latest(self) -> dict[str, str]:
-        """Newest dated table per base name in the catalog."""
-        tables = base_tables(list_catalog(self.spark, self.category))
-        return {row.base_nm: row.latest_table for row in latest_tables(tables).collect()}
+        if not self._has(self.category, latest_table):
+            self._restore([latest_table])
+        self._create_view(view_name, points_to)
+        self._views.append((self.view_schema, view_name.upper(), points_to, utc_now()))
+
+    def latest(self, bases: Iterable[str]) -> dict[str, str]:
+        """Newest dated table of each of some base names: one job over the registry."""
+        wanted = local_frame(self.spark, [(b,) for b in set(bases)], "base_nm string")
+        tables = self._registered().withColumn("base_nm", names.base_name("table_nm"))
+        newest = latest_tables(tables.join(wanted, "base_nm", "left_semi").select("table_nm"))
+        return {row.base_nm: row.latest_table for row in newest.collect()}
 
     def remember(self) -> None:
         """Write this run's tables and views to the registries, then drop replaced data."""

@@ -13,7 +13,7 @@ from quayside import vocabulary as v
 from quayside.config import IntakeConfig
 from quayside.functions import names
 from quayside.operators import checks, measure
-from quayside.plans.load import FileLoad, Loader, waves
+from quayside.plans.load import FileLoad, Loader, blames_file, waves
 from quayside.plans.oplog import OpsStore, RunLog, utc_now
 from quayside.plans.publish import Publisher, archive_file
 from quayside.session import local_frame, new_folder, written
@@ -227,6 +227,8 @@ class Intake:
         try:
             return *measure.measure_files(self.spark, paths, self.scratch), {}
         except Exception as error:
+            if not blames_file(error):
+                raise
             if len(paths) <= 1:
                 nothing = local_frame(self.spark, [], measure.MEASURES)
                 return nothing, None, {path: _cut(error) for path in paths}
@@ -240,6 +242,8 @@ class Intake:
             measure.measure_lines(measure.read_lines(self.spark, paths)).count()
             return {}
         except Exception as error:
+            if not blames_file(error):
+                raise
             if len(paths) == 1:
                 return {paths[0]: _cut(error)}
         half = len(paths) // 2
@@ -286,7 +290,8 @@ class Intake:
             self.log.flush()
             return loads
         opened = utc_now()
-        self.newest = self.publisher.latest()
+        self.publisher.prepare(f.table_nm for f in loads)
+        self.newest = self.publisher.latest(_base(f) for f in loads)
         frame = local_frame(self.spark, [(f.file_nm,) for f in loads], "file_nm string")
         self.log.steps(
             frame, len(loads), v.TABLE_LOAD, v.RUNNING, opened, target=self._table_label()

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from functools import lru_cache
+from threading import Lock
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
+_CREATING = Lock()
+
+
 @lru_cache(maxsize=8)
 def _entry_points(jvm, jsc):
     """The Path class and the Hadoop configuration, looked up once per session."""
@@ -30,6 +34,22 @@ def make_folder(spark: SparkSession, path: str) -> None:
     _fs(spark, path).mkdirs(_path(spark, path))
 
 
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it is there already. One caller of many gets True."""
+    with _CREATING:  # local file systems look first and create then
+        try:
+            return _fs(spark, path).createNewFile(_path(spark, path))
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in str(error.java_exception):
+                return False
+            raise
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder."""
+    return [s.getPath().getName() for s in _fs(spark, path).listStatus(_path(spark, path))]
+
+
 def delete(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 

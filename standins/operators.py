@@ -213,7 +213,7 @@ def current_view_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(status == "F", "hds_vw").when(status == "O", "ihp_vw").otherwise("ops").alias(
             "view_schema"
         ),
-        F.concat(F.lit("ORD_"), priority).alias("view_nm"),
+        F.concat(F.lit("ORD_"), priority).alias("view_name"),
         F.concat(F.lit("ORD_"), priority, F.lit("_"), frames.day("o_orderdate")).alias("points_to"),
         F.col("o_orderdate").alias("refreshed_at"),
     )

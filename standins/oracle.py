@@ -205,11 +205,11 @@ SELECT pos, kinds, CAST(whole_digits AS INTEGER) AS whole_digits, CAST(scale AS
     "current_view_source": """
 WITH r AS (
   SELECT CASE o_orderstatus WHEN 'F' THEN 'hds_vw' WHEN 'O' THEN 'ihp_vw' ELSE 'ops' END AS view_schema,
-         'ORD_' || left(o_orderpriority, 1) AS view_nm,
+         'ORD_' || left(o_orderpriority, 1) AS view_name,
          'ORD_' || left(o_orderpriority, 1) || '_' || strftime(o_orderdate, '%Y%m%d') AS points_to,
          o_orderdate AS refreshed_at FROM orders)
-SELECT view_schema, view_nm, arg_max(points_to, refreshed_at) AS points_to, max(refreshed_at) AS last_refreshed
-FROM r WHERE view_schema IN ('hds_vw', 'ihp_vw') GROUP BY view_schema, view_nm""",
+SELECT view_schema, view_name, arg_max(points_to, refreshed_at) AS points_to, max(refreshed_at) AS last_refreshed
+FROM r WHERE view_schema IN ('hds_vw', 'ihp_vw') GROUP BY view_schema, view_name""",
     "load_latest_view": "SELECT * FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)",
     "load_audit_log": f"""
 WITH {_YEARS}

@@ -1,7 +1,11 @@
 """Whole runs over generated folders: the outcome of every kind of file."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
+from conftest import Landing
+
 FACILITY = "FACILITY_ID,FACILITY_NAME,ZIP_CD,BED_CNT,COST,EFFECTIVE_DT,ACTIVE_FLG\n"
 
 
@@ -15,7 +19,6 @@ def facility(n, first=1):
 @pytest.fixture(scope="module")
 def mixed(spark, tmp_path_factory):
     """One run over good, bad, odd and absent files."""
-    from conftest import Landing
 
     zone = Landing(spark, tmp_path_factory.mktemp("mixed"))
     zone.put("GOOD_20260914.csv", facility(20), 7, 20)
@@ -218,7 +221,7 @@ def test_monitoring_views(mixed, spark):
     assert row.duration_sec >= 0 and len(row) == 15
     failed = spark.sql("select count(*) n from vw_failed_checks").first().n
     assert failed == sum(REJECTED.values()) + 2
-    source = {r.view_nm: r for r in spark.sql("select * from vw_current_view_source").collect()}
+    source = {r.view_name: r for r in spark.sql("select * from vw_current_view_source").collect()}
     assert source["GOOD"].points_to == f"RDS_DB.{mixed.category}.GOOD_20260914"
     assert source["LOWER"].points_to == f"RDS_DB.{mixed.category}.LOWER_20260914"
     comment = {t.name: t.description for t in spark.catalog.listTables(f"{mixed.category}_VW")}
@@ -328,8 +331,38 @@ def test_text_columns_keep_codes(make_landing):
     assert sorted(r.ZIP for r in zone.view("F").collect()) == ["06001", "10001"]
 
 
-def test_large_files_load_alone(make_landing):
-    zone = make_landing(solo_bytes=1)
+def test_two_categories_at_the_same_time_on_one_store(spark, tmp_path):
+    zones = [Landing(spark, tmp_path) for _ in range(3)]
+    shared = zones[0]
+    for zone in zones:
+        zone.cfg, zone.store = shared.cfg, shared.store
+        for day in range(14, 19):
+            zone.put(f"F_202609{day}.csv", "A,B\n1,2\n", 2, 1)
+        zone.announce()
+    with ThreadPoolExecutor(3) as pool:
+        results = list(pool.map(lambda zone: zone.load(announce=False), zones))
+    assert [r.files_loaded for r in results] == [5, 5, 5]
+    audits, events = shared.store.audit_log().collect(), shared.store.job_events().collect()
+    assert len(audits) == 3 * 5 * 4 and len({r.audit_id for r in audits}) == len(audits)
+    assert len(events) == 3 * 5 * 8 and len({r.event_id for r in events}) == len(events)
+    assert spark.table(f"{shared.cfg.ops_db}.audit_log").count() == len(audits)
+
+
+def test_blank_first_line(landing):
+    landing.put("F_20260914.csv", "\n  \nA,B\n1,2\n\n3,4\n", 2, 2)
+    assert landing.load().files_loaded == 1
+    assert sorted((r.A, r.B) for r in landing.view("F").collect()) == [(1, 2), (3, 4)]
+
+
+def test_wide_numbers_keep_their_digits(landing):
+    values = ["12345678901234567890123456789012345.1234", "1.5"], ["20000000000000000001", "1e2"], ["12E400", "7"]
+    landing.put("F_20260914.csv", "A,B,C\n" + "\n".join(map(",".join, zip(*values))) + "\n", 3, 2)
+    assert landing.load().files_loaded == 1
+    assert sorted(tuple(map(str, r))[:3] for r in landing.view("F").collect()) == sorted(zip(*values))
+
+
+def test_files_of_a_header_share_a_job(make_landing):
+    zone = make_landing()
     zone.put("F_20260914.csv", "A,B\n1,2\n", 2, 1)
     zone.put("F_20260915.csv", "A,B\n1,2\n", 2, 1)
     assert zone.load().files_loaded == 2

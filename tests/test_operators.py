@@ -1,9 +1,9 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from quayside.operators import checks, latest, monitor, profile, steplog
-from quayside.plans.oplog import ID_STRIDE, MAX_LOG_PARTS
 
 
 def manifest(spark, rows):
@@ -105,18 +105,27 @@ def test_column_types(spark):
         "decimal(38,0)": ["1234567890123456789"],
         "decimal(4,2)": ["1.50", "12.25"],
         "decimal(5,2)": ["-123", "0.25"],
-        "double": ["1e5", "2"],
+        "double": ["1e5", "2", "-0.000123456789012345", "0E999"],
         "date": ["2024-01-01", "9999-12-31"],
         "timestamp_ntz": ["2024-01-01", "2024-01-01 10:00:00"],
         "string": ["1", "x"],
     }
     rows = [(name, i, value) for i, (name, vs) in enumerate(cases.items()) for value in vs]
+    kept_as_text = {
+        "past a decimal": ["12345678901234567890123456789012345.1234", "1.5"],
+        "one power": ["20000000000000000001", "1e2"],
+        "overflow": ["12E400", "1"],
+        "underflow": ["1e-400"],
+        "39 digits": ["1" * 39],
+    }
+    rows += [(name, 50, value) for name, vs in kept_as_text.items() for value in vs]
     rows += [("nothing", 99, None), ("mixed", 98, "2024-01-01"), ("mixed", 98, "7")]
     frame = spark.createDataFrame(rows, "name string, pos int, value string").withColumn(
         "bad_width", F.lit(False)
     )
     typed = profile.profile_values(frame, "name", "pos").withColumn("column_type", profile.column_type())
     found = {r.name: r.column_type for r in typed.collect()}
+    assert {found.pop(name) for name in kept_as_text} == {"string"}
     assert found == {**{name: name for name in cases}, "nothing": "string", "mixed": "string"}
 
 
@@ -132,9 +141,18 @@ def test_summary_of_informational_messages(spark):
     assert "archive_status" not in earlier and "missing_status" not in earlier and len(earlier) == 13
 
 
-def test_ids_of_one_append_stay_below_the_stride(spark):
-    ids = spark.range(0, 1000, 1, MAX_LOG_PARTS).select(F.monotonically_increasing_id().alias("i"))
-    assert ids.agg(F.max("i")).first()[0] < ID_STRIDE
+def test_a_lost_executor_is_no_bad_file(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from quayside import IntakeConfig
+    from quayside.plans.load import FileLoad, Loader
+
+    def work(group):
+        raise RuntimeError("Job aborted: ExecutorLostFailure (executor 3 exited)")
+
+    files = [FileLoad("F_20240101.csv", "/x/F", 1, 1, False, False, False, 1)]
+    with ThreadPoolExecutor(1) as pool, pytest.raises(RuntimeError):
+        Loader(spark, IntakeConfig("/x", "/y"), "C", "run", None)._each(pool, files, lambda f: 0, work)
 
 
 def test_a_failing_group_is_halved_down_to_the_bad_files(spark):
