@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from quayside.llm.common import snapshot, texts
 
 #: Words in the broadcast map, at most, and the bytes of each.
-HOT_WORDS = 1 << 19
+HOT_WORDS = 1 << 18
 HOT_BYTES = 64
 #: Longer words are merged with a heap: a fold copies its state at each step, so its time is quadratic.
 FOLD_BYTES = 1 << 13
@@ -214,14 +214,19 @@ def encode(
     id_col: str = "doc_id",
     text_col: str = "text",
     hot_words: int = HOT_WORDS,
+    decoded: bool = False,
 ) -> DataFrame:
-    """(id, ids) for every row; ids is a binary of little-endian unsigned 32-bit integers."""
+    """(id, ids) for every row; ids is a binary of little-endian unsigned 32-bit integers.
+
+    With ``decoded`` the ids are decoded again where they are made, as another column.
+    """
     rows = texts(docs, id_col, text_col)
     context = docs.sparkSession.sparkContext
     ranks = load_ranks(ranks_path)
     literal, byte_ids = _merge_literal(ranks), _byte_ids(ranks)
     hot = context.broadcast(_hot_words(rows, pattern, ranks, literal, hot_words))
     all_ranks = context.broadcast(ranks)
+    pieces = context.broadcast(_pieces(ranks)) if decoded else None
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Ids of frequent words, and a hole for each other word, which is listed once a document."""
@@ -265,12 +270,15 @@ def encode(
                     lengths = words.value_lengths().to_numpy()
                     ids = _fill_holes(ids, lengths, words.flatten().to_numpy())
                 filled.append(ids.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(filled, pa.binary())], ["id", "ids"])
+            columns = {"id": batch.column("id"), "ids": pa.array(filled, pa.binary())}
+            if pieces:
+                columns["decoded"] = pa.array([_join_pieces(x, pieces.value) for x in filled], pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
 
     folded = rows.mapInArrow(sketch, "id long, sketch binary, rare array<array<bigint>>").select(
         "id", "sketch", F.transform("rare", lambda word: fold_merges(word, literal)).alias("found")
     )
-    return folded.mapInArrow(fill, "id long, ids binary")
+    return folded.mapInArrow(fill, "id long, ids binary" + (", decoded binary" if decoded else ""))
 
 
 def _fill_holes(sketch: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np.ndarray:
@@ -290,18 +298,25 @@ def _fill_holes(sketch: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np
 
 def decode(encoded: DataFrame, ranks_path: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:
     """(id, ids, decoded) for every row: decoded joins the pieces of its ids. Null ids give no bytes."""
-    ranks = load_ranks(ranks_path)
-    pieces: list[bytes] = [b""] * (max(ranks.values()) + 1)
-    for piece, rank in ranks.items():
-        pieces[rank] = piece
-    shared = encoded.sparkSession.sparkContext.broadcast(pieces)
+    shared = encoded.sparkSession.sparkContext.broadcast(_pieces(load_ranks(ranks_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = shared.value.__getitem__
         for batch in batches:
-            decoded = [b"".join(map(piece, np.frombuffer(x.as_py() or b"", "<u4").tolist())) for x in batch.column("ids")]
-            rest = [batch.column(n) for n in batch.schema.names]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(decoded, pa.binary())], [*batch.schema.names, "decoded"])
+            decoded = [_join_pieces(x.as_py() or b"", shared.value) for x in batch.column("ids")]
+            yield pa.RecordBatch.from_pydict(
+                {"id": batch.column("id"), "ids": batch.column("ids"), "decoded": pa.array(decoded, pa.binary())}
+            )
 
     rows = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
     return rows.mapInArrow(run, "id long, ids binary, decoded binary")
+
+
+def _pieces(ranks: dict[bytes, int]) -> list[bytes]:
+    pieces = [b""] * (max(ranks.values()) + 1)
+    for piece, rank in ranks.items():
+        pieces[rank] = piece
+    return pieces
+
+
+def _join_pieces(ids: bytes, pieces: list[bytes]) -> bytes:
+    return b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
