@@ -39,8 +39,9 @@ MARKOV = "markov"
 IDENTIFIER_CHARS = 8
 CANDIDATE_CHARS = 16
 LEAST_RATIO = 0.7
-#: Added to each count of a pair.
+#: Added to each count of a character, and how many pairs the characters' own frequencies count for.
 SMOOTHING = 0.5
+BACKOFF = 500.0
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % CANDIDATE_CHARS)
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _SIZE = len(_ALPHABET)
@@ -119,8 +120,10 @@ def learn(docs: DataFrame, text_col: str = "text") -> np.ndarray | None:
         return None
     logs = {}
     for name, own in counts.items():
-        smooth = own.reshape(_SIZE, _SIZE) + SMOOTHING
-        logs[name] = np.log(smooth / smooth.sum(axis=1, keepdims=True))
+        pairs = own.reshape(_SIZE, _SIZE)
+        single = pairs.sum(axis=0) + SMOOTHING
+        single /= single.sum()
+        logs[name] = np.log((pairs + BACKOFF * single) / (pairs.sum(axis=1, keepdims=True) + BACKOFF))
     return logs["random"] - logs["ordinary"]
 
 
