@@ -11,14 +11,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside import IntakeConfig, load_category
+from quayside.functions import names
+from quayside.operators import monitor
 from quayside.plans.oplog import OpsStore
+from quayside.plans.probe import probe_files
 from quayside.session import new_folder
 from quayside.sources import hadoop
 from quayside.sources.catalog import entries
+from quayside.sources.manifest import read_all_manifests
 from standins.frames import table
 
 FILE_BYTES = 1 << 30
-FEWEST, MOST = 3, 1000
+FEWEST = 3
 FIRST_DAY = date(2000, 1, 1)
 
 
@@ -34,7 +38,9 @@ class Delivery:
         self.folder = f"{self.cfg.landing_root}/{self.category}"
         self.counts: list[DataFrame] = []
 
-    def put(self, feed: str, df: DataFrame, stamp: Column, quote_all: bool = False) -> None:
+    def put(
+        self, feed: str, df: DataFrame, stamp: Column, quote_all: bool = False, **options: str
+    ) -> None:
         """Write a frame as files ``<feed>_<stamp>.csv``, one writer per stamp."""
         texts = df.select(*(F.col(c).cast("string").alias(c) for c in df.columns), stamp.alias("stamp"))
         counts = texts.groupBy("stamp").count().select(
@@ -49,22 +55,24 @@ class Delivery:
             .write.partitionBy("stamp")
             .options(header=True, escape='"', quoteAll=quote_all, nullValue="\\N")
             .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+            .options(**options)
             .csv(target)
         )
         hadoop.make_folder(self.spark, self.folder)
         for part, _, _ in hadoop.walk(self.spark, target):
             if part.endswith(".csv"):
                 stamped = part.split("/")[0].removeprefix("stamp=")
-                hadoop.move(
-                    self.spark, f"{target}/{part}", f"{self.folder}/{feed}_{stamped}.csv"
-                )
+                whole = f"{self.folder}/{feed}_{stamped}.csv"
+                if hadoop.exists(self.spark, whole):
+                    raise RuntimeError(f"{whole} was written in more than one part")
+                hadoop.move(self.spark, f"{target}/{part}", whole)
 
     def announce(self, manifest: DataFrame | None = None) -> None:
         """Write the manifest: what was put, or other rows of the same shape."""
         rows = manifest if manifest is not None else reduce(DataFrame.unionByName, self.counts)
         rows = rows.withColumn("date", F.current_date()).withColumn("owner", F.lit("TESTS"))
         target = f"{self.parts}/manifest"
-        rows.coalesce(1).write.option("header", True).csv(target)
+        rows.repartition(1).write.option("header", True).csv(target)
         for part, _, _ in hadoop.walk(self.spark, target):
             if part.endswith(".csv"):
                 name = self.cfg.manifest_name(self.category)
@@ -79,13 +87,13 @@ class Delivery:
 
     def landed(self) -> list[str]:
         """Paths of the delivered files."""
-        names = [name for name, _, _ in hadoop.walk(self.spark, self.folder)]
-        return [f"{self.folder}/{n}" for n in names if not n.startswith(self.cfg.manifest_prefix)]
+        found = [name for name, _, _ in hadoop.walk(self.spark, self.folder)]
+        return [f"{self.folder}/{n}" for n in found if not n.startswith(self.cfg.manifest_prefix)]
 
     def dated_tables(self) -> list[DataFrame]:
         lineage = ("SRC_FILE_NM", "LOAD_TS")
-        names = [t.name for t in entries(self.spark, self.category)]
-        return [self.spark.table(f"{self.category}.{n}").drop(*lineage) for n in sorted(names)]
+        found = [t.name for t in entries(self.spark, self.category)]
+        return [self.spark.table(f"{self.category}.{n}").drop(*lineage) for n in sorted(found)]
 
     def view(self, feed: str) -> DataFrame:
         served = self.spark.table(f"{self.category}_VW.{feed}")
@@ -95,7 +103,7 @@ class Delivery:
 def spread(spark: SparkSession, sf_dir: str, name: str, key: str) -> Column:
     """Stamps that spread a table over about one file per GiB."""
     size = hadoop.size(spark, f"{sf_dir}/{name}.parquet")
-    n_files = min(MOST, max(FEWEST, math.ceil(size / FILE_BYTES)))
+    n_files = max(FEWEST, math.ceil(size / FILE_BYTES))
     offset = F.pmod(F.xxhash64(key), F.lit(n_files)).cast("int")
     return F.date_format(F.date_add(F.lit(FIRST_DAY), offset), "yyyyMMdd")
 
@@ -184,6 +192,44 @@ def rejected_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return failed.select("file_nm", "check_nm", "expected_val", "actual_val")
 
 
+def with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps of a run over good files, one with records of the wrong width, and one without a date."""
+    delivery = Delivery(spark)
+    year = F.date_format(F.trunc("o_orderdate", "year"), "yyyyMMdd")
+    delivery.put("ORDERS", table(spark, sf_dir, "orders"), year)
+    wide = F.when(F.col("n_regionkey") == 0, F.concat("n_name", F.lit(",more"))).otherwise(F.col("n_name"))
+    ragged = table(spark, sf_dir, "nation").select("n_nationkey", wide.alias("n_name"))
+    delivery.put("NATION", ragged, F.lit("20000101"), quote="")
+    delivery.put("REGION", table(spark, sf_dir, "region"), F.lit("ALL"))
+    delivery.announce()
+    delivery.load()
+    return delivery.store.job_log().select("file_nm", "step_nm", "status", "row_cnt")
+
+
+def rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run: nothing waits, and what was promised and loaded before is not missing."""
+    return orders_by_year(spark, sf_dir).load().drop("job_run_id", "category")
+
+
+def earlier_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    summary = monitor.earlier_load_summary(orders_by_year(spark, sf_dir).store.job_log())
+    return summary.select("file_nm", "validation_status", "load_status", "rows_loaded", "view_status")
+
+
+def probed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns and rows of the files in place, found by a pattern of their path."""
+    found = probe_files(spark, rejected(spark, sf_dir).cfg.landing_root, "D[^/]*/ORDERS_[0-9]{8}[.]csv")
+    return found.select(names.last_segment("file_path").alias("file_nm"), "actual_col_cnt", "actual_row_cnt")
+
+
+def all_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of every manifest below the landing zone."""
+    cfg = rejected(spark, sf_dir).cfg
+    rows = read_all_manifests(spark, cfg.landing_root, cfg.manifest_prefix)
+    counts = [F.trim(c).cast("long").alias(c) for c in ("col_cnt", "row_cnt")]
+    return rows.select("file_nm", *counts)
+
+
 def manifest_driven(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders by year, with the manifest as the driving side, which announces one year more."""
     delivery = Delivery(spark)

@@ -235,6 +235,26 @@ SELECT y.file_nm, 'ROW_COUNT' AS check_nm, CAST(s.n AS VARCHAR) AS expected_val,
 FROM y JOIN s ON s.file_nm = y.file_nm WHERE s.n <> y.n
 UNION ALL SELECT y.file_nm, 'FILE_IN_INVENTORY', 'Y', 'N' FROM y WHERE file_nm NOT IN (SELECT file_nm FROM s)
 UNION ALL SELECT s.file_nm, 'FILE_NAME_EXISTS', 'Y', 'N' FROM s WHERE file_nm NOT IN (SELECT file_nm FROM y)""",
+    "load_with_errors": f"""
+WITH {_YEARS}
+SELECT file_nm, step_nm, 'SUCCESS' AS status, CASE WHEN step_nm = 'TABLE_LOAD' THEN n END AS row_cnt
+FROM y CROSS JOIN (VALUES ('VALIDATION'), ('TABLE_LOAD'), ('VIEW_REFRESH'), ('ARCHIVE')) t(step_nm)
+UNION ALL VALUES ('NATION_20000101.csv', 'VALIDATION', 'SUCCESS', NULL), ('NATION_20000101.csv', 'TABLE_LOAD', 'ERROR', NULL),
+                 ('REGION_ALL.csv', 'VALIDATION', 'SUCCESS', NULL),
+                 ('REGION_ALL.csv', 'TABLE_LOAD', 'SUCCESS', (SELECT count(*) FROM region)),
+                 ('REGION_ALL.csv', 'VIEW_REFRESH', 'ERROR', NULL)""",
+    "load_rerun": """
+SELECT 0::BIGINT AS files_found, 0::BIGINT AS files_loaded, 0::BIGINT AS files_failed,
+       0::BIGINT AS files_not_in_inventory, 0::BIGINT AS files_missing""",
+    "earlier_summary": f"""
+WITH {_YEARS}
+SELECT file_nm, 'SUCCESS' AS validation_status, 'SUCCESS' AS load_status, n AS rows_loaded, 'SUCCESS' AS view_status FROM y""",
+    "probe_orders": f"""
+WITH {_YEARS}
+SELECT file_nm, 6 AS actual_col_cnt, n AS actual_row_cnt FROM y""",
+    "all_manifests": f"""
+WITH {_YEARS}, {_LATE}
+SELECT file_nm, 6::BIGINT AS col_cnt, n AS row_cnt FROM s""",
     "load_by_manifest": f"""
 WITH {_YEARS}, {_LATE},
 m AS (SELECT file_nm FROM s WHERE file_nm NOT IN (SELECT file_nm FROM y))
