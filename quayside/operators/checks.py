@@ -140,16 +140,21 @@ def rows_loaded_check(loads: DataFrame, table_label: Column) -> DataFrame:
     )
 
 
-def loaded_before(job_events: DataFrame, category: str | None = None) -> DataFrame:
-    """File keys with a successful load in the step log.
+def loaded_before(
+    job_events: DataFrame, category: str | None = None, wanted: DataFrame | None = None
+) -> DataFrame:
+    """File keys with a successful load in the step log, only those of ``wanted`` files if given.
 
     A successful load step is never reopened, so its closing event alone decides and the
-    filter reaches the scan.
+    filter reaches the scan. The history is cut to the wanted keys before anything is shuffled.
     """
     done = (F.col("step_nm") == v.TABLE_LOAD) & (F.col("status") == v.SUCCESS)
     if category is not None:
         done = done & (F.col("category") == category)
-    return job_events.where(done).select(file_key("file_nm").alias("file_key")).distinct()
+    keys = job_events.where(done).select(file_key("file_nm").alias("file_key"))
+    if wanted is not None:
+        keys = keys.join(wanted.select(file_key("file_nm").alias("file_key")), "file_key", "left_semi")
+    return keys.distinct()
 
 
 def missing_files(manifest: DataFrame, files: DataFrame, loaded: DataFrame) -> DataFrame:

@@ -100,7 +100,9 @@ class OpsStore:
         return self.read("audit_log")
 
     def load_summary(self) -> DataFrame:
-        return monitor.load_summary(self.job_log())
+        """One shuffle, by run and file, serves both the steps' states and the summary."""
+        events = self.job_events().repartition("job_run_id", "file_nm")
+        return monitor.load_summary(steplog.job_log(events))
 
     def failed_checks(self) -> DataFrame:
         return monitor.failed_checks(self.audit_log())

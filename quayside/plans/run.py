@@ -135,8 +135,8 @@ class Intake:
     ) -> DataFrame:
         """Log the missing files and return the counters of the run."""
         only = self.category if self.cfg.history_by_category else None
-        history = checks.loaded_before(self.store.job_events(), only)
-        missing = checks.missing_files(manifest, files, history)
+        history = checks.loaded_before(self.store.job_events(), only, manifest)
+        missing = self._kept(checks.missing_files(manifest, files, history))
         frame = local_frame(
             self.spark,
             [(o.listed, o.loaded, o.failed) for o in outcomes],
