@@ -16,15 +16,14 @@ learned. Ids may be null or repeat: rows are kept one for one. An empty table gi
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
 from quayside.llm.common import small_batches
 
 UNKNOWN = "und"
@@ -36,7 +35,7 @@ ITERATIONS = 12
 PENALTY = 4.0
 #: Bytes whose trigrams are looked up at a time, and of texts whose mixtures are estimated together.
 _BYTES_AT_ONCE = 1 << 20
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 #: ASCII other than letters to spaces.
 _TO_WORDS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
