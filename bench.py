@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators.measure import measure_files
 from quayside.session import local_session, new_folder
+from standins import delivery
 from standins.delivery import Delivery
 from standins.frames import table
 from standins.operators import QUERIES
@@ -36,6 +37,15 @@ DELIVERIES = {
 }
 
 
+# deliveries, loads and what is read back of them, as one time
+WHOLE_RUNS = {
+    "load_latest_view": delivery.latest_orders,
+    "load_with_errors": delivery.with_errors,
+    "load_rerun": delivery.rerun,
+    "probe_orders": delivery.probed_orders,
+}
+
+
 def wanted(name: str) -> bool:
     return not ONLY or name.startswith(ONLY)
 
@@ -59,19 +69,23 @@ def main() -> None:
         if wanted(name):
             timed(name, lambda query=query: finish(query(spark, SF_DIR)))
 
+    for name, query in WHOLE_RUNS.items():
+        if wanted(name):
+            timed(name, lambda query=query: finish(query(spark, SF_DIR)))
+
     for name, (source, stamp) in DELIVERIES.items():
         if not wanted(name):
             continue
-        delivery = Delivery(spark)
-        delivery.put(source.upper(), table(spark, SF_DIR, source), F.expr(stamp), quote_all=source == "documents")
-        delivery.announce()
-        paths = delivery.landed()
+        landing = Delivery(spark)
+        landing.put(source.upper(), table(spark, SF_DIR, source), F.expr(stamp), quote_all=source == "documents")
+        landing.announce()
+        paths = landing.landed()
         timed(f"{name}_measure", lambda: finish(measure_files(spark, paths, new_folder(spark, "bench"))[0]))
         result = {}
-        timed(f"{name}_load", lambda: result.update(delivery.load().first().asDict()))
+        timed(f"{name}_load", lambda: result.update(landing.load().first().asDict()))
         if result["files_loaded"] != len(paths):
             raise RuntimeError(f"{name}: {result} of {len(paths)} files")
-        timed(f"{name}_summary", lambda: finish(delivery.store.load_summary()))
+        timed(f"{name}_summary", lambda: finish(landing.store.load_summary()))
 
     print(
         json.dumps(
