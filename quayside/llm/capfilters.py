@@ -32,14 +32,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import Forest, dealt_and_sorted, groups, in_block_pairs, snapshot
+from quayside.llm.common import dealt_and_sorted, groups, in_block_pairs, snapshot
 from quayside.llm.components import components
 
 LEAST_COSINE = 0.98
 MARGIN = 0.12
 #: Vectors that a filter's list holds on average, about; and the most of a block.
 LIST_ROWS = 64
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 8192
+#: Vectors of a block compared with the others at a time.
+_CHUNK = 64
 SEED = 20240229
 #: Vectors without an id are known by a hash from here on, above all ids, while links are followed.
 _UNNAMED = 1 << 62
@@ -87,62 +89,92 @@ def _filters(vectors: DataFrame, width: int, margin: float) -> DataFrame:
                 lists.append(decode(unit, *drawn[len(unit)], margin))
             columns = [batch.column(n) for n in batch.schema.names]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(lists, pa.list_(pa.int64()))], [*batch.schema.names, "filters"]
+                [*columns, pa.array(lists, pa.list_(pa.int32()))], [*batch.schema.names, "filters"]
             )
 
-    schema = vectors.select("*", F.array().cast("array<bigint>").alias("filters")).schema
+    schema = vectors.select("*", F.array().cast("array<int>").alias("filters")).schema
     return vectors.mapInArrow(run, schema)
 
 
 def _verify(batches: Iterator[pa.RecordBatch], least_cosine: float) -> Iterator[pa.RecordBatch]:
     """Rows (node, links, other): links to add to a vector, or an edge to another one."""
-    names = ["node", "links", "other"]
     for group in groups(batches, ["label", "filter", "block_a", "block_b"]):
         nodes, copies = group.column("node").to_numpy(), group.column("copies").to_numpy()
         own, first = group.column("own").to_numpy(), group.column("block_a")[0].as_py()
         here = group.column("filter")[0].as_py()
-        column = group.column("vector").combine_chunks()
-        lengths = column.value_lengths().to_numpy()
-        flat, lists = column.flatten().to_numpy().astype(np.float64), group.column("filters").to_pylist()
         alone = first == group.column("block_b")[0].as_py()
-        links, forest, edges = np.zeros(len(nodes), np.int64), Forest(len(nodes)), []
-        ends = np.cumsum(lengths)
-        for length in np.unique(lengths).tolist():
-            rows = np.flatnonzero(lengths == length)
-            if not length:
-                continue
-            units = np.stack([flat[ends[r] - length : ends[r]] for r in rows])
+        vectors, lists = _Lists(group.column("vector")), _Lists(group.column("filters"))
+        links, edges, label = np.zeros(len(nodes), np.int64), [], np.arange(len(nodes))
+        for length in np.unique(vectors.sizes[vectors.sizes > 0]).tolist():
+            rows = np.flatnonzero(vectors.sizes == length)
+            units = vectors.rows(rows).reshape(-1, length).astype(np.float64)
             units /= np.linalg.norm(units, axis=1, keepdims=True)
             left = np.arange(len(rows)) if alone else np.flatnonzero(own[rows] == first)
             right = left if alone else np.flatnonzero(own[rows] != first)
-            for k in range(0, len(left), 512):
-                part = left[k : k + 512]
+            for k in range(0, len(left), _CHUNK):
+                part = left[k : k + _CHUNK]
                 close = units[part] @ units[right].T >= least_cosine
-                for i, j in zip(*np.nonzero(close)):
-                    a, b = int(rows[part[i]]), int(rows[right[j]])
-                    if (alone and a >= b) or _first_shared(lists[a], lists[b]) != here:
-                        continue
-                    links[a] += copies[b]
-                    links[b] += copies[a]
-                    if forest.join(a, b):
-                        edges.append((nodes[a], nodes[b]))
+                if alone:
+                    close[np.arange(len(part)), np.arange(k, k + len(part))] = False
+                a, b = close.any(axis=1), close.any(axis=0)
+                if not a.any():
+                    continue
+                close, from_rows, to_rows = close[np.ix_(a, b)], rows[part[a]], rows[right[b]]
+                counted = close & ~_share_before(lists, from_rows, to_rows, here)
+                links[from_rows] += counted @ copies[to_rows]
+                if not alone:
+                    links[to_rows] += counted.T @ copies[from_rows]
+                for row, near in zip(from_rows.tolist(), close):
+                    _span(row, to_rows[near], label, edges)
         used = np.flatnonzero(links)
-        found = [(nodes[k], links[k], None) for k in used] + [(a, None, b) for a, b in edges]
+        found = [(int(nodes[k]), int(links[k]), None) for k in used]
+        found += [(int(nodes[a]), None, int(nodes[b])) for a, b in edges]
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names)
+            columns = [pa.array(x, pa.int64()) for x in zip(*found)]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "links", "other"])
 
 
-def _first_shared(a: list[int], b: list[int]) -> int | None:
-    """The least value of two ascending lists."""
-    i = j = 0
-    while i < len(a) and j < len(b):
-        if a[i] == b[j]:
-            return a[i]
-        if a[i] < b[j]:
-            i += 1
-        else:
-            j += 1
-    return None
+class _Lists:
+    """A column of lists as flat values and sizes."""
+
+    def __init__(self, column: pa.ChunkedArray):
+        whole = column.combine_chunks()
+        self.flat = whole.flatten().to_numpy()
+        self.sizes = whole.value_lengths().to_numpy().astype(np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+
+    def rows(self, rows: np.ndarray) -> np.ndarray:
+        """The values of some rows, one after another."""
+        sizes = self.sizes[rows]
+        shift = np.repeat(self.begins[rows] - (np.cumsum(sizes) - sizes), sizes)
+        return self.flat[np.arange(len(shift)) + shift]
+
+
+def _share_before(lists: _Lists, left: np.ndarray, right: np.ndarray, here: int) -> np.ndarray:
+    """Which pairs of rows have a filter lower than ``here`` in common, so were counted there."""
+    flat = lists.rows(left)
+    columns = np.unique(flat[flat < here])
+    if not len(columns):
+        return np.zeros((len(left), len(right)), dtype=bool)
+
+    def members(rows: np.ndarray) -> np.ndarray:
+        values, owner = lists.rows(rows), np.repeat(np.arange(len(rows)), lists.sizes[rows])
+        at = np.minimum(np.searchsorted(columns, values), len(columns) - 1)
+        kept = columns[at] == values
+        matrix = np.zeros((len(rows), len(columns)), dtype=np.float32)
+        matrix[owner[kept], at[kept]] = 1
+        return matrix
+
+    return members(left) @ members(right).T > 0
+
+
+def _span(row: int, near: np.ndarray, label: np.ndarray, edges: list[tuple[int, int]]) -> None:
+    """Join a row with its neighbours, keeping an edge for each set that was apart."""
+    sets, places = np.unique(label[near], return_index=True)
+    apart = sets != label[row]
+    if apart.any():
+        edges.extend((row, int(near[k])) for k in places[apart])
+        label[np.isin(label, sets)] = label[row]
 
 
 def near_duplicates(
@@ -155,10 +187,11 @@ def near_duplicates(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(id, links, component) for every row: links to other rows, and the smallest id reachable by them."""
+    floats = vectors.schema[vector_col].dataType.simpleString() == "array<float>"  # as narrow as they come
     rows = vectors.select(
         F.col(id_col).cast("long").alias("id"),
         F.col(label_col).cast("long").alias("label"),
-        F.col(vector_col).cast("array<double>").alias("vector"),
+        F.col(vector_col).cast("array<float>" if floats else "array<double>").alias("vector"),
     )
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists("vector", lambda x: x != 0)
