@@ -6,7 +6,8 @@ after every document, so that no phrase runs from one into the next. Segments ar
 are read and searched where they are stored: building and searching shuffle nothing, however often a
 document, a term or a phrase repeats. A document is never cut; one of more words is a segment of its own.
 
-A search takes a stated set of phrases to every segment. For each phrase it starts from the term that is
+A search takes a stated set of phrases to every segment; a set of any size is a table of windows, which goes there
+in blocks of ``BLOCK_WINDOWS``, and what the blocks hit is merged by document. For each phrase it starts from the term that is
 rarest in the segment and intersects the lists of the others, each shifted by its offset in the phrase; a
 phrase with a term that the segment lacks ends there. Only the lists of the phrases' terms are unpacked.
 
@@ -23,19 +24,24 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import texts
+from quayside.llm.common import small_batches, snapshot, texts
+from quayside.session import new_folder, written
 
 SEGMENT_WORDS = 1 << 20
 #: Places left free after each document, so also the longest phrase that can be asked for.
 GAP = 1 << 12
+#: Windows that are looked for together, and their bytes: what the driver and each Python worker hold of a table of them.
+BLOCK_WINDOWS = 1 << 17
+BLOCK_BYTES = 16 << 20
 _LETTERS = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
 
-SEGMENT = "ids binary, sizes binary, terms binary, counts binary, places binary"
+SEGMENT = "segment long, ids binary, marks binary, sizes binary, terms binary, counts binary, places binary"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -58,13 +64,15 @@ class _Builder:
         self.numbers: dict[bytes, int] = {}
         self.stream: list[np.ndarray] = []
         self.ids: list[int | None] = []
+        self.marks: list[int] = []
         self.sizes: list[int] = []
         self.words = 0
 
-    def add(self, doc_id: int | None, words: list[bytes]) -> None:
+    def add(self, doc_id: int | None, mark: int, words: list[bytes]) -> None:
         number = self.numbers.setdefault
         self.stream.append(np.fromiter((number(w, len(self.numbers)) for w in words), np.int32, len(words)))
         self.ids.append(doc_id)
+        self.marks.append(mark)
         self.sizes.append(len(words))
         self.words += len(words)
 
@@ -82,6 +90,7 @@ class _Builder:
         ids = np.array([i or 0 for i in self.ids], dtype=np.int64)
         return (
             _pack(np.concatenate([known.astype(np.int64), ids])),
+            _pack(np.array(self.marks, dtype=np.int64)),
             _pack(sizes),
             _pack(b"\n".join(self.numbers)),
             _pack(counts.astype(np.int32)),
@@ -90,32 +99,36 @@ class _Builder:
 
 
 def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", segment_words: int = SEGMENT_WORDS) -> DataFrame:
-    """The index of all documents: one row for each segment, in the columns of SEGMENT."""
+    """The index of all documents: one row for each segment, in the columns of SEGMENT; a document's mark is its text's hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
         building = _Builder()
         for batch in batches:
-            for doc_id, text in zip(batch.column("id").to_pylist(), batch.column("text")):
+            for doc_id, mark, text in zip(batch.column("id").to_pylist(), batch.column("mark").to_pylist(), batch.column("text")):
                 words = words_of(text.as_py())
                 if building.words and building.words + len(words) > segment_words or len(building.ids) >= segment_words // 4:
-                    yield _segment(building)
-                    building = _Builder()
-                building.add(doc_id, words)
+                    yield _segment(building, number)
+                    number, building = number + 1, _Builder()
+                building.add(doc_id, mark, words)
         if building.ids:
-            yield _segment(building)
+            yield _segment(building, number)
 
-    return texts(docs, id_col, text_col).mapInArrow(run, SEGMENT)
+    return texts(docs, id_col, text_col).withColumn("mark", F.xxhash64("text")).mapInArrow(run, SEGMENT)
 
 
-def _segment(building: _Builder) -> pa.RecordBatch:
+def _segment(building: _Builder, number: int) -> pa.RecordBatch:
     names = [field.split()[0] for field in SEGMENT.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in building.row()], names)
+    packed = [pa.array([x], pa.binary()) for x in building.row()]
+    return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *packed], names)
 
 
 class Segment:
     """One segment, with the lists of the wanted terms unpacked."""
 
-    def __init__(self, row: dict[str, bytes], wanted: dict[bytes, int]):
+    def __init__(self, row: dict, wanted: dict[bytes, int]):
+        self.number = row["segment"]
+        self.marks = _unpack(row["marks"], np.int64)
         known, ids = _unpack(row["ids"], np.int64).reshape(2, -1)
         self.ids = [int(i) if k else None for i, k in zip(ids, known)]
         self.sizes = _unpack(row["sizes"], np.int64)
@@ -176,7 +189,7 @@ class Phrases:
     """The stated phrases: their terms as numbers, and the items that each belongs to."""
 
     terms: dict[bytes, int]
-    items: list[str]
+    items: list[str | None]
     of: dict[tuple[int, ...], list[int]]
 
 
@@ -195,7 +208,7 @@ def phrases_of(items: list[tuple[str, str | None]], width: int) -> Phrases:
 
 
 def search(index: DataFrame, phrases: Phrases, span: int | None = None) -> DataFrame:
-    """(id, n_words, n_hit, items, near_items) for every document of the index.
+    """(id, mark, n_words, n_hit, items, near_items) for every document of the index.
 
     n_hit counts the words inside any occurrence of a phrase, items lists (sorted, once each) the items of
     the phrases that occur. With a ``span``, near_items lists the items of which a phrase's terms all
@@ -208,13 +221,20 @@ def search(index: DataFrame, phrases: Phrases, span: int | None = None) -> DataF
             for row in batch.to_pylist():
                 yield _search_segment(Segment(row, shared.value.terms), shared.value, span)
 
-    return index.mapInArrow(run, "id long, n_words long, n_hit long, items array<string>, near_items array<string>")
+    return index.mapInArrow(run, FOUND)
 
 
-def _search_segment(segment: Segment, phrases: Phrases, span: int | None) -> pa.RecordBatch:
+FOUND = "id long, mark long, n_words long, n_hit long, items array<string>, near_items array<string>"
+_HIT = "segment long, doc long, ranges array<struct<begin:long,end:long>>, items array<string>, near_items array<string>"
+
+
+def _hits(
+    segment: Segment, phrases: Phrases, span: int | None
+) -> tuple[np.ndarray, np.ndarray, dict[int, set[int]], dict[int, set[int]]]:
+    """Begins and ends of all occurrences, by begin, and the items found in each document, exactly and nearly."""
     exact: dict[int, set[int]] = defaultdict(set)
     near: dict[int, set[int]] = defaultdict(set)
-    begins, ends = [], []
+    begins, ends = [_NONE], [_NONE]
     for terms, items in phrases.of.items():
         found = segment.phrase(terms)
         if len(found):
@@ -225,27 +245,166 @@ def _search_segment(segment: Segment, phrases: Phrases, span: int | None) -> pa.
         if span is not None:
             for doc in np.unique(segment.documents(segment.near(terms, span))).tolist():
                 near[doc].update(items)
-    hits = np.zeros(len(segment.ids), dtype=np.int64)
-    if begins:
-        begin, end = np.concatenate(begins), np.concatenate(ends)
-        order = np.argsort(begin, kind="stable")
-        begin, end = begin[order], np.maximum.accumulate(end[order])
-        fresh = np.maximum(begin, np.concatenate([[0], end[:-1]]))  # counted up to here by those before
-        np.add.at(hits, segment.documents(begin), np.maximum(0, end - fresh))
+    begin, end = np.concatenate(begins), np.concatenate(ends)
+    order = np.argsort(begin, kind="stable")
+    return begin[order], np.maximum.accumulate(end[order]), exact, near
+
 
-    def names(of: dict[int, set[int]], doc: int) -> list[str]:
-        return sorted({phrases.items[k] for k in of[doc]}) if doc in of else []
+def _names(phrases: Phrases, of: dict[int, set[int]], doc: int) -> list[str]:
+    return sorted({phrases.items[k] for k in of[doc]} - {None}) if doc in of else []
 
+
+def _search_segment(segment: Segment, phrases: Phrases, span: int | None) -> pa.RecordBatch:
+    begin, end, exact, near = _hits(segment, phrases, span)
+    hits = np.zeros(len(segment.ids), dtype=np.int64)
+    fresh = np.maximum(begin, np.concatenate([[0], end])[: len(end)])  # counted up to here by those before
+    np.add.at(hits, segment.documents(begin), np.maximum(0, end - fresh))
     every = range(len(segment.ids))
     return pa.RecordBatch.from_arrays(
         [
             pa.array(segment.ids, pa.int64()),
+            pa.array(segment.marks),
             pa.array(segment.sizes),
             pa.array(hits),
-            pa.array([names(exact, d) for d in every], pa.list_(pa.string())),
-            pa.array([None if span is None else names(near, d) for d in every], pa.list_(pa.string())),
+            pa.array([_names(phrases, exact, d) for d in every], pa.list_(pa.string())),
+            pa.array([None if span is None else _names(phrases, near, d) for d in every], pa.list_(pa.string())),
+        ],
+        ["id", "mark", "n_words", "n_hit", "items", "near_items"],
+    )
+
+
+def _hits_of_segment(segment: Segment, phrases: Phrases, span: int | None) -> pa.RecordBatch:
+    """What a part of the phrases hits: a row for each document with a hit, in the columns of _HIT."""
+    begin, end, exact, near = _hits(segment, phrases, span)
+    apart = np.flatnonzero(np.concatenate([[True], begin[1:] > end[:-1]])) if len(begin) else _NONE
+    begin, end = begin[apart], end[np.concatenate([apart[1:] - 1, [len(end) - 1]])] if len(end) else end
+    ranges: dict[int, list[dict[str, int]]] = defaultdict(list)
+    for doc, a, b in zip(segment.documents(begin).tolist(), begin.tolist(), end.tolist()):
+        ranges[doc].append({"begin": a, "end": b})
+    docs = sorted({*ranges, *near})
+    kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([segment.number] * len(docs), pa.int64()),
+            pa.array(docs, pa.int64()),
+            pa.array([ranges.get(d, []) for d in docs], kind),
+            pa.array([_names(phrases, exact, d) for d in docs], pa.list_(pa.string())),
+            pa.array([_names(phrases, near, d) for d in docs], pa.list_(pa.string())),
         ],
-        ["id", "n_words", "n_hit", "items", "near_items"],
+        ["segment", "doc", "ranges", "items", "near_items"],
+    )
+
+
+def windows(items: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """(window, item), once each, for a table of items of any size; a window is its words with spaces between.
+
+    As in phrases_of, but an item with a null id has windows too: they count as hits and name no item.
+    """
+    if width > GAP:
+        raise ValueError(f"phrases of more than {GAP} words cannot be asked for")
+    small_batches(items.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column("item"), batch.column("text")):
+                words = words_of(text.as_py())
+                count = max(1, len(words) - width + 1) if words else 0
+                for at in range(0, count, 10_000):
+                    found = {b" ".join(words[k : k + width]) for k in range(at, min(at + 10_000, count))}
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found, pa.binary()), pa.array([item.as_py()] * len(found), pa.string())], ["window", "item"]
+                    )
+
+    rows = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, "window binary, item string").distinct()
+
+
+def _phrases_of_windows(rows: list) -> Phrases:
+    terms: dict[bytes, int] = {}
+    names: dict[str | None, int] = {}
+    of: dict[tuple[int, ...], list[int]] = defaultdict(list)
+    for window, item in rows:
+        numbers = tuple(terms.setdefault(w, len(terms)) for w in bytes(window).split(b" "))
+        of[numbers].append(names.setdefault(item, len(names)))
+    return Phrases(terms, list(names), dict(of))
+
+
+def search_windows(
+    index: DataFrame, asked: DataFrame, span: int | None = None, block_windows: int = BLOCK_WINDOWS, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """As search(), for a table of ``windows`` of any size; ``index`` should be a written table.
+
+    The windows are dealt into blocks that a driver and a worker can hold, each block goes to every segment, and what it
+    hits is written: ranges and items of the documents with a hit. These are merged by document at the end.
+    """
+    asked = snapshot(asked, "windows")
+    rows, size = asked.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("window")), F.lit(0))).first()
+    blocks = max(1, -(-rows // block_windows), -(-size // block_bytes))
+    if blocks == 1:
+        return search(index, _phrases_of_windows(asked.collect()), span)
+    spark = index.sparkSession
+    dealt = asked.withColumn("block", F.pmod(F.xxhash64("window", "item"), F.lit(blocks)))
+    dealt = written(dealt.repartition("block"), new_folder(spark, "blocks"), "block")
+    folder = new_folder(spark, "hits")
+    for block in range(blocks):
+        phrases = _phrases_of_windows(dealt.where(F.col("block") == block).select("window", "item").collect())
+        shared = spark.sparkContext.broadcast(phrases)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    yield _hits_of_segment(Segment(row, shared.value.terms), shared.value, span)
+
+        index.mapInArrow(run, _HIT).write.mode("append").parquet(folder)
+        shared.destroy()
+    return _merged(index, spark.read.schema(_HIT).parquet(folder), span)
+
+
+def _merged(index: DataFrame, hits: DataFrame, span: int | None) -> DataFrame:
+    """What search() gives, from the documents of an index and the hits of all blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                segment = Segment(row, {})
+                count = len(segment.ids)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([segment.number] * count, pa.int64()),
+                        pa.array(range(count), pa.int64()),
+                        pa.array(segment.ids, pa.int64()),
+                        pa.array(segment.marks),
+                        pa.array(segment.sizes),
+                    ],
+                    ["segment", "doc", "id", "mark", "n_words"],
+                )
+
+    every = index.mapInArrow(run, "segment long, doc long, id long, mark long, n_words long")
+    long = F.lit(0).cast("long")
+    count = F.aggregate(
+        F.array_sort("ranges"),
+        F.struct(long.alias("hit"), long.alias("at")),
+        lambda s, r: F.struct(
+            (s["hit"] + F.greatest(long, r["end"] - F.greatest(r["begin"], s["at"]))).alias("hit"),
+            F.greatest(s["at"], r["end"]).alias("at"),
+        ),
+        lambda s: s["hit"],
+    )
+    whole = hits.groupBy("segment", "doc").agg(
+        *(F.flatten(F.collect_list(c)).alias(c) for c in ("ranges", "items", "near_items"))
+    )
+    none = F.array().cast("array<string>")
+
+    def named(items: str):
+        return F.coalesce(F.array_sort(F.array_distinct(items)), none).alias(items)
+
+    return every.join(whole, ["segment", "doc"], "left").select(
+        "id",
+        "mark",
+        "n_words",
+        F.coalesce(count, long).alias("n_hit"),
+        named("items"),
+        F.lit(None).cast("array<string>").alias("near_items") if span is None else named("near_items"),
     )
 
 

@@ -87,15 +87,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Words of a benchmark item that are looked for together.
 WINDOW_WORDS = 10
-#: Text of a benchmark, at most: its phrases go to every segment of the index.
-BENCHMARK_BYTES = 64 << 20
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the benchmark's windows hit in each document."""
     index = snapshot(posindex.build(docs), "index")
-    phrases = posindex.stated_phrases(table(spark, sf_dir, "benchmark"), "item_id", "text", WINDOW_WORDS, BENCHMARK_BYTES)
-    return posindex.search(index, phrases)
+    asked = posindex.windows(table(spark, sf_dir, "benchmark"), "item_id", "text", WINDOW_WORDS)
+    return posindex.search_windows(index, asked)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

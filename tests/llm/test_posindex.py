@@ -54,3 +54,35 @@ def test_stated_phrases(spark, odd_docs, no_docs):
     assert posindex.search(posindex.build(no_docs), phrases).count() == 0
     with pytest.raises(ValueError):
         posindex.stated_phrases(items, "item_id", "text", 10, 3)
+
+
+@pytest.mark.parametrize("limits", [(1 << 17, 1 << 24), (3, 1 << 24), (1 << 17, 40)])
+def test_windows_in_blocks_as_brute_force(spark, limits):
+    rng = random.Random(10)
+    docs = [(100 + k, " ".join(rng.choice("abcd") for _ in range(rng.randint(0, 60)))) for k in range(40)]
+    docs += [(100, "a b A, c-d"), (None, "b a b a b"), (None, None), (7, "café 中文 x")]
+    items = [("i1", "a b c d a"), ("i1", "d c b a"), ("i2", "d"), ("i3", None), ("i4", "..."), ("i5", "b a b a"), ("i6", "café 中文"), ("i7", "a b c d a b c d")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    asked = posindex.windows(spark.createDataFrame(items, "item_id string, text string"), "item_id", "text", 4)
+    found = posindex.search_windows(posindex.build(frame, segment_words=40), asked, None, *limits).collect()
+    assert sorted((str(r.id), r.n_words, r.n_hit, r.items) for r in found) == brute(docs, items, 4)
+    assert all(r.near_items is None for r in found)
+
+
+def test_near_items_of_blocks(spark):
+    docs = spark.createDataFrame([(1, "red x x green y blue"), (2, "red " + "x " * 30 + "green blue"), (3, "blue green red")], "doc_id long, text string")
+    items = spark.createDataFrame([("c", "red green blue"), ("d", "green y"), ("e", "x x")], "item_id string, text string")
+    asked = posindex.windows(items, "item_id", "text", 10)
+    found = {r.id: (r.items, r.near_items) for r in posindex.search_windows(posindex.build(docs), asked, 6, 1).collect()}
+    assert found == {1: (["d", "e"], ["c", "d", "e"]), 2: (["e"], ["e"]), 3: ([], ["c"])}
+
+
+def test_an_item_without_a_name_counts_as_a_hit(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "c d")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "a b"), ("n", "d"), ("n", None)], "item_id string, text string")
+    asked = posindex.windows(items, "item_id", "text", 10)
+    for block in (1, 10):
+        found = {r.id: (r.n_hit, r.items) for r in posindex.search_windows(posindex.build(docs), asked, None, block).collect()}
+        assert found == {1: (2, []), 2: (1, ["n"])}
+    assert posindex.search_windows(posindex.build(docs.limit(0)), asked, None, 1).count() == 0
+    assert {r.n_hit for r in posindex.search_windows(posindex.build(docs), asked.limit(0)).collect()} == {0}
