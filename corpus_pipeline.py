@@ -1,8 +1,8 @@
 """The corpus pipeline: five stages, each on what the one before it kept, written and read again between them.
 
-All but the last return rows with the columns of documents. A row with a null id takes part like any other, but
-the benchmark stage keeps it, since a row without a name cannot be named as contaminated. Rows that repeat an id
-share its decisions. An empty table passes through.
+All but the last return rows with the columns of documents. Every row is decided by its id and text together: a row
+with a null id takes part like any other, and rows that repeat an id with other texts are decided apart. An empty
+table passes through.
 """
 
 from __future__ import annotations
@@ -29,9 +29,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    found = decontaminated(spark, docs, sf_dir).where("n_hit > 0 and id is not null")
-    hit = snapshot(found.select(F.col("id").alias("_hit")).distinct(), "hit")
-    return docs.join(hit, F.col("doc_id") == F.col("_hit"), "left_anti")
+    found = decontaminated(spark, docs, sf_dir).where("n_hit > 0")
+    hit = snapshot(found.select(F.col("id").alias("_hit"), F.col("mark").alias("_mark")).distinct(), "hit")
+    text = F.xxhash64(F.col("text").cast("string"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_hit")) & (text == F.col("_mark"))
+    return docs.join(hit, same, "left_anti")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

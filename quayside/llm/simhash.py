@@ -9,6 +9,7 @@ to d + radius. A shard of more than ``SHARD_ROWS`` fingerprints becomes several
 each tree is sent to all tasks with queries for that shard; so what is sent is bounded, and no
 fingerprint meets trees that cannot hold a partner.
 
+Fingerprints are the nodes, not ids: texts that share an id, or have none, link on their own account.
 Null, empty and blank texts have fingerprint 0 and link like any other. Rows with a null id keep
 their row; an id that repeats has a row for each of its rows. An empty table gives an empty one.
 """
@@ -58,16 +59,26 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * counts > len(packed), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, fp) for every row; fp is the fingerprint's 64 bits as a long."""
+def fingerprints(
+    docs: DataFrame, id_col: str, text_col: str, shingle_words: int = SHINGLE_WORDS, marked: bool = False
+) -> DataFrame:
+    """(id, fp) for every row; fp is the fingerprint's 64 bits as a long. If marked, also mark, which tells texts apart."""
+    kept = ["id", "mark"] if marked else ["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t.as_py(), shingle_words) for t in batch.column("text")]
             fp = pa.array(np.array(found, dtype=np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), fp], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), fp], [*kept, "fp"])
+
+    rows = texts(docs, id_col, text_col)
+    if not marked:
+        return rows.mapInArrow(run, "id long, fp long")
+    return rows.withColumn("mark", _mark(F.col("text"))).mapInArrow(run, "id long, mark string, fp long")
+
 
-    return texts(docs, id_col, text_col).mapInArrow(run, "id long, fp long")
+def _mark(text: Column) -> Column:
+    return F.sha2(text.cast("string"), 256)
 
 
 class BKTree:
@@ -159,28 +170,47 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, fp, component) for every row; component is the smallest id reachable by links.
 
-    Copies collapse to their fingerprint before anything is compared. A fingerprint whose rows all have a null
-    id is compared with nothing, and its component is null.
+    Copies collapse to their fingerprint before anything is compared. The component of fingerprints whose rows
+    all have a null id is null.
     """
     prints = snapshot(fingerprints(docs, id_col, text_col, shingle_words), "prints")
-    distinct = prints.groupBy("fp").agg(F.min("id").alias("node")).where("node is not null")
-    distinct = snapshot(distinct, "distinct")
-    found = components(links(distinct, radius, shard_rows))
-    named = distinct.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
-    return prints.join(snapshot(named, "named"), "fp", "left").select("id", "fp", "component")
+    return prints.join(_named(prints, radius, shard_rows), "fp", "left").select("id", "fp", "component")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of each group of near duplicates, columns unchanged.
+def _named(prints: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """(fp, root, component) for every distinct fp: one fingerprint of its group, and the group's smallest id."""
+    distinct = snapshot(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
+    found = components(links(distinct.select("fp", F.col("fp").alias("node")), radius, shard_rows))
+    found = found.select(F.col("node").alias("fp"), F.col("component").alias("_root"))
+    rooted = distinct.join(found, "fp", "left").select("fp", "least", F.coalesce("_root", "fp").alias("root"))
+    rooted = snapshot(rooted, "rooted")
+    least = snapshot(rooted.groupBy("root").agg(F.min("least").alias("component")), "least")
+    return snapshot(rooted.join(least, "root").select("fp", "root", "component"), "named")
+
+
+def one_of_each(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = SHINGLE_WORDS,
+    radius: int = RADIUS,
+    shard_rows: int = SHARD_ROWS,
+) -> DataFrame:
+    """One row of ``docs`` of each group of near duplicates, that with the smallest id, columns unchanged.
 
-    Rows that repeat an id are told apart by their fingerprint; of rows equal in both one stays.
-    Rows with a null id stay, as nothing tells them apart.
+    Rows are told apart by id and text together, so that different texts of one id are decided apart. A row with a
+    null id stays only if no row of its group has an id; of such rows, and of those equal in id and text, one
+    stays. A row with neither an id nor a text (null, not empty) is no copy of anything, and stays.
     """
-    found = near_duplicates(docs, id_col, text_col, **settings)
-    kept = found.where("id = component").groupBy(F.col("id").alias("_kept")).agg(F.count("*").alias("_rows"))
-    kept = snapshot(kept, "kept")
-    rows = docs.join(kept, F.col(id_col).cast("long") == F.col("_kept"), "left")
-    rows = rows.where(F.col("_kept").isNotNull() | F.col(id_col).isNull())
-    once = rows.where("_rows = 1 or _rows is null").select(*docs.columns)
-    again = rows.where("_rows > 1").select(*docs.columns).dropDuplicates([id_col])
+    prints = snapshot(fingerprints(docs, id_col, text_col, shingle_words, marked=True), "prints")
+    known = prints.where("id is not null or mark is not null")
+    keys = known.groupBy("id", "mark", "fp").agg(F.count("*").alias("rows"))
+    named = _named(prints, radius, shard_rows).select("fp", "root")
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "mark", "rows")).alias("k")
+    kept = snapshot(keys.join(named, "fp").groupBy("root").agg(first), "kept")
+    kept = kept.select(F.col("k.id").alias("_kept"), F.col("k.mark").alias("_mark"), F.col("k.rows").alias("_rows"))
+    own = docs.withColumns({"_id": F.col(id_col).cast("long"), "_text": _mark(F.col(text_col))})
+    rows = own.join(kept, F.col("_id").eqNullSafe(F.col("_kept")) & F.col("_text").eqNullSafe(F.col("_mark")), "left")
+    once = rows.where("_rows = 1 or (_id is null and _text is null)").select(*docs.columns)
+    again = rows.where("_rows > 1").dropDuplicates(["_id", "_text"]).select(*docs.columns)
     return once.unionByName(again)

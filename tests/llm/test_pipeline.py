@@ -35,3 +35,12 @@ def test_odd_rows_pass_every_stage(spark, odd_docs, no_docs):
         docs = stage(spark, docs, SF_DIR)
     found = [r.doc_id for r in docs.collect()]
     assert {1, 8, 9, 10, 11, 12, None} <= set(found) and not {2, 4, 5, 6, 7} & set(found)
+
+
+def test_contaminated_rows_go_by_id_and_text(spark, tmp_path):
+    leaked = " ".join(f"word{k}" for k in range(12))
+    spark.createDataFrame([("i", leaked)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, f"x {leaked}"), (1, "clean"), (None, leaked), (None, "clean too"), (None, None), (2, leaked)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in left) == [("1", "clean"), ("None", "None"), ("None", "clean too")]

@@ -74,3 +74,18 @@ def test_odd(odd_docs, odd_texts, no_docs):
 def test_repeated_rows_leave_one(spark):
     docs = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (2, "e f g h")], "doc_id long, text string")
     assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == [1, 2]
+
+
+def test_rows_are_decided_by_id_and_text(spark):
+    a, b, c, d = ("a b c d e f g", "one two three four five", "red green blue grey pink", "north south east west up")
+    rows = [(1, a), (1, b), (2, a), (2, c), (3, c), (None, a), (None, d), (None, d), (4, d + " "), (None, "no name"), (None, "no name"), (5, a), (5, "")]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = sorted((str(r.doc_id), r.text) for r in kept)
+    assert found == sorted([("1", a), ("1", b), ("2", c), ("4", d + " "), ("None", "no name"), ("5", "")])
+
+
+def test_texts_of_one_id_are_nodes_of_their_own(spark):
+    rows = [(1, "a b c d e f g"), (1, "one two three four"), (2, "a b c d e f g"), (None, "one two three four"), (None, "else where")]
+    found = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len({r.fp for r in found}) == 3
+    assert sorted(str((r.id, r.component)) for r in found) == sorted(["(1, 1)", "(1, 1)", "(2, 1)", "(None, 1)", "(None, None)"])
