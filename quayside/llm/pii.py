@@ -3,9 +3,11 @@
 All of it is DataFrame work. The base kinds are found with regular expressions, written so that Java's matcher
 never tries a run of characters twice. Then entities that the base patterns know are seeds: the
 two words before them are lexical patterns. Patterns and entities form a graph, scored in
-``ROUNDS`` rounds: a pattern is as good as the mean confidence of its distinct entities of a
-kind, and an entity is as good as its patterns together (noisy or). A mention that no base pattern
-matches, but that stands in a pattern of high confidence, is a discovered identifier.
+rounds: a pattern is as good as the mean confidence of its distinct entities of a
+kind, and an entity is as good as its patterns together (noisy or). An entity that no base pattern
+matches, but that stands in a pattern of high confidence, is a discovered identifier. It is a seed for further
+patterns from then on, and all its mentions are reported, whatever stands before them. Rounds end when
+``ROUNDS`` of them brought no new pattern; scores only grow, so they do end.
 
 Only mentions (runs of words with a digit or @) are exploded, never words; patterns and
 entities are reduced before they are joined, so that a frequent context is one row.
@@ -39,7 +41,7 @@ MENTION = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?:\x20[^\s0-9@]*+[0-9@]\S*+)*+"
 #: Characters before a mention in which its two words of context are looked for.
 CONTEXT_CHARS = 64
 ROUNDS = 3
-#: What a pattern needs to discover: distinct seeds, and confidence; the same confidence for the entity.
+#: What a pattern needs to discover: distinct seeds (known or discovered), and confidence.
 LEAST_SEEDS = 5
 CONFIDENCE = 0.8
 #: Entities of no kind that every pattern is taken to have seen besides its own.
@@ -143,47 +145,59 @@ def _kind_of(value: Column) -> Column:
 
 
 def mentions(found: DataFrame) -> DataFrame:
-    """(id, mark, start, end, value, pattern, kind) for every mention that has two words before it."""
+    """(id, mark, start, end, value, pattern, kind) for every mention; pattern is null without two words before it."""
     rows = found.where(F.size("mention") > 0).select("id", "mark", F.explode("mention").alias("m")).select("id", "mark", "m.*")
     # brackets, quotes and stops around a mention are not part of it
     core = F.regexp_extract("value", r"^[^0-9A-Za-z@+]*+(.*?)[^0-9A-Za-z@]*$", 1)
     lead = F.length(F.regexp_extract("value", r"^[^0-9A-Za-z@+]*+", 0))
     words = F.regexp_extract_all(F.lower("before"), F.lit(r"[^\s]+"), F.lit(0))
     rows = rows.select("id", "mark", (F.col("start") + lead).alias("start"), core.alias("value"), words.alias("words"))
-    pattern = F.array_join(F.slice("words", F.size("words") - 1, 2), " ")
-    rows = rows.where((F.size("words") >= 2) & (F.length("value") > 0))
+    # no index of a slice may be negative, whatever Spark evaluates first
+    last = F.slice("words", F.greatest(F.size("words") - 1, F.lit(1)), 2)
+    pattern = F.when(F.size("words") >= 2, F.array_join(last, " "))
+    rows = rows.where(F.length("value") > 0)
     rows = rows.select("id", "mark", "start", (F.col("start") + F.length("value")).alias("end"), "value", pattern.alias("pattern"))
     return rows.withColumn("kind", _kind_of(F.col("value")))
 
 
+def _able(graph: DataFrame, sizes: DataFrame, found: DataFrame | None, least_seeds: int) -> DataFrame:
+    """(pattern, kind, entities) of the patterns with enough seeds of a kind: base ones, and those discovered so far."""
+    seeds = graph.where("seed is not null").select("pattern", F.col("seed").alias("kind"))
+    if found is not None:
+        seeds = seeds.unionByName(graph.join(found, "value").select("pattern", "kind"))
+    seeds = seeds.groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
+    return seeds.where(F.col("seeds") >= least_seeds).join(sizes, "pattern").select("pattern", "kind", "entities")
+
+
 def discovered(found: DataFrame, rounds: int = ROUNDS, least_seeds: int = LEAST_SEEDS, confidence: float = CONFIDENCE) -> DataFrame:
-    """(id, mark, kind, start, end) of mentions that only their contexts give away."""
+    """(id, mark, kind, start, end) of mentions that only their contexts, or those of their value elsewhere, give away."""
     rows = snapshot(mentions(found), "mentions")
     # the graph: each entity and pattern that occur together, once
-    graph = snapshot(rows.groupBy("pattern", "value").agg(F.max("kind").alias("seed")), "graph")
-    known = graph.where("seed is not null")
-    seeds = known.groupBy("pattern", F.col("seed").alias("kind")).agg(F.count("*").alias("seeds"))
-    sizes = graph.groupBy("pattern").agg(F.count("*").alias("entities"))
-    # patterns with too few seeds of a kind never discover, whatever the rounds say
-    able = snapshot(seeds.where(F.col("seeds") >= least_seeds).join(sizes, "pattern"), "able")
-    edges = snapshot(graph.join(able, "pattern").select("pattern", "value", "seed", "kind"), "edges")
-    entities = edges.select("value", "kind", F.when(F.col("seed") == F.col("kind"), 1.0).otherwise(0.0).alias("trust")).distinct()
-    entities = snapshot(entities, "entities")
-    patterns = None
-    for _ in range(rounds):
-        weight = edges.join(entities, ["value", "kind"]).groupBy("pattern", "kind").agg(F.sum("trust").alias("trust"))
+    graph = rows.where("pattern is not null").groupBy("pattern", "value").agg(F.max("kind").alias("seed"))
+    graph = snapshot(graph, "graph")
+    sizes = snapshot(graph.groupBy("pattern").agg(F.count("*").alias("entities")), "sizes")
+    identifier = (F.length(_digits(F.col("value"))) >= 4) | F.contains(F.col("value"), F.lit("@"))
+    able = snapshot(_able(graph, sizes, None, least_seeds), "able")
+    count, idle = able.count(), 0
+    edges = entities = sure = None
+    while idle < rounds:
+        if not idle or edges is None:  # patterns were added
+            edges = snapshot(graph.join(able, "pattern").select("pattern", "value", "seed", "kind"), "edges")
+        known = F.when(F.col("seed") == F.col("kind"), 1.0).when(F.col("seed").isNotNull(), 0.0)
+        trusted = edges if entities is None else edges.join(entities, ["value", "kind"], "left")
+        trust = F.coalesce(known, F.lit(0.0) if entities is None else F.col("trust"), F.lit(0.0))
+        weight = trusted.groupBy("pattern", "kind").agg(F.sum(trust).alias("trust"))
         scored = able.join(weight, ["pattern", "kind"])
         patterns = snapshot(scored.select("pattern", "kind", (F.col("trust") / (F.col("entities") + DOUBT)).alias("score")), "patterns")
         doubt = F.sum(F.log(1.000001 - F.col("score")))
-        together = edges.join(patterns, ["pattern", "kind"]).groupBy("value", "kind").agg(
-            F.max(F.when(F.col("seed") == F.col("kind"), 1.0).when(F.col("seed").isNotNull(), 0.0)).alias("known"),
-            (1 - F.exp(doubt)).alias("inferred"),
-        )
-        entities = snapshot(together.select("value", "kind", F.coalesce("known", "inferred").alias("trust")), "entities")
-    sure = patterns.where(F.col("score") >= confidence)
-    trusted = entities.where(F.col("trust") >= confidence)
-    identifier = (F.length(_digits(F.col("value"))) >= 4) | F.contains(F.col("value"), F.lit("@"))
-    new = rows.where(F.col("kind").isNull() & identifier).drop("kind").join(sure, "pattern").join(trusted, ["value", "kind"])
+        together = edges.where("seed is null").join(patterns, ["pattern", "kind"]).groupBy("value", "kind")
+        entities = snapshot(together.agg((1 - F.exp(doubt)).alias("trust"), F.max("score").alias("score")), "entities")
+        sure = snapshot(entities.where((F.col("score") >= confidence) & identifier).select("value", "kind", "score"), "sure")
+        now = snapshot(_able(graph, sizes, sure.select("value", "kind"), least_seeds), "able")
+        grown = now.count()
+        idle = 0 if grown > count else idle + 1
+        able, count = (now, grown) if grown > count else (able, count)
+    new = rows.where(F.col("kind").isNull()).drop("kind").join(sure, "value")
     best = F.max_by("kind", F.struct("score", "kind")).alias("kind")
     return new.groupBy("id", "mark", "start", "end").agg(best)
 

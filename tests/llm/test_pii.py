@@ -74,3 +74,15 @@ def test_redaction(letters, odd_docs, no_docs):
     assert "a text without an id, write to [EMAIL] or [PHONE] now" in texts
     assert any(t and t.startswith("card [CARD], ip [IP], bad ip 10.0.0.256") for t in texts)
     assert pii.redact(no_docs).count() == 0 and pii.find(no_docs).count() == 0
+
+
+def test_discovered_identifiers_are_seeds_and_found_everywhere(spark):
+    rows = [(k, f"so please ring +1 (555) 010-{k:04d} now") for k in range(60)]
+    # the first numbers no base pattern knows, in a known context and in one that only they give away
+    rows += [(100 + k, f"so please ring 0171-55501{k:02d} now") for k in range(10)]
+    rows += [(200 + k, f"or the fax line 0171-55501{k:02d} now") for k in range(10)]
+    rows += [(300, "or the fax line 0171-7770000 now"), (301, "0171-7770000 is new"), (302, "at number 0171-5550101 we are"), (303, "in year 19990101 it was")]
+    found = {r.id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k for k, r in found.items() if r.more} == {*range(100, 110), *range(200, 210), 300, 301, 302}
+    assert {m.kind for r in found.values() for m in r.more} == {"phone"}
+    assert [(m.start, m.end) for m in found[301].more] == [(0, 12)]
