@@ -3,8 +3,9 @@
 Two models give the probability of each character after the one before it: one of random strings, one of ordinary
 identifiers. Their labelled samples are the corpus itself: what the base patterns take as a secret is
 random, and identifiers of ``IDENTIFIER_CHARS`` letters, digits and signs or more outside all base spans are ordinary; both are
-counted over all documents. A run of ``CANDIDATE_CHARS`` such characters or more with a digit and a letter,
-outside the base spans, is a secret if its log-likelihood ratio for each character is ``LEAST_RATIO`` or more.
+counted over all documents. Base spans are cut out of the runs of such characters. What is left of a run, or a part of it
+between two of / = _ -, is a secret if it has ``CANDIDATE_CHARS`` or more and its log-likelihood ratio for each
+character is ``LEAST_RATIO`` or more; of parts that overlap, the one that exceeds this ratio most in all is taken.
 
 The counts are one row for each class and pair of characters and task, so the models are of fixed size.
 Without samples of either class only base spans are found. A null or empty text has no spans; rows
@@ -43,6 +44,7 @@ LEAST_RATIO = 0.7
 SMOOTHING = 0.5
 BACKOFF = 500.0
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % CANDIDATE_CHARS)
+_PIECE = re.compile(r"[^/=_-]+")
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _SIZE = len(_ALPHABET)
 _CODES = np.full(256, _SIZE, dtype=np.int64)
@@ -133,17 +135,61 @@ def ratio(value: str, model: np.ndarray) -> float:
     return float(model[codes[:-1], codes[1:]].sum() / (len(codes) - 1))
 
 
+def _best(edges: list[tuple[int, int]], excess: np.ndarray) -> tuple[float, int, int] | None:
+    """The stretch of whole pieces, of CANDIDATE_CHARS at least, that exceeds the least ratio most: (by how much, first, last)."""
+    best, low, ready = None, None, 0
+    for last, (_, end) in enumerate(edges):
+        while ready <= last and end - edges[ready][0] >= CANDIDATE_CHARS:
+            if low is None or excess[edges[ready][0]] < excess[edges[low][0]]:
+                low = ready
+            ready += 1
+        if low is not None:
+            over = float(excess[end - 1] - excess[edges[low][0]])
+            if best is None or over > best[0]:
+                best = (over, low, last)
+    return best
+
+
+def secrets_of(value: str, model: np.ndarray) -> list[tuple[int, int]]:
+    """The spans of a run that are secrets, as a whole or between its separators."""
+    codes = _CODES[np.frombuffer(value.encode(), np.uint8)]
+    steps = model[codes[:-1], codes[1:]]
+    if steps.sum() >= LEAST_RATIO * len(steps):
+        return [(0, len(value))]
+    # sums of what each pair of characters has above the least ratio, up to each character
+    excess = np.concatenate([[0.0], np.cumsum(steps - LEAST_RATIO)])
+    pieces = [m.span() for m in _PIECE.finditer(value)]
+    found, left = [], [pieces]
+    while left:
+        edges = left.pop()
+        best = _best(edges, excess)
+        if best is not None and best[0] >= 0:
+            _, first, last = best
+            found.append((edges[first][0], edges[last][1]))
+            left += [edges[:first], edges[last + 1 :]]
+    return found
+
+
+def _outside(start: int, end: int, base: list[tuple[str, int, int, str]]) -> Iterator[tuple[int, int]]:
+    """What of a span lies outside the base spans, which are sorted by start."""
+    for _, a, b, _ in base:
+        if a < end and start < b:
+            if start < a:
+                yield start, a
+            start = max(start, b)
+    if start < end:
+        yield start, end
+
+
 def find_in(text: str, model: np.ndarray | None) -> list[tuple[str, int, int]]:
     """All spans of a text, by start, then by kind; those of the model after base ones."""
     base = base_spans(text)
     found = [s[:3] for s in base]
     if model is not None:
         for m in _CANDIDATE.finditer(text):
-            value, (start, end) = m[0], m.span()
-            if not any(c.isdigit() for c in value) or not any(c.isalpha() for c in value):
-                continue
-            if all(end <= s[1] or s[2] <= start for s in base) and ratio(value, model) >= LEAST_RATIO:
-                found.append((MARKOV, start, end))
+            for start, end in _outside(*m.span(), base):
+                if end - start >= CANDIDATE_CHARS:
+                    found += [(MARKOV, start + a, start + b) for a, b in secrets_of(text[start:end], model)]
     order = (*KINDS, MARKOV)
     return sorted(found, key=lambda s: (s[1], order.index(s[0])))
 

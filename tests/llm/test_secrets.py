@@ -47,3 +47,22 @@ def test_odd(odd_docs, odd_texts, no_docs):
     kinds = {r.id: [s.kind for s in r.spans] for r in found if r.spans}
     assert kinds == {10: ["hex"], 12: ["assign", "access"]}
     assert secrets.learn(no_docs) is None and secrets.find(no_docs, None).count() == 0
+
+
+def test_the_ratio_alone_decides_on_runs_and_their_parts(spark):
+    model = secrets.learn(corpus(spark)[0])
+    rng = random.Random(8)
+    letters = "".join(rng.choice(secrets._ALPHABET[:52]) for _ in range(24))
+    key = "".join(rng.choice(secrets._ALPHABET[:62]) for _ in range(24))
+    path = "get_user_name_count_item_list_total_" * 5
+    hexes = "0123456789abcdef" * 2
+    texts = [letters, path + key, path[:-1] + "=" + key, path + letters + "/" + path + key + "_list"]
+    found = [[t[a:b] for k, a, b in secrets.find_in(t, model) if k == secrets.MARKOV] for t in texts]
+    assert found[0] == [letters]
+    assert all(any(key in f for f in found[k]) for k in (1, 2, 3)) and any(letters in f for f in found[3])
+    assert all(len(f) < len(t) for t, some in zip(texts[1:], found[1:]) for f in some)
+    # a base span is cut out of a run, and the rest is looked at
+    beside = f"{hexes}/{key}"
+    spans = secrets.find_in(beside, model)
+    assert spans[0] == ("hex", 0, 32) and any(k == secrets.MARKOV and key in beside[a:b] for k, a, b in spans)
+    assert secrets.find_in(path + "getusernamecount_item", model) == []
