@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bpe, capfilters, chat, langid, pii, posindex, secrets, simhash, warc, wavelet
+from quayside.llm import bpe, capfilters, chat, langid, periodic, pii, posindex, secrets, simhash, warc, wavelet
 from quayside.llm.common import sha256_hex, snapshot, table
 
 
@@ -154,6 +154,47 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _repeating(text: Column, doc_id: Column) -> Column:
+    """The text of every tenth document (by a hash of its id) with its words from some place on repeating."""
+    hashed = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(hashed / 10).cast("long")
+
+    def reread(words: Column) -> Column:
+        n = F.size(words)
+        a = F.pmod(g, n).cast("int")
+        p = (F.floor((n - a) / (F.pmod(g, F.lit(8)) + 3)) + 1).cast("int")
+        numbers = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i < a, i).otherwise(a + F.pmod(i - a, p)))
+        return F.when(n > 0, F.array_join(F.transform(numbers, lambda i: F.get(words, i)), " ")).otherwise("")
+
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return F.when(F.pmod(hashed, F.lit(10)) == 0, _let(words, reread)).otherwise(text)
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    text = _repeating(F.coalesce("text", F.lit("")), F.col("doc_id"))
+    found = periodic.find(docs.select("doc_id", text.alias("text")))
+    best = F.aggregate(
+        "runs", F.get("runs", F.lit(0)), lambda a, b: F.when(b["length"] * a["period"] > a["length"] * b["period"], b).otherwise(a)
+    )
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_langid": op2_langid,
@@ -165,6 +206,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_secrets": op9_secrets,
     "op10_chat": op10_chat,
+    "op13_periodic": op13_periodic,
 }
 
 ORACLE: dict[str, str] = {

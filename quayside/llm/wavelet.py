@@ -16,8 +16,6 @@ Null and empty texts have the end id only. An empty table gives no shards and no
 
 from __future__ import annotations
 
-import os
-import re
 import struct
 from collections.abc import Iterator
 from itertools import accumulate
@@ -29,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.common import texts
+from quayside.llm.wordbpe import encoder
 from quayside.session import new_folder
 
 SHARD_IDS = 1 << 21
@@ -36,9 +35,6 @@ BITS = 16
 MAGIC = b"WVM1"
 #: Bits of a plane between two counts of ones.
 BLOCK = 512
-#: Words whose ids a task remembers.
-_REMEMBERED = 1 << 18
-_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+([.,;:!?]+)?")
 _HEADER = struct.Struct("<4sBQQ")
 _BLOB = "file int, shard int, first long, n_docs long, n_ids long, blob binary"
 
@@ -167,64 +163,6 @@ def unpack(blob: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]:
     return doc_ids, np.frombuffer(sizes, "<u8").astype(np.int64), matrix
 
 
-class Encoder:
-    """Ids of texts by a tokenizer file, remembering the ids of words.
-
-    The tokenizer must treat words between spaces and line ends separately, drop white space and mark word
-    ends, as those with word ends do; then a text's ids are its words' ids one after another. New words of Latin
-    letters, with or without signs at their end, go to the library many at a time: each gives one word
-    end, or two with signs. All other words go to it one by one.
-    """
-
-    def __init__(self, tokenizer_path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
-        for token, number in self.tokenizer.get_vocab().items():
-            self.ends[number] = token.endswith("</w>")
-        self.words: dict[str, bytes] = {"": b""}
-        self.before: dict[str, bytes] = {}
-
-    def __call__(self, text: str) -> np.ndarray:
-        words = text.replace("\n", " ").split(" ")
-        new = {w for w in words if w not in self.words}
-        if len(self.words) + len(new) > _REMEMBERED:  # frequent words come back from what was before
-            self.before, self.words = self.words, {"": b""}
-            new = set(words) - {""}
-        if new:
-            known = new & self.before.keys()
-            self.words.update((w, self.before[w]) for w in known)
-            if len(known) < len(new):
-                self._learn(new - known)
-        return np.frombuffer(b"".join(map(self.words.__getitem__, words)), "<u2")
-
-    def _learn(self, new: set[str]) -> None:
-        plain, parts, others = [], [], []
-        for word in new:
-            found = _PLAIN.fullmatch(word)
-            if found:
-                plain.append(word)
-                parts.append(2 if found[1] else 1)
-            else:
-                others.append(word)
-        if plain:
-            ids = np.array(self._encode([" ".join(plain)])[0], dtype="<u2")
-            ends = np.flatnonzero(self.ends[ids])
-            last = np.cumsum(parts) - 1
-            if len(ends) != last[-1] + 1:
-                raise ValueError("the tokenizer does not mark the ends of words as expected")
-            cuts = [0, *(ends[last] + 1).tolist()]
-            raw = ids.tobytes()
-            self.words.update((w, raw[2 * a : 2 * b]) for w, a, b in zip(plain, cuts, cuts[1:]))
-        if others:
-            self.words.update((w, np.array(i, dtype="<u2").tobytes()) for w, i in zip(others, self._encode(others)))
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-
 def write(
     docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
     shard_ids: int = SHARD_IDS,
@@ -236,7 +174,7 @@ def write(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        file, encode, end = TaskContext.get().partitionId(), Encoder(tokenizer_path), np.array([end_id], "<u2")
+        file, encode, end = TaskContext.get().partitionId(), encoder(tokenizer_path), np.array([end_id], "<u2")
         doc_ids, sizes, ids, shard, first, held = [], [], [], 0, 0, 0
 
         def closed() -> pa.RecordBatch:
