@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import bpe, capfilters, chat, langid, periodic, pii, posindex, secrets, simhash, warc, wavelet
+from quayside.llm import bpe, capfilters, chat, langid, packing, periodic, pii, posindex, repair, secrets, simhash, warc, wavelet
 from quayside.llm.common import sha256_hex, snapshot, table
 
 
@@ -154,6 +154,60 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SEQUENCE_TOKENS = 2048
+SEPARATOR_ID = 0
+
+
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = packing.pieces(docs, public_tokenizers.path(WORD_BPE), SEPARATOR_ID, SEQUENCE_TOKENS, with_ids=False)
+    placed = packing.pack(snapshot(found, "pieces"), packing.capacities(SEQUENCE_TOKENS))
+    return placed.select(
+        F.col("id").alias("doc_id"),
+        "piece",
+        "start",
+        "length",
+        "ids_crc32",
+        F.col("sequence").alias("sequence_id"),
+        "offset",
+    )
+
+
+def _damaged(rows: DataFrame) -> DataFrame:
+    """Rows of conversations of which some are dropped, emptied, cut short, repeated or given another role, by a hash."""
+    named = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    kind = F.pmod(F.crc32(named.cast("binary")), F.lit(20))
+    role, text = (F.coalesce(c, F.lit(" ")) for c in ("role", "text"))
+    left = rows.withColumn("kind", kind).where("kind <> 0").select(
+        "conv_id",
+        "turn",
+        F.when(F.col("kind") == 4, "user").otherwise(role).alias("role"),
+        F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(F.col("kind") == 3, 2).otherwise(1).alias("times"),
+    )
+    return left.withColumn("again", F.explode(F.array_repeat(F.lit(0), F.col("times")))).drop("times", "again")
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    found = repair.pieces(_damaged(rows))
+    decisions = repair.decided(found)
+    line = F.struct("part", "piece", "place", repair.said(F.col("role"), F.col("text")).alias("line"))
+    # the digest of a conversation is one value over all its text, so here, and only here, its lines come together
+    lines = repair.repaired(found, decisions).groupBy("conv").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    texts = lines.select(F.col("conv").alias("of"), F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("text"))
+    ids = rows.select("conv_id").distinct()
+    facts = repair.facts(decisions)
+    every = ids.join(facts, F.col("conv_id").cast("string").eqNullSafe(F.col("conv")), "left")
+    every = every.join(texts, F.col("conv_id").cast("string").eqNullSafe(F.col("of")), "left")
+    return every.select(
+        "conv_id",
+        *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("repaired_sha256"),
+    )
+
+
 def _let(value: Column, use) -> Column:
     """``use`` of a value that is computed once."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
@@ -206,6 +260,8 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_secrets": op9_secrets,
     "op10_chat": op10_chat,
+    "op11_packing": op11_packing,
+    "op12_repair": op12_repair,
     "op13_periodic": op13_periodic,
 }
 

@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the given tab
 def test_all_are_registered():
     registered = contract.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(registered)
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(name.startswith(f"op{number}_") for name in registered) == 1
     assert contract.corpus_pipeline.ORACLE_SQL is None
 
