@@ -24,8 +24,13 @@ def last_segment(path: Column | str) -> Column:
 
 
 def table_name(file_nm: Column | str) -> Column:
-    """The part of a file name before its first dot."""
-    return F.split_part(file_nm, F.lit("."), F.lit(1))
+    """The part of a file name before its first dot, but for dots at its beginning."""
+    return F.split_part(F.ltrim(file_nm, F.lit(".")), F.lit("."), F.lit(1))
+
+
+def table_part(file_nm: str) -> str:
+    """``table_name`` for a plain text."""
+    return file_nm.lstrip(".").split(".", 1)[0]
 
 
 def base_name(table_nm: Column | str) -> Column:

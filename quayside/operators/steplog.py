@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from quayside import vocabulary as v
 
 STEP_KEY = ("job_run_id", "file_nm", "step_nm")
+# row_no tells manifest rows apart that repeat a file name; a run driven by the folder has one row per file
 EVENT_SCHEMA = (
     "event_id long, job_run_id string, job_nm string, category string, file_nm string, "
     "step_nm string, target_object string, status string, row_cnt long, error_msg string, "
-    "start_ts timestamp, end_ts timestamp, created_by string"
+    "start_ts timestamp, end_ts timestamp, created_by string, row_no long"
 )
 
 
@@ -30,11 +31,12 @@ def current_state(
 
 
 def job_log(events: DataFrame) -> DataFrame:
-    """The job log: one row per run, file and step."""
+    """The job log: one row per run, file and step, and for each manifest row that a run walks."""
     state = current_state(
-        events,
+        events.withColumn("row_no", F.coalesce("row_no", F.lit(0))),
         "event_id",
         ("job_nm", "category", "target_object", "status", "row_cnt", "error_msg", "end_ts", "created_by"),
+        (*STEP_KEY, "row_no"),
     )
     return state.select(
         F.col("first_seq").alias("job_log_id"),

@@ -19,22 +19,12 @@ from quayside.config import IntakeConfig
 from quayside.functions import names, text
 from quayside.operators.lineage import lineage_clash, with_lineage
 from quayside.operators.profile import column_type, column_values, profile_values
+from quayside.plans.faults import BadFile, blames_file
 from quayside.plans.oplog import utc_now
 from quayside.sources import hadoop, quoted
 from quayside.sources.files import read_lines, read_records, text_schema
 
 
-# What Spark and the JVM say when a job fails whatever it reads.
-NOT_THE_FILE = (
-    "ExecutorLostFailure",
-    "No space left on device",
-    "OutOfMemoryError",
-    "SparkContext was shut down",
-    "stopped SparkContext",
-    "cancelled",
-)
-
-
 @dataclass
 class FileLoad:
     """A file that passed its checks, and what became of it."""
@@ -47,6 +37,7 @@ class FileLoad:
     broken_lines: bool
     unclosed: bool
     exp_rows: int | None
+    row_nos: list[int] = field(default_factory=lambda: [0])  # of the manifest rows that promise it
     columns: list[str] = field(default_factory=list)
     types: list[str] = field(default_factory=list)
     location: str | None = None
@@ -58,7 +49,7 @@ class FileLoad:
 
     @property
     def table_nm(self) -> str:
-        return self.file_nm.split(".", 1)[0]
+        return names.table_part(self.file_nm)
 
     def fail(self, error: object) -> None:
         self.error, self.ended = str(error), utc_now()
@@ -112,7 +103,7 @@ class Loader:
             try:
                 work(group)
             except Exception as error:
-                if not blames_file(error):
+                if not blames_file(self.spark, error):
                     raise
                 if len(group) == 1:
                     group[0].fail(error)
@@ -142,12 +133,15 @@ class Loader:
         else:
             top = read_lines(self.spark, [first.file_path]).where("block_start = 0")
             header = top.where(~text.is_blank("line")).first()["line"]
-        columns = [c.strip() for c in next(csv.reader([header], skipinitialspace=True))]
+        try:
+            columns = [c.strip() for c in next(csv.reader([header], skipinitialspace=True))]
+        except csv.Error as error:
+            raise BadFile(f"header cannot be read: {error}") from error
         folded = [c.upper() for c in columns]
         if "" in folded or len(set(folded)) < len(folded):
-            raise ValueError(f"header has blank or repeated column names: {header[:200]}")
+            raise BadFile(f"header has blank or repeated column names: {header[:200]}")
         if lineage_clash(columns):
-            raise ValueError(f"the file has its own column {', '.join(lineage_clash(columns))}")
+            raise BadFile(f"the file has its own column {', '.join(lineage_clash(columns))}")
         for f in group:
             f.columns = columns
 
@@ -225,11 +219,6 @@ class Loader:
             f.ended = utc_now()
 
 
-def blames_file(error: Exception) -> bool:
-    """May a job have failed for its input? Not if executors, disk, memory or the session gave out."""
-    return not any(sign in str(error) for sign in NOT_THE_FILE)
-
-
 def waves(files: list[FileLoad]) -> list[list[FileLoad]]:
     """Files in name order, those of one table name in different waves."""
     seen, found = defaultdict(int), defaultdict(list)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import suppress
 from datetime import date, datetime, timezone
 from functools import reduce
 from uuid import uuid4
@@ -128,6 +129,7 @@ class RunLog:
         first = store.claim_run() << PLACE_BITS
         self._next = {log: first for log in LOG_KEYS}
         self._pending: dict[str, list[tuple[DataFrame, int]]] = defaultdict(list)
+        self._open: dict[str, dict] = {}
 
     def steps(
         self,
@@ -143,6 +145,11 @@ class RunLog:
     ) -> None:
         """One event per file; every event carries the full row."""
 
+        if isinstance(status, str) and status == v.RUNNING:
+            self._open[step] = {"files": files, "n_files": n_files, "started": started, "target": target}
+        else:
+            self._open.pop(step, None)
+
         def text(value: Column | None) -> Column:
             return (F.lit(None) if value is None else value).cast("string")
 
@@ -165,6 +172,7 @@ class RunLog:
             start_ts=moment(started),
             end_ts=moment(ended),
             created_by=F.current_user(),
+            row_no=F.col("row_no") if "row_no" in files.columns else F.lit(0).cast("long"),
         )
 
     def checks(self, audit: DataFrame, n_rows: int) -> None:
@@ -187,6 +195,17 @@ class RunLog:
         named = [column.alias(name) for name, column in fields.items()]
         self._pending[log].append((rows.select(*named), n_rows))
 
+    def abandon(self, error: BaseException) -> None:
+        """The run dies of an error: what was decided is logged, steps that are open end as errors."""
+        left, self._open = self._open, {}
+        with suppress(Exception):  # the error that the run dies of is the one to raise
+            self.flush()
+        with suppress(Exception):
+            message, now = F.lit(str(error)[: v.ERROR_TEXT_LENGTH]), utc_now()
+            for step, opened in left.items():
+                self.steps(step=step, status=v.ERROR, error_msg=message, ended=now, **opened)
+            self.flush()
+
     def flush(self) -> None:
         """Append what was collected, each log by one small write, and number the rows."""
 

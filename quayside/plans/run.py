@@ -13,7 +13,8 @@ from quayside import vocabulary as v
 from quayside.config import IntakeConfig
 from quayside.functions import names
 from quayside.operators import checks, measure
-from quayside.plans.load import FileLoad, Loader, blames_file, waves
+from quayside.plans.faults import blames_file
+from quayside.plans.load import FileLoad, Loader, waves
 from quayside.plans.oplog import OpsStore, RunLog, utc_now
 from quayside.plans.publish import Publisher, archive_file
 from quayside.session import local_frame, new_folder, written
@@ -27,11 +28,11 @@ FOLDER_RESULT = (
 )
 MANIFEST_RESULT = "job_run_id string, category string, files_loaded long, files_failed long"
 LOADS = (
-    "file_nm string, exp_rows long, rows_loaded long, label string, error string, "
+    "file_nm string, row_no long, exp_rows long, rows_loaded long, label string, error string, "
     "started timestamp, ended timestamp"
 )
 STEPS = (
-    "file_nm string, target string, status string, error_msg string, "
+    "file_nm string, row_no long, target string, status string, error_msg string, "
     "started timestamp, ended timestamp"
 )
 
@@ -80,6 +81,9 @@ class Intake:
     def run(self) -> DataFrame:
         try:
             return self._run()
+        except BaseException as error:
+            self.log.abandon(error)
+            raise
         finally:
             hadoop.delete(self.spark, self.scratch)
 
@@ -162,7 +166,8 @@ class Intake:
 
     def _by_manifest(self, manifest: DataFrame, listing: DataFrame) -> DataFrame:
         """Walk the manifest rows; unlisted files are not looked at, nothing is archived."""
-        promised = manifest.withColumn(
+        numbered = manifest.withColumn("row_no", F.monotonically_increasing_id())  # kept below, so it stays
+        promised = numbered.withColumn(
             "relative_path", F.concat(F.lit(self.folder), F.col("file_nm"))
         ).withColumnsRenamed({"col_cnt": "exp_cols", "row_cnt": "exp_rows"})
         files = self._kept(
@@ -190,8 +195,7 @@ class Intake:
             self._close_validation(verdicts, n_files, v.MSG_VALIDATION_FAILED)
             published = self._publish(self._load(verdicts, records))
             self.log.flush()
-            served = local_frame(self.spark, [(f.file_nm,) for f in published], "file_nm string")
-            n_loaded = _passed(verdicts).join(served, "file_nm", "left_semi").count()
+            n_loaded = sum(len(f.row_nos) for f in published)
         result = (self.run_id, self.category, n_loaded, n_files - n_loaded)
         return local_frame(self.spark, [result], MANIFEST_RESULT)
 
@@ -227,7 +231,7 @@ class Intake:
         try:
             return *measure.measure_files(self.spark, paths, self.scratch), {}
         except Exception as error:
-            if not blames_file(error):
+            if not blames_file(self.spark, error):
                 raise
             if len(paths) <= 1:
                 nothing = local_frame(self.spark, [], measure.MEASURES)
@@ -242,7 +246,7 @@ class Intake:
             measure.measure_lines(measure.read_lines(self.spark, paths)).count()
             return {}
         except Exception as error:
-            if not blames_file(error):
+            if not blames_file(self.spark, error):
                 raise
             if len(paths) == 1:
                 return {paths[0]: _cut(error)}
@@ -271,9 +275,14 @@ class Intake:
     def _load(
         self, verdicts: DataFrame, records: quoted.QuotedRecords | None
     ) -> list[FileLoad]:
-        """Load the files that passed and log the load steps."""
-        by_path = {
-            row.file_path: FileLoad(
+        """Load the files that passed, each once, and log the load steps for every manifest row."""
+        by_path: dict[str, FileLoad] = {}
+        for row in _passed(verdicts).collect():
+            known = by_path.get(row.file_path)
+            if known is not None:  # rows that passed promise the same, as both agree with the file
+                known.row_nos.append(row.row_no)
+                continue
+            by_path[row.file_path] = FileLoad(
                 row.file_nm,
                 row.file_path,
                 row.size,
@@ -282,9 +291,8 @@ class Intake:
                 bool(row.broken_lines),
                 bool(row.unclosed),
                 None if row.exp_rows is None else int(row.exp_rows),
+                [row.row_no if "row_no" in verdicts.columns else 0],
             )
-            for row in _passed(verdicts).collect()
-        }
         loads = sorted(by_path.values(), key=lambda f: f.file_nm)
         if not loads:
             self.log.flush()
@@ -292,9 +300,10 @@ class Intake:
         opened = utc_now()
         self.publisher.prepare(f.table_nm for f in loads)
         self.newest = self.publisher.latest(_base(f) for f in loads)
-        frame = local_frame(self.spark, [(f.file_nm,) for f in loads], "file_nm string")
+        frame = local_frame(self.spark, [(f.file_nm, n) for f in loads for n in f.row_nos], "file_nm string, row_no long")
+        n_rows = sum(len(f.row_nos) for f in loads)
         self.log.steps(
-            frame, len(loads), v.TABLE_LOAD, v.RUNNING, opened, target=self._table_label()
+            frame, n_rows, v.TABLE_LOAD, v.RUNNING, opened, target=self._table_label()
         )
         self.log.flush()
         Loader(self.spark, self.cfg, self.category, self.run_id, records).load(loads)
@@ -304,6 +313,7 @@ class Intake:
             [
                 (
                     f.file_nm,
+                    row_no,
                     f.exp_rows,
                     f.rows_loaded,
                     self.cfg.table_label(self.category, f.table_nm),
@@ -312,16 +322,17 @@ class Intake:
                     f.ended,
                 )
                 for f in loads
+                for row_no in f.row_nos
             ],
             LOADS,
         )
         ended_well = F.col("error").isNull()
         checked = checks.rows_loaded_check(done.where(ended_well), F.col("label"))
-        self.log.checks(checked, len(loads))
+        self.log.checks(checked, n_rows)
         same = F.col("rows_loaded") == F.col("exp_rows")
         self.log.steps(
             done,
-            len(loads),
+            n_rows,
             v.TABLE_LOAD,
             F.when(~ended_well, v.ERROR).when(same, v.SUCCESS).otherwise(v.FAILED),
             F.col("started"),
@@ -363,9 +374,10 @@ class Intake:
         opened = utc_now()
         frame = local_frame(
             self.spark,
-            [(f.file_nm, self._view_label(f)) for f in ready], "file_nm string, target string"
+            [(f.file_nm, n, self._view_label(f)) for f in ready for n in f.row_nos],
+            "file_nm string, row_no long, target string",
         )
-        self.log.steps(frame, len(ready), v.VIEW_REFRESH, v.RUNNING, opened, target=F.col("target"))
+        self.log.steps(frame, sum(len(f.row_nos) for f in ready), v.VIEW_REFRESH, v.RUNNING, opened, target=F.col("target"))
         self.log.flush()
 
         newest, shown = self.newest, {}
@@ -389,7 +401,7 @@ class Intake:
             problem = errors.get(_base(f))
             message = problem or v.MSG_POINTS_TO.format(table=shown[f.file_nm])
             status = v.ERROR if problem else v.SUCCESS
-            rows.append((f.file_nm, self._view_label(f), status, message, opened, utc_now()))
+            rows += [(f.file_nm, n, self._view_label(f), status, message, opened, utc_now()) for n in f.row_nos]
         self._close_steps(v.VIEW_REFRESH, rows)
         return [f for f in ready if _base(f) not in errors]
 
@@ -413,14 +425,14 @@ class Intake:
             try:
                 ended = archive_file(self.spark, self.cfg, self.category, f.file_nm)
                 message = v.MSG_MOVED_TO.format(folder=history)
-                return f.file_nm, history + f.file_nm, v.SUCCESS, message, opened, ended
+                return f.file_nm, 0, history + f.file_nm, v.SUCCESS, message, opened, ended
             except Exception as error:
-                return f.file_nm, history + f.file_nm, v.ERROR, _cut(error), opened, utc_now()
+                return f.file_nm, 0, history + f.file_nm, v.ERROR, _cut(error), opened, utc_now()
 
         with ThreadPoolExecutor(self.cfg.max_parallel_loads) as pool:
             rows = list(pool.map(move, published))
         self._close_steps(v.ARCHIVE, rows)
-        return {f.file_path for f, row in zip(published, rows) if row[2] == v.SUCCESS}
+        return {f.file_path for f, row in zip(published, rows) if row[3] == v.SUCCESS}
 
     def _close_steps(self, step: str, rows: list[tuple]) -> None:
         self.log.steps(

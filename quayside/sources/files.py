@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions import names
 from quayside.session import local_frame
-from quayside.sources.hadoop import glob_safe
+from quayside.sources.visible import Visible
 
 # Comma-separated, one header line, optional double quotes, spaces
 # around fields trimmed, unquoted empty fields and \N are NULL, "" is an empty text.
@@ -27,10 +26,10 @@ CSV_FORMAT = {
 LINES = "line string, file_uri string, block_start long, line_id long"
 
 
-def _with_position(lines: DataFrame) -> DataFrame:
+def _with_position(lines: DataFrame, files: Visible) -> DataFrame:
     return lines.select(
         F.col("value").alias("line"),
-        names.scanned_uri().alias("file_uri"),
+        files.uri().alias("file_uri"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("line_id"),
     )
@@ -45,17 +44,17 @@ def read_lines(
     """
     if not paths:
         return local_frame(spark, [], LINES)
-    return _with_position(spark.read.text([glob_safe(p) for p in paths], lineSep=line_sep))
+    files = Visible(spark, paths)
+    return _with_position(spark.read.options(**files.options).text(files.paths, lineSep=line_sep), files)
 
 
 def read_records(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType, **options: str
 ) -> DataFrame:
     """Data records of files whose records each fit on a line, plus ``file_uri``."""
-    reader = spark.read.schema(schema).options(**{"header": "true", **CSV_FORMAT, **options})
-    return reader.csv([glob_safe(p) for p in paths]).select(
-        "*", names.scanned_uri().alias("file_uri")
-    )
+    files = Visible(spark, paths)
+    reader = spark.read.schema(schema).options(**{"header": "true", **CSV_FORMAT, **options}, **files.options)
+    return reader.csv(files.paths).select("*", files.uri().alias("file_uri"))
 
 
 def text_schema(width: int) -> T.StructType:

@@ -63,6 +63,11 @@ def qualified(spark: SparkSession, path: str) -> str:
     return _fs(spark, path).makeQualified(_path(spark, path)).toString()
 
 
+def uri_of(spark: SparkSession, path: str) -> str:
+    """A path as a URI, with what a URI may not hold encoded."""
+    return _path(spark, path).toUri().toString()
+
+
 def walk(spark: SparkSession, root: str, below: str = "", skip: tuple[str, ...] = ()):
     """Yield (relative path, size, modified ms) of the files below ``root/below``.
 

@@ -193,14 +193,19 @@ def rejected_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Steps of a run over good files, one with records of the wrong width, and one without a date."""
+    """Steps of a run over good files, two of them with names that readers hide, and over bad ones: records of
+    the wrong width that hold names of errors, a blank column name beside one that names an error, and no date."""
     delivery = Delivery(spark)
     year = F.date_format(F.trunc("o_orderdate", "year"), "yyyyMMdd")
     delivery.put("ORDERS", table(spark, sf_dir, "orders"), year)
-    wide = F.when(F.col("n_regionkey") == 0, F.concat("n_name", F.lit(",more"))).otherwise(F.col("n_name"))
+    wide = F.when(F.col("n_regionkey") == 0, F.concat("n_name", F.lit(",OutOfMemoryError"))).otherwise(F.col("n_name"))
     ragged = table(spark, sf_dir, "nation").select("n_nationkey", wide.alias("n_name"))
     delivery.put("NATION", ragged, F.lit("20000101"), quote="")
-    delivery.put("REGION", table(spark, sf_dir, "region"), F.lit("ALL"))
+    region = table(spark, sf_dir, "region")
+    delivery.put("REGION", region, F.lit("ALL"))
+    delivery.put("CANCELLED", region.toDF("id", " ", "cancelled_at"), F.lit("20000101"))
+    delivery.put("_SUPPLIER", table(spark, sf_dir, "supplier"), F.lit("20000101"))
+    delivery.put(".PART", table(spark, sf_dir, "part"), F.lit("20000101"))
     delivery.announce()
     delivery.load()
     return delivery.store.job_log().select("file_nm", "step_nm", "status", "row_cnt")
@@ -231,13 +236,15 @@ def all_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def manifest_driven(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders by year, with the manifest as the driving side, which announces one year more."""
+    """Orders by year, with the manifest as the driving side: it names each file three times, once with a wrong
+    count, and one year more."""
     delivery = Delivery(spark)
     orders = table(spark, sf_dir, "orders")
     delivery.put("ORDERS", orders, F.date_format(F.trunc("o_orderdate", "year"), "yyyyMMdd"))
     exact = delivery.counts[0]
     later = late_years(orders).join(exact, "file_nm", "left_anti")
-    delivery.announce(exact.unionByName(later))
+    wrong = exact.withColumn("row_cnt", F.col("row_cnt") + 1)
+    delivery.announce(reduce(DataFrame.unionByName, [exact, exact, wrong, later]))
     delivery.load(driven_by="manifest")
     audit = delivery.store.audit_log()
     return audit.select("file_nm", "check_nm", "expected_val", "actual_val", "check_status")

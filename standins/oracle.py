@@ -242,7 +242,12 @@ FROM y CROSS JOIN (VALUES ('VALIDATION'), ('TABLE_LOAD'), ('VIEW_REFRESH'), ('AR
 UNION ALL VALUES ('NATION_20000101.csv', 'VALIDATION', 'SUCCESS', NULL), ('NATION_20000101.csv', 'TABLE_LOAD', 'ERROR', NULL),
                  ('REGION_ALL.csv', 'VALIDATION', 'SUCCESS', NULL),
                  ('REGION_ALL.csv', 'TABLE_LOAD', 'SUCCESS', (SELECT count(*) FROM region)),
-                 ('REGION_ALL.csv', 'VIEW_REFRESH', 'ERROR', NULL)""",
+                 ('REGION_ALL.csv', 'VIEW_REFRESH', 'ERROR', NULL),
+                 ('CANCELLED_20000101.csv', 'VALIDATION', 'SUCCESS', NULL), ('CANCELLED_20000101.csv', 'TABLE_LOAD', 'ERROR', NULL)
+UNION ALL
+SELECT file_nm, step_nm, 'SUCCESS', CASE WHEN step_nm = 'TABLE_LOAD' THEN n END
+FROM (SELECT '_SUPPLIER_20000101.csv' AS file_nm, count(*) AS n FROM supplier UNION ALL SELECT '.PART_20000101.csv', count(*) FROM part)
+CROSS JOIN (VALUES ('VALIDATION'), ('TABLE_LOAD'), ('VIEW_REFRESH'), ('ARCHIVE')) t(step_nm)""",
     "load_rerun": """
 SELECT 0::BIGINT AS files_found, 0::BIGINT AS files_loaded, 0::BIGINT AS files_failed,
        0::BIGINT AS files_not_in_inventory, 0::BIGINT AS files_missing""",
@@ -258,10 +263,12 @@ SELECT file_nm, 6::BIGINT AS col_cnt, n AS row_cnt FROM s""",
     "load_by_manifest": f"""
 WITH {_YEARS}, {_LATE},
 m AS (SELECT file_nm FROM s WHERE file_nm NOT IN (SELECT file_nm FROM y))
-SELECT file_nm, 'FILE_NAME_EXISTS' AS check_nm, 'Y' AS expected_val, 'Y' AS actual_val, 'PASS' AS check_status FROM y
-UNION ALL SELECT file_nm, 'COLUMN_COUNT', '6', '6', 'PASS' FROM y
-UNION ALL SELECT file_nm, 'ROW_COUNT', CAST(n AS VARCHAR), CAST(n AS VARCHAR), 'PASS' FROM y
-UNION ALL SELECT file_nm, 'ROWS_LOADED', CAST(n AS VARCHAR), CAST(n AS VARCHAR), 'PASS' FROM y
+SELECT file_nm, 'FILE_NAME_EXISTS' AS check_nm, 'Y' AS expected_val, 'Y' AS actual_val, 'PASS' AS check_status
+FROM y CROSS JOIN range(3)
+UNION ALL SELECT file_nm, 'COLUMN_COUNT', '6', '6', 'PASS' FROM y CROSS JOIN range(3)
+UNION ALL SELECT file_nm, 'ROW_COUNT', CAST(n AS VARCHAR), CAST(n AS VARCHAR), 'PASS' FROM y CROSS JOIN range(2)
+UNION ALL SELECT file_nm, 'ROW_COUNT', CAST(n + 1 AS VARCHAR), CAST(n AS VARCHAR), 'FAIL' FROM y
+UNION ALL SELECT file_nm, 'ROWS_LOADED', CAST(n AS VARCHAR), CAST(n AS VARCHAR), 'PASS' FROM y CROSS JOIN range(2)
 UNION ALL SELECT file_nm, 'FILE_NAME_EXISTS', 'Y', 'N', 'FAIL' FROM m
 UNION ALL SELECT file_nm, 'COLUMN_COUNT', NULL, NULL, 'SKIPPED' FROM m
 UNION ALL SELECT file_nm, 'ROW_COUNT', NULL, NULL, 'SKIPPED' FROM m""",

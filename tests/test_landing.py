@@ -52,6 +52,10 @@ def mixed(spark, tmp_path_factory):
     zone.put("A-B_20260914.csv", "A,B\n1,2\n", 2, 1)
     zone.put("DUP_20260914.csv", "A,a\n1,2\n", 2, 1)
     zone.put("_HIDDEN_20260914.csv", "A,B\n1,2\n", 2, 1)
+    zone.put(".DOTTED_20260914.csv", 'A,B\n1,"x\ny"\n2,3\n', 2, 2)
+    zone.put("_BAD %20_20260914.csv", "A,B\n1,2\n", 3, 1)
+    zone.put("CANCELLED_20260914.csv", "id,,cancelled_at\n1,2,3\n", 3, 1)
+    zone.put("MEMORY_20260914.csv", "A,B\n1,2\nOutOfMemoryError,ExecutorLostFailure,stopped SparkContext\n", 2, 2)
     zone.put("SPACE IN_20260914.csv", "A,B\n1,2\n", 2, 1)
     zone.put("PLUS_20260914.x+y%20{z}.csv", "A,B\n1,2\n", 2, 1)
     zone.put("lower_20260914.csv", "A,B\n1,2\n", 2, 1)
@@ -73,6 +77,8 @@ LOADED = {
     "AMOUNTS_20260914.csv": 2,
     "PLUS_20260914.x+y%20{z}.csv": 1,
     "lower_20260914.csv": 1,
+    "_HIDDEN_20260914.csv": 1,
+    ".DOTTED_20260914.csv": 2,
 }
 REJECTED = {
     "SHORT_20260914.csv": 1,
@@ -81,7 +87,7 @@ REJECTED = {
     "NONNUMBER_20260914.csv": 1,
     "EMPTY_20260914.csv": 2,
     "NESTED_20260914.csv": 2,
-    "_HIDDEN_20260914.csv": 2,
+    "_BAD %20_20260914.csv": 1,
     "QUOTEDHEAD_20260914.csv": 1,
 }
 LOAD_ERRORS = (
@@ -93,6 +99,8 @@ LOAD_ERRORS = (
     "A-B_20260914.csv",
     "DUP_20260914.csv",
     "SPACE IN_20260914.csv",
+    "CANCELLED_20260914.csv",
+    "MEMORY_20260914.csv",
 )
 
 
@@ -205,6 +213,13 @@ def test_values_arrive_whole(mixed):
     assert {r.B for r in mixed.table("QUOTED_20260914").collect()} == {"x, y", 'say "hi"'}
 
 
+def test_hidden_names_keep_their_own(mixed):
+    for name in ("_HIDDEN_20260914.csv", ".DOTTED_20260914.csv"):
+        view = mixed.view(name.lstrip(".").removesuffix("_20260914.csv"))
+        assert {r.SRC_FILE_NM for r in view.collect()} == {f"{mixed.category}/{name}"}
+    assert {r.A: r.B for r in mixed.view("DOTTED").collect()} == {1: "x\ny", 2: "3"}
+
+
 def test_lineage(mixed):
     rows = mixed.view("GOOD").select("SRC_FILE_NM", "LOAD_TS").distinct().collect()
     assert [r.SRC_FILE_NM for r in rows] == [f"{mixed.category}/GOOD_20260914.csv"]
