@@ -203,7 +203,8 @@ def with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     delivery.put("NATION", ragged, F.lit("20000101"), quote="")
     region = table(spark, sf_dir, "region")
     delivery.put("REGION", region, F.lit("ALL"))
-    delivery.put("CANCELLED", region.toDF("id", " ", "cancelled_at"), F.lit("20000101"))
+    named = region.select("*", F.col("r_name").alias("cancelled_at")).toDF("id", " ", "cancelled_at")
+    delivery.put("CANCELLED", named, F.lit("20000101"))
     delivery.put("_SUPPLIER", table(spark, sf_dir, "supplier"), F.lit("20000101"))
     delivery.put(".PART", table(spark, sf_dir, "part"), F.lit("20000101"))
     delivery.announce()
