@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,11 +33,60 @@ def snapshot(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     return written(df, new_folder(df.sparkSession, label))
 
 
+#: Bytes of texts that a Python worker holds at a time, unless one text is longer.
+BATCH_BYTES = 4 << 20
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Send whole texts to Python in batches of at most so many rows, unless fewer are set already."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= rows:
-        spark.conf.set(name, str(rows))
+    """Send whole texts to Python in batches of at most so many rows and BATCH_BYTES, unless less is set already.
+
+    The plans that need it run later, so it stays set in the session.
+    """
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(f"spark.sql.execution.arrow.{name}", None)
+        if not (now and now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A name for a helper column that no column of a frame has."""
+    taken = {c.lower() for c in df.columns}
+    while wanted in taken:
+        wanted += "_"
+    return wanted
+
+
+def let_go() -> None:
+    """Give memory that a task has freed back to the machine: Python workers live on for the next stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def freeing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function of a task's batches that lets memory go when the task is over."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            let_go()
+
+    return wrapped
+
+
+def by_bytes(column: pa.Array, most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
+    """Begin and end of parts of a column of texts with at most so many bytes, unless one text has more."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    begin, held = 0, 0
+    for k, size in enumerate(sizes.tolist()):
+        if k > begin and held + size > most:
+            yield begin, k
+            begin, held = k, 0
+        held += size
+    if len(column) > begin:
+        yield begin, len(column)
 
 
 def texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -118,8 +118,9 @@ def pieces(
         encode = encoder(tokenizer_path)
         for batch in batches:
             columns: list[list] = [[] for _ in range(7)]
-            for row, doc_id, text in zip(batch.column("row").to_pylist(), batch.column("id").to_pylist(), batch.column("text")):
-                ids = np.append(encode(text.as_py() or ""), end_id).astype("<u4")
+            texts_ids = encode.column(batch.column("text"))
+            for row, doc_id, own_ids in zip(batch.column("row").to_pylist(), batch.column("id").to_pylist(), texts_ids):
+                ids = np.append(own_ids, end_id).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), tokens)):
                     part = ids[start : start + tokens].tobytes()
                     own = (row, doc_id, piece, start, len(part) // 4, zlib.crc32(part), part)

@@ -184,8 +184,8 @@ def write(
             return pa.RecordBatch.from_pylist([dict(zip(schema.names, row))], schema)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("id").to_pylist(), batch.column("text")):
-                own = np.concatenate([encode(text.as_py() or ""), end])
+            for doc_id, found in zip(batch.column("id").to_pylist(), encode.column(batch.column("text"))):
+                own = np.concatenate([found, end])
                 if doc_ids and held + len(own) > shard_ids:
                     yield closed()
                     doc_ids, sizes, ids, shard, first, held = [], [], [], shard + 1, first + held, 0
