@@ -90,7 +90,8 @@ def keeps_as_double(value: Column | str) -> Column:
     size = F.abs(value.try_cast("double"))
     in_range = size.between(SMALLEST_DOUBLE, LARGEST_DOUBLE) | (significant == "")
     short = (F.octet_length(value) <= DOUBLE_DIGITS) & (exponent == 0)
-    return short | ((F.length(significant) <= DOUBLE_DIGITS) & F.coalesce(in_range, F.lit(False)))
+    # not an OR: its sides would be evaluated for every value, also where the cheap one decides
+    return F.when(short, F.lit(True)).otherwise((F.length(significant) <= DOUBLE_DIGITS) & F.coalesce(in_range, F.lit(False)))
 
 
 def scale_digits(value: Column | str) -> Column:

@@ -157,15 +157,15 @@ def loaded_before(
     return keys.distinct()
 
 
+def not_in_folder(manifest: DataFrame, files: DataFrame) -> DataFrame:
+    """Manifest rows whose file is not in the folder, with their file key."""
+    present = files.select(file_key("file_nm").alias("file_key"))
+    return manifest.withColumn("file_key", file_key("file_nm")).join(present, "file_key", "left_anti")
+
+
 def missing_files(manifest: DataFrame, files: DataFrame, loaded: DataFrame) -> DataFrame:
     """Manifest rows whose file is not in the folder and was never loaded."""
-    present = files.select(file_key("file_nm").alias("file_key"))
-    return (
-        manifest.withColumn("file_key", file_key("file_nm"))
-        .join(present, "file_key", "left_anti")
-        .join(loaded, "file_key", "left_anti")
-        .drop("file_key")
-    )
+    return not_in_folder(manifest, files).join(loaded, "file_key", "left_anti").drop("file_key")
 
 
 def manifest_presence(

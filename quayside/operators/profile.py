@@ -36,7 +36,7 @@ def profile_values(column_values: DataFrame, *keys: str) -> DataFrame:
         F.coalesce(
             F.max(F.when(F.col("kind") == val.KIND_DECIMAL, val.scale_digits("value"))), F.lit(0)
         ).alias("scale"),
-        F.count_if(number & ~val.keeps_as_double("value")).alias("not_doubles"),
+        F.count_if(F.when(number, ~val.keeps_as_double("value"))).alias("not_doubles"),
         F.count_if("bad_width").alias("bad_records"),
     )
 

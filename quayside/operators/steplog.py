@@ -30,7 +30,7 @@ def current_state(
     return reduced.select("first_seq", *keys, "start_ts", "now.*")
 
 
-def job_log(events: DataFrame) -> DataFrame:
+def job_log(events: DataFrame, with_row: bool = False) -> DataFrame:
     """The job log: one row per run, file and step, and for each manifest row that a run walks."""
     state = current_state(
         events.withColumn("row_no", F.coalesce("row_no", F.lit(0))),
@@ -52,6 +52,7 @@ def job_log(events: DataFrame) -> DataFrame:
         "start_ts",
         "end_ts",
         "created_by",
+        *(["row_no"] if with_row else []),
     )
 
 

@@ -21,10 +21,18 @@ from quayside.operators.lineage import lineage_clash, with_lineage
 from quayside.operators.profile import column_type, column_values, profile_values
 from quayside.plans.faults import BadFile, blames_file
 from quayside.plans.oplog import utc_now
+from quayside.session import session_with
 from quayside.sources import hadoop, quoted
 from quayside.sources.files import read_lines, read_records, text_schema
 
 
+# A task of a write keeps a file open for each table it meets, rather than sort its rows by table first.
+WRITE_SETTINGS = {
+    "spark.sql.optimizer.plannedWrite.enabled": "false",
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
+}
+
+
 @dataclass
 class FileLoad:
     """A file that passed its checks, and what became of it."""
@@ -73,6 +81,7 @@ class Loader:
         self.spark, self.cfg, self.category, self.run_id = spark, cfg, category, run_id
         self.records = records
         self.loaded_at = utc_now()
+        self.writer = session_with(spark, WRITE_SETTINGS)
 
     def load(self, files: list[FileLoad]) -> None:
         """Load all files; each one ends with ``rows_loaded`` or ``error`` set."""
@@ -185,7 +194,7 @@ class Loader:
             rows = quoted.parse_records(self._records_of(group), types, "FAILFAST")
         else:
             rows = read_records(
-                self.spark,
+                self.writer,
                 [f.file_path for f in group],
                 schema,
                 mode="FAILFAST",

@@ -1,22 +1,26 @@
-"""Logs and registries of an intake: append-only Parquet folders below the store."""
+"""Logs and registries of an intake, each a compacted log below the store."""
 
 from __future__ import annotations
 
 import math
 from collections import defaultdict
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import suppress
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from functools import reduce
-from uuid import uuid4
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside import vocabulary as v
 from quayside.config import IntakeConfig
+from quayside.functions import names
 from quayside.operators import monitor, steplog
+from quayside.plans.logstore import LogStore, bucket_of, bucket_of_text
 from quayside.sources import hadoop
+from quayside.sources.catalog import list_catalog, views
 
 AUDIT_SCHEMA = (
     "audit_id long, job_run_id string, category string, file_nm string, check_nm string, "
@@ -28,71 +32,103 @@ TABLE_SCHEMA = (
     "table_schema string, table_nm string, location string, schema_json string, "
     "registered_at timestamp"
 )
-FOLDERS = {
-    "job_events": steplog.EVENT_SCHEMA,
-    "audit_log": AUDIT_SCHEMA,
-    "view_registry": VIEW_SCHEMA,
-    "table_registry": TABLE_SCHEMA,
-}
-
-NESTED = {"recursiveFileLookup": "true"}
 LOG_KEYS = {"job_events": "event_id", "audit_log": "audit_id"}
 
 ROWS_PER_LOG_PART = 1_000_000
 # An id is the number of its run, which no other run has, and its place in that run's logs:
-# days since 2020 (14 bits), runs of that day (12 bits), places (36 bits).
+# days since 2020 (14 bits), runs of that day (20 bits), places (29 bits).
 FIRST_DAY = date(2020, 1, 1)
-RUN_BITS, PLACE_BITS = 12, 36
+RUN_BITS, PLACE_BITS = 20, 29
 
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+_EXPOSING = Lock()
+
+
+def _day_of_check():
+    return F.coalesce(F.to_date("checked_at").cast("string"), F.lit("none"))
+
+
 class OpsStore:
-    """Reads and appends logs and registries."""
+    """Reads and appends logs and registries.
+
+    Steps are dealt by file, checks by day, tables by base name and views by schema, so that a run reads what is about its
+    own files, tables and views however long the logs have become.
+    """
 
     def __init__(self, spark: SparkSession, cfg: IntakeConfig):
         self.spark = spark
         self.cfg = cfg
 
+        def log(name: str, *settings, **more) -> LogStore:
+            return LogStore(spark, self.folder(name), *settings, **more)
+
+        self.logs = {
+            "job_events": log("job_events", steplog.EVENT_SCHEMA, file_bucket, sort_by=("file_nm", "event_id")),
+            "audit_log": log("audit_log", AUDIT_SCHEMA, _day_of_check, sort_by=("audit_id",)),
+            "view_registry": log(
+                "view_registry", VIEW_SCHEMA, lambda: bucket_of(F.col("view_schema")),
+                newest=(("view_schema", "view_name"), "refreshed_at"),
+            ),
+            "table_registry": log(
+                "table_registry", TABLE_SCHEMA, lambda: bucket_of(names.base_name("table_nm")),
+                newest=(("table_schema", "table_nm"), "registered_at"), sort_by=("table_nm",),
+            ),
+        }
+
     def folder(self, name: str) -> str:
         return f"{self.cfg.store_root}/ops/{name}"
 
     def ensure(self) -> None:
-        """Create the folders, the ops database and its tables where they are missing."""
+        """Create the folders, the ops database and the views of its logs where they are missing."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.cfg.ops_db}`")
-        for name, schema in FOLDERS.items():
-            hadoop.make_folder(self.spark, self.folder(name))
-            if not self.spark.catalog.tableExists(f"{self.cfg.ops_db}.{name}"):
-                self.spark.sql(
-                    f"CREATE TABLE IF NOT EXISTS `{self.cfg.ops_db}`.`{name}` ({schema}) "
-                    f"USING parquet OPTIONS (recursiveFileLookup 'true') LOCATION '{self.folder(name)}'"
-                )
-
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(FOLDERS[name]).options(**NESTED).parquet(self.folder(name))
+        for log in self.logs.values():
+            log.ensure()
+        if not all(self.spark.catalog.tableExists(f"{self.cfg.ops_db}.{name}") for name in LOG_KEYS):
+            self.expose()
+
+    def expose(self) -> None:
+        """Point the log views of the ops database at the folders that make up the logs now."""
+        with _EXPOSING:
+            for name in LOG_KEYS:
+                log = self.logs[name]
+                within = ",".join(f.removeprefix(f"{log.root}/") for f in log.folders())
+                fields = [f.split()[0] for f in log.schema.split(", ")]
+                rows = f"SELECT {', '.join(fields)} FROM parquet.`{log.root}/{{{within}}}`"
+                if not within:
+                    rows = f"SELECT {', '.join('CAST(NULL AS {1}) AS {0}'.format(*f.split()) for f in log.schema.split(', '))} WHERE false"
+                self.spark.sql(f"CREATE OR REPLACE VIEW `{self.cfg.ops_db}`.`{name}` AS {rows}")
+
+    def read(self, name: str, buckets: Iterable[str] | None = None) -> DataFrame:
+        """A log's rows, at least those of some buckets; of a registry, at least the newest of each key."""
+        return self.logs[name].read(buckets)
 
     def append(self, name: str, rows: DataFrame) -> None:
-        """Write rows to a folder of their own, so that runs at the same time never meet in one."""
-        today = utc_now().date().isoformat()
-        rows.write.parquet(f"{self.folder(name)}/run_date={today}/part={uuid4().hex}")
-        self.spark.catalog.refreshTable(f"{self.cfg.ops_db}.{name}")
+        self.logs[name].append(rows)
+
+    def compact(self) -> None:
+        """Compact the logs that have many appends; one that cannot be compacted now is left for the next run."""
+        for log in self.logs.values():
+            with suppress(Exception):
+                log.compact()
 
     def claim_run(self) -> int:
         """A number that no other run on this store has, whatever else runs at the same time."""
-        day = utc_now().date()
-        folder = f"{self.folder('runs')}/{day.isoformat()}"
-        hadoop.make_folder(self.spark, folder)
-        number = len(hadoop.names_in(self.spark, folder))
-        while not hadoop.create_new(self.spark, f"{folder}/{number}"):
-            number += 1
-        if number >> RUN_BITS:
-            raise RuntimeError(f"more than {1 << RUN_BITS} runs in a day")
+        day, number = utc_now().date(), 1 << RUN_BITS
+        while number >> RUN_BITS:  # a day that is full lends a number of the next one
+            folder = f"{self.folder('runs')}/{day.isoformat()}"
+            hadoop.make_folder(self.spark, folder)
+            number = len(hadoop.names_in(self.spark, folder))
+            while not number >> RUN_BITS and not hadoop.create_new(self.spark, f"{folder}/{number}"):
+                number += 1
+            day += timedelta(days=number >> RUN_BITS)
         return (day - FIRST_DAY).days << RUN_BITS | number
 
-    def job_events(self) -> DataFrame:
-        return self.read("job_events")
+    def job_events(self, buckets: Iterable[str] | None = None) -> DataFrame:
+        return self.read("job_events", buckets)
 
     def job_log(self) -> DataFrame:
         return steplog.job_log(self.job_events())
@@ -108,9 +144,22 @@ class OpsStore:
     def failed_checks(self) -> DataFrame:
         return monitor.failed_checks(self.audit_log())
 
-    def current_view_source(self, *categories: str) -> DataFrame:
+    def published_views(self, *categories: str) -> DataFrame:
+        """What each view was last pointed at, whether or not the catalog still has it."""
         schemas = [f"{c.upper()}_VW" for c in categories]
-        return monitor.current_view_source(self.read("view_registry"), schemas)
+        registry = self.read("view_registry", map(bucket_of_text, schemas))
+        return monitor.current_view_source(registry, schemas)
+
+    def current_view_source(self, *categories: str) -> DataFrame:
+        """The views that the catalog has, what their comments say they serve, and since when they do."""
+        there = [views(list_catalog(self.spark, f"{c.upper()}_VW")) for c in categories]
+        shown = reduce(DataFrame.unionByName, there).select(
+            "table_schema", F.col("table_nm").alias("view_name"), F.col("comment").alias("points_to")
+        )
+        since = self.published_views(*categories).select(
+            F.col("view_schema").alias("table_schema"), "view_name", "last_refreshed"
+        )
+        return shown.join(since, ["table_schema", "view_name"], "left").withColumnRenamed("table_schema", "view_schema")
 
     def register_monitoring(self, *categories: str) -> None:
         """Make logs and monitoring views available to SQL in this session."""
@@ -121,6 +170,11 @@ class OpsStore:
         self.current_view_source(*categories).createOrReplaceTempView("vw_current_view_source")
 
 
+def file_bucket() -> Column:
+    """The bucket of a file's steps."""
+    return bucket_of(F.coalesce(names.file_key("file_nm"), F.lit("")))
+
+
 class RunLog:
     """Collects the steps and checks of one run and appends them, a flush at a time."""
 
@@ -195,6 +249,25 @@ class RunLog:
         named = [column.alias(name) for name, column in fields.items()]
         self._pending[log].append((rows.select(*named), n_rows))
 
+    def _running(self) -> DataFrame:
+        """Steps of this run that the log has begun and not ended."""
+        own = self.store.job_events().where(F.col("job_run_id") == self.run_id)
+        return steplog.job_log(own, with_row=True).where(F.col("status") == v.RUNNING)
+
+    def is_open(self, step: str) -> bool:
+        return not self._running().where(F.col("step_nm") == step).isEmpty()
+
+    def close_open(self, message: str) -> None:
+        """End as errors the steps that a run which died has left open."""
+        left = self._running().select("file_nm", "row_no", "step_nm", "target_object", "start_ts")
+        for step, in left.select("step_nm").distinct().collect():
+            own = left.where(F.col("step_nm") == step)
+            self.steps(
+                own, own.count(), step, v.ERROR, F.col("start_ts"), target=F.col("target_object"),
+                error_msg=F.lit(message), ended=utc_now(),
+            )
+        self.flush()
+
     def abandon(self, error: BaseException) -> None:
         """The run dies of an error: what was decided is logged, steps that are open end as errors."""
         left, self._open = self._open, {}
@@ -209,6 +282,9 @@ class RunLog:
     def flush(self) -> None:
         """Append what was collected, each log by one small write, and number the rows."""
 
+        if not self._pending:
+            return
+
         def write(log: str) -> None:
             frames = self._pending.pop(log)
             rows = reduce(DataFrame.unionByName, (frame for frame, _ in frames))

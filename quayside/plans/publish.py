@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from quayside.config import IntakeConfig
 from quayside.functions import names
 from quayside.operators.latest import latest_tables
+from quayside.plans.logstore import bucket_of_text
 from quayside.plans.oplog import TABLE_SCHEMA, VIEW_SCHEMA, OpsStore, utc_now
 from quayside.session import local_frame
 from quayside.sources import hadoop
@@ -38,14 +39,19 @@ class Publisher:
         self._tables: list[tuple] = []
         self._views: list[tuple] = []
 
-    def _registered(self) -> DataFrame:
-        return self.store.read("table_registry").where(F.col("table_schema") == self.category)
+    def _registered(self, bases: Iterable[str]) -> DataFrame:
+        """Registrations of this category, at least those of some base names."""
+        known = self.store.read("table_registry", map(bucket_of_text, bases))
+        return known.where(F.col("table_schema") == self.category)
 
     def _lookup(self, table_names: Iterable[str]) -> dict[str, Row]:
         """The newest registration of each of some tables."""
-        wanted = local_frame(self.spark, [(n,) for n in set(table_names)], "table_nm string")
+        wanted_names = set(table_names)
+        if not wanted_names:
+            return {}
+        wanted = local_frame(self.spark, [(n,) for n in wanted_names], "table_nm string")
         newest = F.max_by(F.struct("location", "schema_json"), "registered_at").alias("t")
-        known = self._registered().join(wanted, "table_nm", "left_semi")
+        known = self._registered(map(names.strip_date, wanted_names)).join(wanted, "table_nm", "left_semi")
         return {row.table_nm: row.t for row in known.groupBy("table_nm").agg(newest).collect()}
 
     def _has(self, database: str, name: str) -> bool:
@@ -58,7 +64,7 @@ class Publisher:
         that a missing view serves are registered.
         """
         ensure_databases(self.spark, self.category)
-        published = self.store.current_view_source(self.category).collect()
+        published = self.store.published_views(self.category).collect()
         missing = {
             r.view_name: r.points_to for r in published if not self._has(self.view_schema, r.view_name)
         }
@@ -109,8 +115,9 @@ class Publisher:
 
     def latest(self, bases: Iterable[str]) -> dict[str, str]:
         """Newest dated table of each of some base names: one job over the registry."""
-        wanted = local_frame(self.spark, [(b,) for b in set(bases)], "base_nm string")
-        tables = self._registered().withColumn("base_nm", names.base_name("table_nm"))
+        wanted_bases = set(bases)
+        wanted = local_frame(self.spark, [(b,) for b in wanted_bases], "base_nm string")
+        tables = self._registered(wanted_bases).withColumn("base_nm", names.base_name("table_nm"))
         newest = latest_tables(tables.join(wanted, "base_nm", "left_semi").select("table_nm"))
         return {row.base_nm: row.latest_table for row in newest.collect()}
 
@@ -133,17 +140,23 @@ class Publisher:
         current = {row[1]: row[2] for row in self._tables}
         replaced = [row[2] for row in self._tables if row[2] != current[row[1]]]
         replaced += [self._known[name].location for name in current if name in self._known]
-        for location in replaced:
+        for location in set(replaced) - set(current.values()):  # a run that is finished again finds its own
             if location.startswith(f"{self.cfg.store_root}/tables/"):
                 hadoop.delete(self.spark, location)
         self._tables, self._views = [], []
 
 
-def archive_file(spark: SparkSession, cfg: IntakeConfig, category: str, file_nm: str) -> datetime:
-    """Move a loaded file to the history folder of its category."""
-    hadoop.move(
-        spark,
-        f"{cfg.landing_root}/{cfg.folder(category)}{file_nm}",
-        f"{cfg.landing_root}/{cfg.history(category)}{file_nm}",
-    )
+def archive_file(
+    spark: SparkSession, cfg: IntakeConfig, category: str, file_nm: str, loaded: datetime | None = None
+) -> datetime:
+    """Move a loaded file to the history folder of its category.
+
+    With ``loaded``, when a run that died had loaded it, the file may be there already, and one of its name that came
+    after that is another delivery and stays.
+    """
+    source = f"{cfg.landing_root}/{cfg.folder(category)}{file_nm}"
+    target = f"{cfg.landing_root}/{cfg.history(category)}{file_nm}"
+    there = loaded is not None and hadoop.exists(spark, target)
+    if not there or hadoop.exists(spark, source) and hadoop.modified(spark, source) <= loaded:
+        hadoop.move(spark, source, target)
     return utc_now()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
@@ -14,8 +15,9 @@ from quayside.config import IntakeConfig
 from quayside.functions import names
 from quayside.operators import checks, measure
 from quayside.plans.faults import blames_file
+from quayside.plans.journal import Journal
 from quayside.plans.load import FileLoad, Loader, waves
-from quayside.plans.oplog import OpsStore, RunLog, utc_now
+from quayside.plans.oplog import OpsStore, RunLog, file_bucket, utc_now
 from quayside.plans.publish import Publisher, archive_file
 from quayside.session import local_frame, new_folder, written
 from quayside.sources import hadoop, quoted
@@ -77,15 +79,41 @@ class Intake:
             self.publisher.rehydrate()
             self.log = opened.result()
         self.scratch = new_folder(spark, "intake")
+        self.journal = Journal(spark, f"{self.store.folder('open')}/{category}", self.run_id)
 
     def run(self) -> DataFrame:
         try:
-            return self._run()
+            for journal in self.journal.unfinished():
+                self._recover(journal)
+            self.journal.begin()
+            result = self._run()
         except BaseException as error:
             self.log.abandon(error)
             raise
         finally:
             hadoop.delete(self.spark, self.scratch)
+            self.journal.end()
+        self.store.compact()
+        self.store.expose()
+        return result
+
+    def _recover(self, journal: Journal) -> None:
+        """Finish what a run that died was about to publish; what else it had open ends as an error."""
+        dead = copy.copy(self)
+        dead.run_id, dead.journal = journal.run_id, journal
+        dead.log = RunLog(self.store, journal.run_id, self.category)
+        intent = journal.intent()
+        if intent is None:
+            hadoop.delete(self.spark, f"{self.cfg.store_root}/tables/{self.category}/{journal.run_id}")
+        else:
+            driven_by, loads = intent
+            dead._look_up(loads)
+            published = dead._publish(dead._close_loads(loads, again=True))
+            if driven_by == "folder":
+                dead._archive(published, again=True)
+        dead.log.flush()
+        dead.log.close_open(v.MSG_RUN_DIED)
+        journal.end()
 
     def _run(self) -> DataFrame:
         listing = list_folder(
@@ -139,7 +167,9 @@ class Intake:
     ) -> DataFrame:
         """Log the missing files and return the counters of the run."""
         only = self.category if self.cfg.history_by_category else None
-        history = checks.loaded_before(self.store.job_events(), only, manifest)
+        absent = checks.not_in_folder(manifest, files)
+        buckets = [row.bucket for row in absent.select(file_bucket().alias("bucket")).distinct().collect()]
+        history = checks.loaded_before(self.store.job_events(buckets), only, absent)
         missing = self._kept(checks.missing_files(manifest, files, history))
         frame = local_frame(
             self.spark,
@@ -298,8 +328,7 @@ class Intake:
             self.log.flush()
             return loads
         opened = utc_now()
-        self.publisher.prepare(f.table_nm for f in loads)
-        self.newest = self.publisher.latest(_base(f) for f in loads)
+        self._look_up(loads)
         frame = local_frame(self.spark, [(f.file_nm, n) for f in loads for n in f.row_nos], "file_nm string, row_no long")
         n_rows = sum(len(f.row_nos) for f in loads)
         self.log.steps(
@@ -307,7 +336,20 @@ class Intake:
         )
         self.log.flush()
         Loader(self.spark, self.cfg, self.category, self.run_id, records).load(loads)
+        self.journal.will_publish(loads, self.cfg.driven_by)
+        return self._close_loads(loads)
+
+    def _look_up(self, loads: list[FileLoad]) -> None:
+        """Earlier loads of the tables of this run, and the newest tables of their base names."""
+        self.publisher.prepare(f.table_nm for f in loads)
+        self.newest = self.publisher.latest(_base(f) for f in loads)
+
+    def _close_loads(self, loads: list[FileLoad], again: bool = False) -> list[FileLoad]:
+        """Register what was loaded and log how each load ended; ``again``: unless the log has it already."""
         self._register(loads)
+        if again and not self.log.is_open(v.TABLE_LOAD):
+            return loads
+        n_rows = sum(len(f.row_nos) for f in loads)
         done = local_frame(
             self.spark,
             [
@@ -409,7 +451,7 @@ class Intake:
         base = names.strip_date(f.table_nm)
         return self.cfg.table_label(f"{self.category}_VW", base)
 
-    def _archive(self, published: list[FileLoad]) -> set[str]:
+    def _archive(self, published: list[FileLoad], again: bool = False) -> set[str]:
         """Move the published files to the history folder; returns the paths that moved."""
         if not published:
             return set()
@@ -423,7 +465,8 @@ class Intake:
 
         def move(f: FileLoad) -> tuple:
             try:
-                ended = archive_file(self.spark, self.cfg, self.category, f.file_nm)
+                loaded = f.started if again else None
+                ended = archive_file(self.spark, self.cfg, self.category, f.file_nm, loaded)
                 message = v.MSG_MOVED_TO.format(folder=history)
                 return f.file_nm, 0, history + f.file_nm, v.SUCCESS, message, opened, ended
             except Exception as error:

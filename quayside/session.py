@@ -32,6 +32,14 @@ def local_session(cores: int | str = "*", app: str = "quayside", **conf: str) ->
     return spark
 
 
+def session_with(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session like the given one, with settings of its own; it shares context, catalog and storage."""
+    own = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
+    for key, value in settings.items():
+        own.conf.set(key, value)
+    return own
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

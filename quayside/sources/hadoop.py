@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
 from functools import lru_cache
 from threading import Lock
 
@@ -45,6 +46,31 @@ def create_new(spark: SparkSession, path: str) -> bool:
             raise
 
 
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with a text; False if it is there already. One caller of many gets True."""
+    with _CREATING:
+        try:
+            out = _fs(spark, path).create(_path(spark, path), False)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in error.java_exception.getClass().getName():
+                return False
+            raise
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text; ValueError if it is none."""
+    stream = _fs(spark, path).open(_path(spark, path))
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def names_in(spark: SparkSession, path: str) -> list[str]:
     """Names of the files and folders in a folder."""
     return [s.getPath().getName() for s in _fs(spark, path).listStatus(_path(spark, path))]
@@ -59,6 +85,12 @@ def size(spark: SparkSession, path: str) -> int:
     return _fs(spark, path).getContentSummary(_path(spark, path)).getLength()
 
 
+def modified(spark: SparkSession, path: str) -> datetime:
+    """When a file was last written."""
+    ms = _fs(spark, path).getFileStatus(_path(spark, path)).getModificationTime()
+    return datetime.fromtimestamp(ms / 1000, timezone.utc)
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     return _fs(spark, path).makeQualified(_path(spark, path)).toString()
 

@@ -45,6 +45,7 @@ MSG_ROWS_DIFFER = "Loaded row count does not match inventory"
 MSG_POINTS_TO = "Points to {table}"
 MSG_MOVED_TO = "Moved to {folder}"
 MSG_AUDIT_MISSING = "Listed in the inventory but not found in {folder}"
+MSG_RUN_DIED = "The run ended before this step did"
 MSG_STEP_MISSING = "In inventory, not in {folder}, never loaded"
 
 ERROR_TEXT_LENGTH = 1000

@@ -78,3 +78,25 @@ def test_one_split_cannot_know_where_it_starts(spark, tmp_path, tiny_splits):
     assert quoted.record_counts(records).first().records == 2
     parsed = quoted.parse_records(quoted.record_texts(records), ["int", "string"], "FAILFAST")
     assert {r.c0: r.c1 for r in parsed.collect()} == {1: "fake,row\n" * 200, 2: "z"}
+
+
+def test_a_record_too_long_to_be_gathered_fails_its_file(spark, tmp_path, tiny_splits, monkeypatch):
+    monkeypatch.setattr(quoted, "MAX_RECORD_BYTES", 1000)
+    (tmp_path / "long.csv").write_text('A,B\n1,"' + "fake,row\n" * 200 + '"\n2,z\n')
+    (tmp_path / "short.csv").write_text('A,B\n1,"x\ny"\n2,"' + "a\n" * 50 + '"\n')
+    tiny_splits(64)
+    paths = [f"file:{p}" for p in sorted(tmp_path.iterdir())]
+    measured, records = measure_files(spark, paths, new_folder(spark, "test"))
+    assert {r.file_path.rsplit("/", 1)[1]: r.unclosed for r in measured.collect()} == {"long.csv": True, "short.csv": False}
+    assert {r.record_no for r in quoted.record_texts(records.of(paths[1:])).collect()} == {1, 2, 3}
+
+
+def test_only_fragments_at_edges_are_gathered(spark, tmp_path, tiny_splits):
+    rng = random.Random(4)
+    content, rows = make_csv(rng, 300)
+    (tmp_path / "f.csv").write_text(content)
+    tiny_splits(400)
+    records = quoted.quoted_records(spark, [f"file:{tmp_path}/f.csv"], new_folder(spark, "test"))
+    fragments = records.records.where("fragment").count()
+    assert 0 < fragments <= 2 * records.splits.count()
+    assert quoted.record_texts(records).count() == len(rows) + 1
