@@ -76,10 +76,13 @@ def column_type() -> Column:
     )
 
 
+def in_file_order(pos: str, value: Column) -> Column:
+    """The values of all columns as an array in file order; an aggregate."""
+    ordered = F.sort_array(F.collect_list(F.struct(F.col(pos).alias("at"), value.alias("value"))))
+    return F.transform(ordered, lambda c: c["value"])
+
+
 def schema_template(profiled: DataFrame, name: str, pos: str) -> DataFrame:
     """All columns with their types as one text, in file order."""
-    return profiled.agg(
-        F.expr(
-            f"listagg(concat({name}, ' ', column_type), ', ') within group (order by {pos})"
-        ).alias("ddl")
-    )
+    columns = in_file_order(pos, F.concat(F.col(name), F.lit(" "), F.col("column_type")))
+    return profiled.agg(F.array_join(columns, ", ").alias("ddl"))

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from quayside.config import IntakeConfig
 from quayside.functions import names, text
 from quayside.operators.lineage import lineage_clash, with_lineage
-from quayside.operators.profile import column_type, column_values, profile_values
+from quayside.operators.profile import column_type, column_values, in_file_order, profile_values
 from quayside.plans.faults import BadFile, blames_file
 from quayside.plans.oplog import utc_now
 from quayside.session import session_with
@@ -163,9 +163,8 @@ class Loader:
                 self.spark, [f.file_path for f in group], text_schema(width), mode="PERMISSIVE"
             )
         profiled = profile_values(column_values(rows, width), "file_uri", "pos")
-        in_order = F.sort_array(F.collect_list(F.struct("pos", column_type().alias("type"))))
         per_file = profiled.groupBy("file_uri").agg(
-            F.transform(in_order, lambda c: c["type"]).alias("types"),
+            in_file_order("pos", column_type()).alias("types"),
             F.max("bad_records").alias("bad_records"),
         )
         found = {

@@ -259,12 +259,13 @@ class RunLog:
 
     def close_open(self, message: str) -> None:
         """End as errors the steps that a run which died has left open."""
-        left = self._running().select("file_nm", "row_no", "step_nm", "target_object", "start_ts")
+        left = self._running().select("file_nm", "row_no", "step_nm", "target_object", "start_ts", "status")
+        left = steplog.finish_with_error(left.withColumn("error_msg", F.lit(message)))
         for step, in left.select("step_nm").distinct().collect():
             own = left.where(F.col("step_nm") == step)
             self.steps(
-                own, own.count(), step, v.ERROR, F.col("start_ts"), target=F.col("target_object"),
-                error_msg=F.lit(message), ended=utc_now(),
+                own, own.count(), step, F.col("status"), F.col("start_ts"), target=F.col("target_object"),
+                error_msg=F.col("error_msg"), ended=utc_now(),
             )
         self.flush()
 
@@ -274,9 +275,11 @@ class RunLog:
         with suppress(Exception):  # the error that the run dies of is the one to raise
             self.flush()
         with suppress(Exception):
-            message, now = F.lit(str(error)[: v.ERROR_TEXT_LENGTH]), utc_now()
+            now = utc_now()
             for step, opened in left.items():
-                self.steps(step=step, status=v.ERROR, error_msg=message, ended=now, **opened)
+                running = opened.pop("files").withColumns({"status": F.lit(v.RUNNING), "error_msg": F.lit(str(error))})
+                ended = steplog.finish_with_error(running)
+                self.steps(ended, step=step, status=F.col("status"), error_msg=F.col("error_msg"), ended=now, **opened)
             self.flush()
 
     def flush(self) -> None:

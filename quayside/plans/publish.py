@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from quayside.config import IntakeConfig
 from quayside.functions import names
-from quayside.operators.latest import latest_tables
+from quayside.operators.latest import latest_tables, rows_of_latest
 from quayside.plans.logstore import bucket_of_text
 from quayside.plans.oplog import TABLE_SCHEMA, VIEW_SCHEMA, OpsStore, utc_now
 from quayside.session import local_frame
@@ -36,6 +36,7 @@ class Publisher:
         self.spark, self.cfg, self.store, self.category = spark, cfg, store, category
         self.view_schema = f"{category}_VW"
         self._known: dict[str, Row] = {}
+        self._newest: dict[str, Row] = {}
         self._tables: list[tuple] = []
         self._views: list[tuple] = []
 
@@ -74,7 +75,10 @@ class Publisher:
                 self._create_view(view_name, points_to)
 
     def _restore(self, table_names: Iterable[str]) -> None:
-        for table_nm, known in self._lookup(table_names).items():
+        self._bring_back(self._lookup(table_names))
+
+    def _bring_back(self, registrations: dict[str, Row]) -> None:
+        for table_nm, known in registrations.items():
             if not self._has(self.category, table_nm):
                 schema = T.StructType.fromJson(json.loads(known.schema_json))
                 self._create_table(table_nm, known.location, schema)
@@ -109,7 +113,7 @@ class Publisher:
     def put_view(self, view_name: str, latest_table: str) -> None:
         points_to = self.cfg.table_label(self.category, latest_table)
         if not self._has(self.category, latest_table):
-            self._restore([latest_table])
+            self._bring_back({latest_table: self._newest[latest_table]})
         self._create_view(view_name, points_to)
         self._views.append((self.view_schema, view_name.upper(), points_to, utc_now()))
 
@@ -118,8 +122,12 @@ class Publisher:
         wanted_bases = set(bases)
         wanted = local_frame(self.spark, [(b,) for b in wanted_bases], "base_nm string")
         tables = self._registered(wanted_bases).withColumn("base_nm", names.base_name("table_nm"))
-        newest = latest_tables(tables.join(wanted, "base_nm", "left_semi").select("table_nm"))
-        return {row.base_nm: row.latest_table for row in newest.collect()}
+        tables = tables.join(wanted, "base_nm", "left_semi")
+        newest = rows_of_latest(tables.withColumn("name", F.col("table_nm")), latest_tables(tables.select("table_nm")))
+        known = F.max_by(F.struct("location", "schema_json"), "registered_at").alias("t")
+        found = newest.groupBy("base_nm", "name").agg(known).collect()
+        self._newest = {row.name: row.t for row in found}
+        return {row.base_nm: row.name for row in found}
 
     def remember(self) -> None:
         """Write this run's tables and views to the registries, then drop replaced data."""

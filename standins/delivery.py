@@ -18,6 +18,7 @@ from quayside.plans.probe import probe_files
 from quayside.session import new_folder
 from quayside.sources import hadoop
 from quayside.sources.catalog import entries
+from quayside.sources.folder import list_folder
 from quayside.sources.manifest import read_all_manifests
 from standins.frames import table
 
@@ -222,6 +223,48 @@ def earlier_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.select("file_nm", "validation_status", "load_status", "rows_loaded", "view_status")
 
 
+def history_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All files of a category folder after a run, archived ones among them."""
+    delivery = orders_by_year(spark, sf_dir)
+    listing = list_folder(spark, delivery.cfg.landing_root, delivery.cfg.folder(delivery.category))
+    path = F.replace("relative_path", F.lit(delivery.category), F.lit("CATEGORY"))
+    return listing.select(path.alias("relative_path"), (F.col("size") > 0).alias("has_content"))
+
+
+def newest_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The head of the load summary, newest first: a report of three rows."""
+    summary = orders_by_year(spark, sf_dir).store.load_summary()
+    newest = summary.orderBy(F.desc("start_ts"), F.desc("file_nm")).limit(3)
+    return newest.select("file_nm", "load_status", "rows_loaded")
+
+
+def log_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Who logged each step, under which run, and when: the shape of what differs from run to run."""
+    log = orders_by_year(spark, sf_dir).store.job_log()
+    uuid_form = "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+    now = F.current_timestamp()
+    return log.select(
+        "file_nm",
+        "step_nm",
+        F.col("job_run_id").rlike(uuid_form).alias("is_uuid"),
+        (F.col("created_by") == F.current_user()).alias("is_user"),
+        ((F.col("start_ts") <= F.col("end_ts")) & (F.col("end_ts") <= now) & (F.col("start_ts") > now - F.expr("interval 1 day"))).alias("is_now"),
+    )
+
+
+def current_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the views of the catalog serve, after one of three was dropped."""
+    delivery = Delivery(spark)
+    for feed in ("region", "nation", "supplier"):
+        delivery.put(feed.upper(), table(spark, sf_dir, feed), F.lit("20240101"))
+    delivery.announce()
+    delivery.load()
+    spark.sql(f"DROP VIEW {delivery.category}_VW.NATION")
+    found = delivery.store.current_view_source(delivery.category)
+    served = F.replace("points_to", F.lit(delivery.category), F.lit("CATEGORY"))
+    return found.select("view_name", served.alias("points_to"), F.col("last_refreshed").isNotNull().alias("has_time"))
+
+
 def probed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Columns and rows of the files in place, found by a pattern of their path."""
     found = probe_files(spark, rejected(spark, sf_dir).cfg.landing_root, "D[^/]*/ORDERS_[0-9]{8}[.]csv")

@@ -254,6 +254,20 @@ SELECT 0::BIGINT AS files_found, 0::BIGINT AS files_loaded, 0::BIGINT AS files_f
     "earlier_summary": f"""
 WITH {_YEARS}
 SELECT file_nm, 'SUCCESS' AS validation_status, 'SUCCESS' AS load_status, n AS rows_loaded, 'SUCCESS' AS view_status FROM y""",
+    "history_listing": f"""
+WITH {_YEARS}
+SELECT 'CATEGORY/History/' || file_nm AS relative_path, true AS has_content FROM y
+UNION ALL SELECT 'CATEGORY/RDS_Inventory_CATEGORY.csv', true""",
+    "newest_loads": f"""
+WITH {_YEARS}
+SELECT file_nm, 'SUCCESS' AS load_status, n AS rows_loaded FROM y ORDER BY file_nm DESC LIMIT 3""",
+    "log_stamps": f"""
+WITH {_YEARS}
+SELECT file_nm, step_nm, true AS is_uuid, true AS is_user, true AS is_now
+FROM y CROSS JOIN (VALUES ('VALIDATION'), ('TABLE_LOAD'), ('VIEW_REFRESH'), ('ARCHIVE')) t(step_nm)""",
+    "current_views": """
+SELECT upper(t) AS view_name, 'RDS_DB.CATEGORY.' || upper(t) || '_20240101' AS points_to, count(*) > 0 AS has_time
+FROM (SELECT 'region' AS t FROM region UNION ALL SELECT 'supplier' FROM supplier) GROUP BY t""",
     "probe_orders": f"""
 WITH {_YEARS}
 SELECT file_nm, 6 AS actual_col_cnt, n AS actual_row_cnt FROM y""",

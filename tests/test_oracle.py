@@ -18,7 +18,7 @@ TABLES = (
 SLOW = {
     f"load_{t}"
     for t in ("region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events", "conversations")
-} | {"load_audit_log", "load_rejected_checks", "load_latest_view"}
+} | {"load_audit_log", "load_rejected_checks", "load_latest_view", "log_stamps", "newest_loads"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the given tables are not here")
 
