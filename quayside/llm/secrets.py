@@ -2,8 +2,8 @@
 
 Two models give the probability of each character after the one before it: one of random strings, one of ordinary
 identifiers. Their labelled samples are the corpus itself: what the base patterns take as a secret is
-random, and identifiers of ``IDENTIFIER_CHARS`` letters, digits and signs or more outside all base spans are ordinary; both are
-counted over all documents. Base spans are cut out of the runs of such characters. What is left of a run, or a part of it
+random, and identifiers of ``IDENTIFIER_CHARS`` letters, digits and signs or more outside all base spans are ordinary, as are
+numbers of ``NUMBER_CHARS`` digits or more, wherever they stand; both are counted over all documents. Base spans are cut out of the runs of such characters. What is left of a run, or a part of it
 between two of / = _ -, is a secret if it has ``CANDIDATE_CHARS`` or more and its log-likelihood ratio for each
 character is ``LEAST_RATIO`` or more; of parts that overlap, the one that exceeds this ratio most in all is taken.
 
@@ -38,15 +38,18 @@ _KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 
 MARKOV = "markov"
 IDENTIFIER_CHARS = 8
+NUMBER_CHARS = 2
 CANDIDATE_CHARS = 16
 LEAST_RATIO = 0.7
 #: Added to each count of a character, and how many pairs the characters' own frequencies count for.
 SMOOTHING = 0.5
 BACKOFF = 500.0
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % CANDIDATE_CHARS)
+_NUMBER = re.compile(rb"[0-9]{%d,}" % NUMBER_CHARS)
 _PIECE = re.compile(r"[^/=_-]+")
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _SIZE = len(_ALPHABET)
+_SIGNS = 5
 _CODES = np.full(256, _SIZE, dtype=np.int64)
 _CODES[list(_ALPHABET.encode())] = np.arange(_SIZE)
 _SPANS = "array<struct<kind:string,start:int,end:int>>"
@@ -87,6 +90,10 @@ def _pairs(raw: bytes, least: int) -> np.ndarray:
     return np.bincount(codes[:-1][both] * _SIZE + codes[1:][both], minlength=_SIZE * _SIZE)
 
 
+def _ordinary(raw: bytes) -> np.ndarray:
+    return _pairs(raw, IDENTIFIER_CHARS) + _pairs(b" ".join(_NUMBER.findall(raw)), NUMBER_CHARS)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ordinary, random = np.zeros(_SIZE * _SIZE, np.int64), np.zeros(_SIZE * _SIZE, np.int64)
     for batch in batches:
@@ -99,10 +106,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append((_without(text, spans) if spans else text).encode())
             size += len(held[-1])
             if size > 1 << 20:
-                ordinary += _pairs(b" ".join(held), IDENTIFIER_CHARS)
+                ordinary += _ordinary(b" ".join(held))
                 held, size = [], 0
         if held:
-            ordinary += _pairs(b" ".join(held), IDENTIFIER_CHARS)
+            ordinary += _ordinary(b" ".join(held))
     for name, counts in (("ordinary", ordinary), ("random", random)):
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict(
@@ -120,13 +127,21 @@ def learn(docs: DataFrame, text_col: str = "text") -> np.ndarray | None:
         counts[row["class"]][row["pair"]] = row["n"]
     if not all(c.any() for c in counts.values()):
         return None
-    logs = {}
-    for name, own in counts.items():
+    return log_ratio(counts["random"], counts["ordinary"])
+
+
+def log_ratio(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
+    """The log ratio of two models from their counts of pairs.
+
+    A pair that is rare falls back on what its class makes of a character alone: ordinary identifiers on their characters'
+    frequencies, random strings on letters and digits being equally likely, as the few labelled ones need not show all alphabets.
+    """
+    even = np.where(np.arange(_SIZE) < _SIZE - _SIGNS, 1.0, SMOOTHING / BACKOFF)
+    logs = []
+    for own, single in ((random, even), (ordinary, ordinary.reshape(_SIZE, _SIZE).sum(axis=0) + SMOOTHING)):
         pairs = own.reshape(_SIZE, _SIZE)
-        single = pairs.sum(axis=0) + SMOOTHING
-        single /= single.sum()
-        logs[name] = np.log((pairs + BACKOFF * single) / (pairs.sum(axis=1, keepdims=True) + BACKOFF))
-    return logs["random"] - logs["ordinary"]
+        logs.append(np.log((pairs + BACKOFF * single / single.sum()) / (pairs.sum(axis=1, keepdims=True) + BACKOFF)))
+    return logs[0] - logs[1]
 
 
 def ratio(value: str, model: np.ndarray) -> float:

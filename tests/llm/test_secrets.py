@@ -1,7 +1,12 @@
+import os
 import random
 
+import pytest
+
 from quayside.llm import secrets
 
+SF_DIR = "/root/testdata/sf0.01"
+
 
 def test_base_spans():
     text = "PassWord : \"hunter22\" é token=abc AKIA" + "A1" * 8 + " AKIASHORT " + "deadbeef" * 3 + " api_key='x.y/z+1=' ſecret=abcdefgh"
@@ -66,3 +71,25 @@ def test_the_ratio_alone_decides_on_runs_and_their_parts(spark):
     spans = secrets.find_in(beside, model)
     assert spans[0] == ("hex", 0, 32) and any(k == secrets.MARKOV and key in beside[a:b] for k, a, b in spans)
     assert secrets.find_in(path + "getusernamecount_item", model) == []
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="the given tables are not here")
+def test_precision_and_recall_of_what_the_models_add(spark):
+    rng, rows, planted = random.Random(5), [], []
+    texts = spark.read.parquet(f"{SF_DIR}/documents.parquet").orderBy("doc_id").select("doc_id", "text").collect()
+    for k, (doc_id, text) in enumerate(texts):
+        words = (text or "").split(" ")
+        if k % 4 == 0:  # random letters and digits anywhere, without a pattern's words beside them
+            key = "".join(rng.choice(secrets._ALPHABET[:62]) for _ in range(rng.randint(20, 40)))
+            words.insert(rng.randrange(len(words) + 1), key)
+            planted.append((doc_id, key))
+        if k % 4 == 1:  # what looks alike and is none
+            words.insert(rng.randrange(len(words) + 1), rng.choice(["4539148803436467", "internationalisation-of-texts", "get_user_name_count_item"]))
+        rows.append((doc_id, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = secrets.find(docs, secrets.learn(docs)).collect()
+    by_id = dict(rows)
+    added = [(r.id, by_id[r.id][s.start : s.end]) for r in found for s in r.spans if s.kind == secrets.MARKOV]
+    caught = sum(any(i == own and key in value for own, value in added) for i, key in planted)
+    right = sum(any(i == own and key in value for own, key in planted) for i, value in added)
+    assert caught >= 0.98 * len(planted) and right >= 0.98 * len(added)
