@@ -93,7 +93,11 @@ def write(
     pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
     least_revisit: int = LEAST_REVISIT,
 ) -> DataFrame:
-    """Write a record for each page into archives in a folder; returns (archive, records) of what was written."""
+    """Write a record for each page into archives in a folder; returns (archive, records) of what was written.
+
+    An attempt of a task names its archives for itself, and only the names of attempts that Spark counts are returned, so
+    attempts that were repeated or lost leave archives that nobody reads.
+    """
     spark = pages.sparkSession
     small_batches(spark, 500)
     rows = pages.select(
@@ -108,7 +112,7 @@ def write(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task = TaskContext.get().partitionId()
+        task, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex[:12]
         system, root = _opened(folder)
         system.create_dir(root)
         out, path, name, size, count, part = None, "", "", 0, 0, 0
@@ -121,8 +125,8 @@ def write(
         for batch in batches:
             for row in batch.to_pylist():
                 if out is None:
-                    name = f"part-{task:05d}-{part:03d}.warc.gz"
-                    path = f"{root}/_{name}.{uuid.uuid4().hex}"  # readers pass over names that begin with _
+                    name = f"part-{task:05d}-{part:03d}-{attempt}.warc.gz"
+                    path = f"{root}/_{name}"  # readers pass over names that begin with _
                     out, size, count, part = system.open_output_stream(path, compression=None), 0, 0, part + 1
                 packer = zlib.compressobj(4, wbits=31)
                 member = packer.compress(record(**row)) + packer.flush()
@@ -204,9 +208,12 @@ def parse(raw: bytes) -> dict:
     }
 
 
-def read(spark: SparkSession, folder: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """All records of the archives in a folder, in the columns of _RECORD."""
+def read(spark: SparkSession, folder: str, range_bytes: int = RANGE_BYTES, archives: DataFrame | None = None) -> DataFrame:
+    """All records of the archives in a folder, or of those that ``write`` returned, in the columns of _RECORD."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("path", "length")
+    if archives is not None:
+        name = F.element_at(F.split("path", "/"), -1)
+        files = files.join(archives, name == F.col("archive"), "left_semi")
     begins = F.explode(F.sequence(F.lit(0), F.col("length") - 1, F.lit(range_bytes)))
     ranges = files.where("length > 0").select("path", "length", begins.alias("begin"))
     ranges = ranges.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -237,6 +244,7 @@ def round_trip(pages: DataFrame, **columns: str) -> DataFrame:
     """Write the archives of a table to the shared folder and read them back."""
     spark = pages.sparkSession
     folder = new_folder(spark, "warc")
-    if write(pages, folder, **columns).isEmpty():
+    archives = write(pages, folder, **columns)
+    if archives.isEmpty():
         return spark.createDataFrame([], _RECORD)
-    return read(spark, folder)
+    return read(spark, folder, archives=archives)

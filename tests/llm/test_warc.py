@@ -57,3 +57,14 @@ def test_archives(spark, tmp_path, range_bytes):
 def test_empty(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.round_trip(pages).count() == 0
+
+
+def test_archives_of_lost_attempts_are_not_read(spark, tmp_path):
+    pages = spark.createDataFrame([(k, f"http://x/{k}", f"<p>{k}</p>" * 20) for k in range(30)], "page_id long, url string, html string")
+    folder = f"file:{tmp_path}/warc"
+    archives = warc.write(pages.repartition(3), folder)
+    written = sorted(p.name for p in (tmp_path / "warc").iterdir() if p.name.endswith(".warc.gz"))
+    assert written == sorted(r.archive for r in archives.collect()) and sum(r.records for r in archives.collect()) == 30
+    for name in written:  # as a speculative attempt leaves them
+        (tmp_path / "warc" / f"{name[:14]}-0123456789ab.warc.gz").write_bytes((tmp_path / "warc" / name).read_bytes())
+    assert sorted(r.page_id for r in warc.read(spark, folder, archives=archives).collect()) == list(range(30))
