@@ -3,11 +3,12 @@
 A filter is a direction; its cap holds the vectors that lean towards it. The directions are a random
 product code: a vector is cut into two halves, each half has a code of ``width`` random unit
 vectors, and each pair of codewords is one direction, so width**2 directions cost 2 * width products.
-Each vector is decoded to the list of all directions whose product with it is within ``MARGIN`` of its
+Each vector is decoded to the list of all directions whose product with it is within a margin of its
 best one: the codewords of the first half that can still reach that, each with those of the second that do.
-Two vectors of cosine 0.98 and 64 dimensions differ in their product with a direction by a normal deviate of
-about 0.025, so the best direction of one is in the list of the other but for a chance below 1e-4, and they
-mostly share many.
+Two unit vectors at distance d differ in their product with a direction by a normal deviate of about
+d / sqrt(dimensions), and by d at most; the margin is ``DEVIATIONS`` of the one, or twice the other if that is less, which
+misses nothing. In few dimensions many directions lie close, so the code is narrowed until lists are of about
+``LIST_FILTERS``. Vectors to be linked share many filters; the tests and README have the measured recall.
 
 Vectors of equal label meet in every filter that both have; their cosine is computed there in double
 precision, and a pair counts in the lowest filter that the two share, so once. Equal vectors
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,9 @@ from quayside.llm.common import dealt_and_sorted, groups, in_block_pairs, snapsh
 from quayside.llm.components import components
 
 LEAST_COSINE = 0.98
-MARGIN = 0.12
+DEVIATIONS = 2.4
+#: Filters of a vector, about, at most.
+LIST_FILTERS = 32
 #: Vectors that a filter's list holds on average, about; and the most of a block.
 LIST_ROWS = 64
 BLOCK_ROWS = 8192
@@ -48,8 +52,24 @@ _UNNAMED = 1 << 62
 
 
 def code_width(vectors: int) -> int:
-    """Codewords of a half: so many that width**2 filters, of which a vector is in about 20, are enough."""
-    return max(16, min(4096, math.ceil(math.sqrt(20 * vectors / LIST_ROWS))))
+    """Codewords of a half: so many that width**2 filters, of which a vector is in about 20, are enough.
+
+    Filters are numbered in 32 bits; the width that this allows is enough for 6.8 billion different vectors.
+    """
+    return max(16, min(46_340, math.ceil(math.sqrt(20 * vectors / LIST_ROWS))))
+
+
+def margin_of(dimensions: int, least_cosine: float = LEAST_COSINE) -> float:
+    distance = math.sqrt(max(0.0, 2 - 2 * least_cosine))
+    return min(2 * distance, DEVIATIONS * distance / math.sqrt(dimensions))
+
+
+def unit_rows(rows: np.ndarray) -> np.ndarray:
+    """Rows scaled to length 1; first by a power of two, which is exact, so that no square overflows."""
+    rows = rows.astype(np.float64)
+    _, power = np.frexp(np.abs(rows).max(axis=1, keepdims=True))
+    rows = np.ldexp(rows, -power)
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
 def codes(dimensions: int, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -61,7 +81,18 @@ def codes(dimensions: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     return scale(first), scale(second)
 
 
-def decode(vector: np.ndarray, first: np.ndarray, second: np.ndarray, margin: float = MARGIN) -> np.ndarray:
+@cache
+def codes_for(dimensions: int, width: int, margin: float) -> tuple[np.ndarray, np.ndarray]:
+    """The codes of at most so many codewords whose lists are of about LIST_FILTERS, the same wherever they are drawn."""
+    probes = unit_rows(np.random.default_rng([SEED, dimensions]).standard_normal((64, dimensions)))
+    while True:
+        drawn = codes(dimensions, width)
+        if width <= 2 or np.mean([len(decode(p, *drawn, margin)) for p in probes]) <= LIST_FILTERS:
+            return drawn
+        width = max(2, width // 2)
+
+
+def decode(vector: np.ndarray, first: np.ndarray, second: np.ndarray, margin: float) -> np.ndarray:
     """The filters of a unit vector, ascending: all pairs of codewords within the margin of the best pair."""
     half = first.shape[1]
     left, right = first @ vector[:half] / math.sqrt(2), second @ vector[half:] / math.sqrt(2)
@@ -74,19 +105,16 @@ def decode(vector: np.ndarray, first: np.ndarray, second: np.ndarray, margin: fl
     return np.sort(found)
 
 
-def _filters(vectors: DataFrame, width: int, margin: float) -> DataFrame:
+def _filters(vectors: DataFrame, width: int, least_cosine: float, margin: float | None) -> DataFrame:
     """``vectors`` with a list of filters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drawn: dict[int, tuple] = {}
         for batch in batches:
             lists = []
             for vector in batch.column("vector"):
-                unit = vector.values.to_numpy().astype(np.float64)
-                unit = unit / np.linalg.norm(unit)
-                if len(unit) not in drawn:
-                    drawn[len(unit)] = codes(len(unit), width)
-                lists.append(decode(unit, *drawn[len(unit)], margin))
+                unit = unit_rows(vector.values.to_numpy()[None, :])[0]
+                near = margin_of(len(unit), least_cosine) if margin is None else margin
+                lists.append(decode(unit, *codes_for(len(unit), width, near), near))
             columns = [batch.column(n) for n in batch.schema.names]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(lists, pa.list_(pa.int32()))], [*batch.schema.names, "filters"]
@@ -107,8 +135,7 @@ def _verify(batches: Iterator[pa.RecordBatch], least_cosine: float) -> Iterator[
         links, edges, label = np.zeros(len(nodes), np.int64), [], np.arange(len(nodes))
         for length in np.unique(vectors.sizes[vectors.sizes > 0]).tolist():
             rows = np.flatnonzero(vectors.sizes == length)
-            units = vectors.rows(rows).reshape(-1, length).astype(np.float64)
-            units /= np.linalg.norm(units, axis=1, keepdims=True)
+            units = unit_rows(vectors.rows(rows).reshape(-1, length))
             left = np.arange(len(rows)) if alone else np.flatnonzero(own[rows] == first)
             right = left if alone else np.flatnonzero(own[rows] != first)
             for k in range(0, len(left), _CHUNK):
@@ -183,10 +210,13 @@ def near_duplicates(
     vector_col: str = "embedding",
     label_col: str = "label",
     least_cosine: float = LEAST_COSINE,
-    margin: float = MARGIN,
+    margin: float | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """(id, links, component) for every row: links to other rows, and the smallest id reachable by them."""
+    """(id, links, component) for every row: links to other rows, and the smallest id reachable by them.
+
+    Without a ``margin`` it goes with the dimension and the least cosine.
+    """
     floats = vectors.schema[vector_col].dataType.simpleString() == "array<float>"  # as narrow as they come
     rows = vectors.select(
         F.col(id_col).cast("long").alias("id"),
@@ -203,7 +233,7 @@ def near_duplicates(
     unnamed = F.shiftrightunsigned(F.xxhash64("label", "vector"), 2) + F.lit(_UNNAMED)
     distinct = snapshot(distinct, "distinct").withColumn("node", F.coalesce("first", unnamed))
     width = code_width(distinct.count())
-    listed = _filters(distinct.select("node", "copies", "label", "vector"), width, margin)
+    listed = _filters(distinct.select("node", "copies", "label", "vector"), width, least_cosine, margin)
     met = snapshot(listed, "filters").select("*", F.explode("filters").alias("filter"))
     dealt = dealt_and_sorted(in_block_pairs(met, ["label", "filter"], "node", block_rows), "label", "filter", "block_a", "block_b")
     found = dealt.mapInArrow(lambda batches: _verify(batches, least_cosine), "node long, links long, other long")

@@ -78,3 +78,41 @@ def test_null_ids_and_empty(spark):
     found = sorted((str(r.id), r.links, str(r.component)) for r in capfilters.near_duplicates(frame).collect())
     assert found == [("4", 2, "4"), ("5", 2, "4"), ("None", 0, "None"), ("None", 2, "4")]
     assert capfilters.near_duplicates(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("dimensions", [2, 8, 64, 768])
+def test_recall_of_planted_pairs(dimensions):
+    """Pairs just above the least cosine share a filter, whatever the dimension; codes as for 50,000 vectors."""
+    rng, missed, sizes = np.random.default_rng(dimensions), 0, []
+    margin = capfilters.margin_of(dimensions)
+    drawn = capfilters.codes_for(dimensions, capfilters.code_width(50_000), margin)
+    pairs = 400
+    for _ in range(pairs):
+        a, off = rng.standard_normal((2, dimensions))
+        a /= np.linalg.norm(a)
+        off -= off @ a * a
+        b = 0.9801 * a + math.sqrt(1 - 0.9801**2) * off / np.linalg.norm(off)
+        lists = [capfilters.decode(v, *drawn, margin) for v in (a, b)]
+        sizes += map(len, lists)
+        missed += not np.intersect1d(*lists).size
+    assert missed == 0 and np.mean(sizes) < 2 * capfilters.LIST_FILTERS
+
+
+@pytest.mark.parametrize("dimensions", [2, 8, 768])
+def test_near_pairs_in_other_dimensions_as_brute_force(spark, dimensions):
+    rng = np.random.default_rng(dimensions)
+    rows = []
+    for _ in range(40):
+        center = rng.standard_normal(dimensions)
+        for _ in range(4):
+            near = center + rng.standard_normal(dimensions) * np.linalg.norm(center) / math.sqrt(dimensions) * rng.choice([0.0, 0.1, 0.19, 0.3])
+            rows.append((len(rows), near.tolist(), 0))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert {r.id: (r.links, r.component) for r in capfilters.near_duplicates(frame).collect()} == brute(rows)
+
+
+def test_vectors_whose_squares_overflow_or_vanish(spark):
+    rows = [(1, [1e200, 1e200], 1), (2, [1e200, 1.01e200], 1), (3, [1e-200, 1e-200], 1), (4, [-1e300, 1e300], 1), (5, [1e-320, 1e-320], 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r.id: (r.links, r.component) for r in capfilters.near_duplicates(frame).collect()}
+    assert found == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (0, 4), 5: (3, 1)}
