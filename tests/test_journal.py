@@ -37,14 +37,10 @@ def second(function):
 
 # where the run is killed, and whether its files were about to be published by then
 PLACES = {
-    "measure": (run.Intake, "_measure", lambda f: killed, False),
     "write": (load.Loader, "_write", after, False),
-    "register": (run.Intake, "_register", lambda f: killed, True),
     "table": (publish.Publisher, "put_table", second, True),
     "view": (publish.Publisher, "put_view", after, True),
-    "before the registry": (publish.Publisher, "remember", lambda f: killed, True),
     "after the registry": (publish.Publisher, "remember", after, True),
-    "before the archive": (run, "archive_file", lambda f: killed, True),
     "in the archive": (run, "archive_file", second, True),
     "report": (run.Intake, "_report", lambda f: killed, True),
 }
