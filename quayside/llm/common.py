@@ -33,6 +33,7 @@ def snapshot(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     return written(df, new_folder(df.sparkSession, label))
 
 
+PLAN_CHARS = 1 << 14
 #: Bytes of texts that a Python worker holds at a time, unless one text is longer.
 BATCH_BYTES = 4 << 20
 
@@ -48,6 +49,21 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
             spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
 
 
+def broadcast(spark: SparkSession, value):
+    """A broadcast variable whose value the driver does not go on holding; it is read again where it is needed."""
+    shared = spark.sparkContext.broadcast(value)
+    vars(shared).pop("_value", None)
+    return shared
+
+
+def short_plans(spark: SparkSession) -> None:
+    """Keep texts of plans short, unless they are already: the driver keeps them, and a large literal is written out in full."""
+    name = "spark.sql.maxPlanStringLength"
+    now = spark.conf.get(name).rstrip("bB")
+    if not (now.isdigit() and int(now) <= PLAN_CHARS):
+        spark.conf.set(name, str(PLAN_CHARS))
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A name for a helper column that no column of a frame has."""
     taken = {c.lower() for c in df.columns}

@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import small_batches
+from quayside.llm.common import free_name, freeing, small_batches
 
 UNKNOWN = "und"
 GRAM_BITS = 17
@@ -105,7 +105,7 @@ def learn(docs: DataFrame, text: Column, lang: Column) -> Model | None:
     """The model of all rows with a text and a language; None if there is none."""
     small_batches(docs.sparkSession)
     rows = docs.select(text.cast("string").alias("text"), lang.cast("string").alias("lang"))
-    counted = rows.where("text is not null and lang is not null").mapInArrow(_count, "lang string, gram long, n long")
+    counted = rows.where("text is not null and lang is not null").mapInArrow(freeing(_count), "lang string, gram long, n long")
     found = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(found["lang"].to_pylist()))
     if not langs:
@@ -211,23 +211,16 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", lang_a
             yield pa.RecordBatch.from_arrays(columns, [*kept, lang_as, score_as])
 
     schema = rows.select(*kept, F.lit("").alias(lang_as), F.lit(0.0).alias(score_as)).schema
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(freeing(run), schema)
 
 
 def with_language(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text has a language, columns unchanged; texts stay beside their prediction."""
-    names = {c.lower() for c in docs.columns}
-    lang_as, score_as, copy = (_free(n, names) for n in ("lang_pred", "score", "text_read"))
+    lang_as, score_as, copy = (free_name(docs, n) for n in ("lang_pred", "score", "text_read"))
     found = predict(docs.withColumn(copy, F.col(text_col)), model, copy, lang_as, score_as)
     return found.where(F.col(lang_as) != UNKNOWN).select(*docs.columns)
 
 
-def _free(name: str, taken: set[str]) -> str:
-    while name in taken:
-        name += "_"
-    return name
-
-
 def held_out(id_col: str) -> Column:
     """Whether a document is kept from training: a quarter, by the checksum of its id."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 4 == 2

@@ -18,7 +18,7 @@ its own. An empty table gives an empty index. Phrases without words match nothin
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,10 +28,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import small_batches, snapshot, texts
+from quayside.llm.common import freeing, small_batches, snapshot, texts
 from quayside.session import new_folder, written
 
-SEGMENT_WORDS = 1 << 20
+SEGMENT_WORDS = 1 << 18
 #: Places left free after each document, so also the longest phrase that can be asked for.
 GAP = 1 << 12
 #: Windows that are looked for together, and their bytes: what the driver and each Python worker hold of a table of them.
@@ -114,7 +114,7 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", segme
         if building.ids:
             yield _segment(building, number)
 
-    return texts(docs, id_col, text_col).withColumn("mark", F.xxhash64("text")).mapInArrow(run, SEGMENT)
+    return texts(docs, id_col, text_col).withColumn("mark", F.xxhash64("text")).mapInArrow(freeing(run), SEGMENT)
 
 
 def _segment(building: _Builder, number: int) -> pa.RecordBatch:
@@ -192,6 +192,18 @@ class Phrases:
     items: list[str | None]
     of: dict[tuple[int, ...], list[int]]
 
+    def possible(self, held: Iterable[int]) -> Iterator[tuple[tuple[int, ...], list[int]]]:
+        """The phrases of which every term is held; only these can be found."""
+        if not hasattr(self, "_table"):  # made once in each worker; a term's number past the last stands for no more words
+            every, width = list(self.of.items()), max(map(len, self.of), default=0)
+            padded = [(*terms, *[len(self.terms)] * (width - len(terms))) for terms, _ in every]
+            object.__setattr__(self, "_table", (every, np.array(padded, dtype=np.int64).reshape(len(every), width)))
+        every, table = self._table
+        there = np.zeros(len(self.terms) + 1, dtype=bool)
+        there[[*held, len(self.terms)]] = True
+        for k in np.flatnonzero(there[table].all(axis=1)).tolist():
+            yield every[k]
+
 
 def phrases_of(items: list[tuple[str, str | None]], width: int) -> Phrases:
     """Every run of ``width`` words of each item; an item of fewer words is one phrase, one of none is none."""
@@ -214,6 +226,7 @@ def search(index: DataFrame, phrases: Phrases, span: int | None = None) -> DataF
     the phrases that occur. With a ``span``, near_items lists the items of which a phrase's terms all
     stand within that many words of its rarest one; else it is null.
     """
+    _check_span(span)
     shared = index.sparkSession.sparkContext.broadcast(phrases)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +234,12 @@ def search(index: DataFrame, phrases: Phrases, span: int | None = None) -> DataF
             for row in batch.to_pylist():
                 yield _search_segment(Segment(row, shared.value.terms), shared.value, span)
 
-    return index.mapInArrow(run, FOUND)
+    return index.mapInArrow(freeing(run), FOUND)
+
+
+def _check_span(span: int | None) -> None:
+    if span is not None and not 0 <= span < GAP:
+        raise ValueError(f"words can be looked for within less than {GAP} words of each other")
 
 
 FOUND = "id long, mark long, n_words long, n_hit long, items array<string>, near_items array<string>"
@@ -235,7 +253,7 @@ def _hits(
     exact: dict[int, set[int]] = defaultdict(set)
     near: dict[int, set[int]] = defaultdict(set)
     begins, ends = [_NONE], [_NONE]
-    for terms, items in phrases.of.items():
+    for terms, items in phrases.possible(segment.places):
         found = segment.phrase(terms)
         if len(found):
             begins.append(found)
@@ -337,6 +355,7 @@ def search_windows(
     The windows are dealt into blocks that a driver and a worker can hold, each block goes to every segment, and what it
     hits is written: ranges and items of the documents with a hit. These are merged by document at the end.
     """
+    _check_span(span)
     asked = snapshot(asked, "windows")
     rows, size = asked.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("window")), F.lit(0))).first()
     blocks = max(1, -(-rows // block_windows), -(-size // block_bytes))
@@ -406,16 +425,3 @@ def _merged(index: DataFrame, hits: DataFrame, span: int | None) -> DataFrame:
         named("items"),
         F.lit(None).cast("array<string>").alias("near_items") if span is None else named("near_items"),
     )
-
-
-def stated_phrases(items: DataFrame, id_col: str, text_col: str, width: int, most_bytes: int) -> Phrases:
-    """The phrases of a table of items, read to the driver after a check of its size.
-
-    Items with a null id are left out, as nothing could name them; rows that repeat an id are one item.
-    """
-    rows = items.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.where("id is not null")
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    if size > most_bytes:
-        raise ValueError(f"{size} bytes of items; ask in parts of at most {most_bytes}")
-    return phrases_of([(r.id, r.text) for r in rows.collect()], width)

@@ -89,15 +89,19 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 WINDOW_WORDS = 10
 
 
-def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the benchmark's windows hit in each document."""
+#: Words around its rarest one in which a window's words, in any order, make an item a near one.
+NEAR_WORDS = 12
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str, span: int | None = None) -> DataFrame:
+    """What the benchmark's windows hit in each document; with a span also what they nearly hit."""
     index = snapshot(posindex.build(docs), "index")
     asked = posindex.windows(table(spark, sf_dir, "benchmark"), "item_id", "text", WINDOW_WORDS)
-    return posindex.search_windows(index, asked)
+    return posindex.search_windows(index, asked, span)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminated(spark, table(spark, sf_dir, "documents"), sf_dir)
+    found = decontaminated(spark, table(spark, sf_dir, "documents"), sf_dir, NEAR_WORDS)
     return found.select(
         F.col("id").alias("doc_id"),
         "n_words",
@@ -105,6 +109,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        "near_items",
     )
 
 

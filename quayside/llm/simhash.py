@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import Forest, dealt_and_sorted, groups, in_block_pairs, snapshot, texts
+from quayside.llm.common import Forest, dealt_and_sorted, free_name, freeing, groups, in_block_pairs, snapshot, texts
 from quayside.llm.components import components
 
 SEED = 42
@@ -73,8 +73,8 @@ def fingerprints(
 
     rows = texts(docs, id_col, text_col)
     if not marked:
-        return rows.mapInArrow(run, "id long, fp long")
-    return rows.withColumn("mark", _mark(F.col("text"))).mapInArrow(run, "id long, mark string, fp long")
+        return rows.mapInArrow(freeing(run), "id long, fp long")
+    return rows.withColumn("mark", _mark(F.col("text"))).mapInArrow(freeing(run), "id long, mark string, fp long")
 
 
 def _mark(text: Column) -> Column:
@@ -208,9 +208,12 @@ def one_of_each(
     named = _named(prints, radius, shard_rows).select("fp", "root")
     first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "mark", "rows")).alias("k")
     kept = snapshot(keys.join(named, "fp").groupBy("root").agg(first), "kept")
-    kept = kept.select(F.col("k.id").alias("_kept"), F.col("k.mark").alias("_mark"), F.col("k.rows").alias("_rows"))
-    own = docs.withColumns({"_id": F.col(id_col).cast("long"), "_text": _mark(F.col(text_col))})
-    rows = own.join(kept, F.col("_id").eqNullSafe(F.col("_kept")) & F.col("_text").eqNullSafe(F.col("_mark")), "left")
-    once = rows.where("_rows = 1 or (_id is null and _text is null)").select(*docs.columns)
-    again = rows.where("_rows > 1").dropDuplicates(["_id", "_text"]).select(*docs.columns)
+    own_id, own_text, kept_id, kept_text, times = (free_name(docs, n) for n in ("_id", "_text", "_kept", "_mark", "_rows"))
+    kept = kept.select(F.col("k.id").alias(kept_id), F.col("k.mark").alias(kept_text), F.col("k.rows").alias(times))
+    own = docs.withColumns({own_id: F.col(id_col).cast("long"), own_text: _mark(F.col(text_col))})
+    same = F.col(own_id).eqNullSafe(F.col(kept_id)) & F.col(own_text).eqNullSafe(F.col(kept_text))
+    rows = own.join(kept, same, "left")
+    alone = (F.col(times) == 1) | (F.col(own_id).isNull() & F.col(own_text).isNull())
+    once = rows.where(alone).select(*docs.columns)
+    again = rows.where(F.col(times) > 1).dropDuplicates([own_id, own_text]).select(*docs.columns)
     return once.unionByName(again)

@@ -29,11 +29,12 @@ def odd_docs(spark):
         (11, "x"),
         (12, "card 4111 1111 1111 1111, ip 10.0.0.1, bad ip 10.0.0.256, token = 'abcdef123456' and AKIA" + "Z9" * 8),
     ]
-    rows = [(i, t, "en", "s", 0, 1, "x", 2, "y", [1]) for i, t in texts]
+    rows = [(i, t, "en", "s", 0, 1, "x", 2, "y", [1], f"mongo-{i}", "m", "t", 7, "h", "z", 0.5) for i, t in texts]
     # extra columns whose names the operators use within
     return spark.createDataFrame(
         rows,
-        "doc_id long, text string, lang string, source string, n_chars long, id int, fp string, component int, spans string, ids array<int>",
+        "doc_id long, text string, lang string, source string, n_chars long, id int, fp string, component int, spans string, ids array<int>,"
+        "_id string, _mark string, _text string, _rows int, _hit string, _spans string, score double",
     )
 
 

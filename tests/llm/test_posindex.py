@@ -46,14 +46,16 @@ def test_proximity(spark):
     assert found == {1: ([], ["c"]), 2: ([], []), 3: ([], ["c"])}
 
 
-def test_stated_phrases(spark, odd_docs, no_docs):
+def test_odd_and_empty_tables(spark, odd_docs, no_docs):
     items = spark.createDataFrame([("a", "x y"), ("a", "x y"), (None, "z"), ("b", None)], "item_id string, text string")
-    phrases = posindex.stated_phrases(items, "item_id", "text", 10, 1000)
-    found = posindex.search(posindex.build(odd_docs), phrases).collect()
+    asked = posindex.windows(items, "item_id", "text", 10)
+    index = posindex.build(odd_docs)
+    found = posindex.search_windows(index, asked).collect()
     assert len(found) == odd_docs.count() and not any(r.items for r in found)
-    assert posindex.search(posindex.build(no_docs), phrases).count() == 0
-    with pytest.raises(ValueError):
-        posindex.stated_phrases(items, "item_id", "text", 10, 3)
+    assert posindex.search_windows(posindex.build(no_docs), asked).count() == 0
+    for span in (-1, posindex.GAP):
+        with pytest.raises(ValueError):
+            posindex.search_windows(index, asked, span)
 
 
 @pytest.mark.parametrize("limits", [(1 << 17, 1 << 24), (3, 1 << 24), (1 << 17, 40)])
