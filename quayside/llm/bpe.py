@@ -7,9 +7,9 @@ occurrences, and a join of all occurrences with their words would shuffle the co
 
 * words are counted over the whole corpus; the ``HOT_WORDS`` most frequent ones (a bound on
   what is broadcast, not on what is encoded) are folded once and broadcast with their ids;
-* the distinct other words of each document travel beside it, as arrays of bytes, and are
-  folded in place. No
-  text and no token is shuffled.
+* documents are handled some megabytes at a time: a batch's distinct words are found as whole arrays, and those
+  that are not in the map travel beside the batch, each once, as arrays of bytes, and are folded in place. No text and
+  no token is shuffled.
 
 Rows are kept one for one. A null text is an empty one and has no ids. Ids that repeat or are null change
 nothing, as rows are never matched by them. An empty table gives an empty one.
@@ -20,8 +20,9 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import snapshot, texts
+from quayside.llm.common import broadcast, by_bytes, freeing, let_go, short_plans, snapshot, texts
 
 #: Words in the broadcast map, at most, and the bytes of each.
 HOT_WORDS = 1 << 18
@@ -48,7 +49,10 @@ _HOLE = 1 << 31
 def load_ranks(path: str) -> dict[bytes, int]:
     """The ranks of a file with a base64 token and its rank on each line."""
     with open(path, "rb") as lines:
-        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    if max(ranks.values(), default=0) > _LOW:
+        raise ValueError(f"ranks beyond {_LOW} are not supported")
+    return ranks
 
 
 def _merge_literal(ranks: dict[bytes, int]) -> Column:
@@ -139,23 +143,53 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[k : ends[k]]] for k in range(size) if alive[k]]
 
 
+# Letters and numbers below U+0250; a text with other characters, or with separators that the two libraries
+# class differently, is split by the pattern itself.
+_LETTERS, _NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
+_BEYOND = re.compile("[\x1c-\x1f\x85\u0250-\U0010ffff]")
+
+
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """All matches of a pattern in a text; where its classes can be written out, by the faster library."""
+    general = regex.compile(pattern).findall
+    written = pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^\s{_LETTERS}{_NUMBERS}]")
+    written = written.replace(r"\p{L}", f"[{_LETTERS}]").replace(r"\p{N}", f"[{_NUMBERS}]")
+    if "\\p" in written or "[[" in written:
+        return general
+    special = re.compile(written).findall
+    return lambda text: general(text) if _BEYOND.search(text) else special(text)
+
+
+def _words(texts: pa.Array, find: Callable[[str], list[str]]) -> tuple[pa.DictionaryArray, list[int]]:
+    """All words of some texts, coded, and where those of each text end."""
+    words: list[str] = []
+    ends = []
+    for text in texts.to_pylist():
+        words += find(text or "")
+        ends.append(len(words))
+    return pa.array(words, pa.string()).dictionary_encode(), ends
+
+
 def _count_words(rows: DataFrame, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, seen = regex.compile(pattern).findall, Counter()
+        find, seen = splitter(pattern), Counter()
 
         def counted() -> pa.RecordBatch:
             words = [w for w in seen if len(w) <= HOT_BYTES]
             return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([seen[w] for w in words], pa.int64())], ["word", "n"])
 
         for batch in batches:
-            for text in batch.column("text"):
-                seen.update(find(text.as_py() or ""))
+            column = batch.column("text")
+            for begin, end in by_bytes(column):
+                coded, _ = _words(column.slice(begin, end - begin), find)
+                counts = np.bincount(coded.indices.to_numpy(zero_copy_only=False), minlength=len(coded.dictionary))
+                seen.update(dict(zip(coded.dictionary.to_pylist(), counts.tolist())))
                 if len(seen) > _COUNTED:
                     yield counted()
                     seen.clear()
         yield counted()
 
-    return rows.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(freeing(run), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
@@ -198,7 +232,10 @@ def _hot_words(rows: DataFrame, pattern: str, ranks: dict[bytes, int], literal:
     hot = snapshot(_most_frequent(counts, most).select("word"), "hot").repartition(16)  # small, but much work
     hot = hot.mapInArrow(as_bytes, "word string, bytes array<bigint>")
     found = hot.select("word", fold_merges(F.col("bytes"), literal).alias("ids")).toArrow()
-    ids = {w: np.array(x, dtype="<u4").tobytes() for w, x in zip(found["word"].to_pylist(), found["ids"].to_pylist())}
+    lists = found["ids"].combine_chunks()
+    ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)).tolist() if len(lists) else []
+    raw = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
+    ids = {w: raw[4 * a : 4 * b] for w, a, b in zip(found["word"].to_pylist(), [0, *ends], ends)}
     for token, rank in ranks.items():
         try:
             ids[token.decode()] = rank.to_bytes(4, "little")
@@ -221,64 +258,73 @@ def encode(
     With ``decoded`` the ids are decoded again where they are made, as another column.
     """
     rows = texts(docs, id_col, text_col)
-    context = docs.sparkSession.sparkContext
+    spark = docs.sparkSession
+    short_plans(spark)
     ranks = load_ranks(ranks_path)
     literal, byte_ids = _merge_literal(ranks), _byte_ids(ranks)
-    hot = context.broadcast(_hot_words(rows, pattern, ranks, literal, hot_words))
-    all_ranks = context.broadcast(ranks)
-    pieces = context.broadcast(_pieces(ranks)) if decoded else None
+    hot = broadcast(spark, _hot_words(rows, pattern, ranks, literal, hot_words))
+    all_ranks = broadcast(spark, ranks)
+    pieces = broadcast(spark, _pieces(ranks)) if decoded else None
+    let_go()
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Ids of frequent words, and a hole for each other word, which is listed once a document."""
-        find, look = regex.compile(pattern).findall, hot.value.get
+        """For each part of a batch, its documents as ids of frequent words and holes, and the words of the holes."""
+        find, look = splitter(pattern), hot.value.get
         for batch in batches:
-            sketches, folded, counts = [], [], []
-            for text in batch.column("text"):
-                words = find(text.as_py() or "")
-                parts, numbers, rare = list(map(look, words)), {}, []
-                if None in parts:
-                    for k, part in enumerate(parts):
-                        if part is not None:
-                            continue
-                        word = words[k]
-                        number = numbers.get(word)
-                        if number is None:
-                            raw = word.encode()
-                            if len(raw) > FOLD_BYTES:
-                                number = np.array(merge_long(raw, all_ranks.value), dtype="<u4").tobytes()
-                            else:
-                                number = (_HOLE | len(rare)).to_bytes(4, "little")
-                                rare.append(raw)
-                            numbers[word] = number
-                        parts[k] = number
-                sketches.append(b"".join(parts))
-                folded.extend(rare)
-                counts.append(len(rare))
-            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            rare_lists = pa.ListArray.from_arrays(pa.array(offsets), _as_byte_ids(folded, byte_ids))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sketches, pa.binary()), rare_lists], ["id", "sketch", "rare"]
-            )
+            column = batch.column("text")
+            for begin, end in by_bytes(column):
+                coded, ends = _words(column.slice(begin, end - begin), find)
+                words, rare = coded.dictionary.to_pylist(), []
+                parts = list(map(look, words))
+                for k, part in enumerate(parts):
+                    if part is None:
+                        raw = words[k].encode()
+                        if len(raw) > FOLD_BYTES:
+                            parts[k] = np.array(merge_long(raw, all_ranks.value), dtype="<u4").tobytes()
+                        else:
+                            parts[k] = (_HOLE | len(rare)).to_bytes(4, "little")
+                            rare.append(raw)
+                found, places = _laid_out(parts, coded.indices.to_numpy(zero_copy_only=False), ends)
+                sketches = [found[a:b].tobytes() for a, b in zip([0, *places], places)]
+                ids = batch.column("id").slice(begin, end - begin)
+                yield pa.RecordBatch.from_arrays(
+                    [_one_list(ids), _one_list(pa.array(sketches, pa.binary())), _one_list(_as_byte_ids(rare, byte_ids))],
+                    ["ids", "sketches", "rare"],
+                )
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            filled = []
-            for sketch, found in zip(batch.column("sketch"), batch.column("found")):
-                ids = np.frombuffer(sketch.as_py(), dtype="<u4")
-                if len(found):
-                    words = found.values
-                    lengths = words.value_lengths().to_numpy()
-                    ids = _fill_holes(ids, lengths, words.flatten().to_numpy())
-                filled.append(ids.tobytes())
-            columns = {"id": batch.column("id"), "ids": pa.array(filled, pa.binary())}
-            if pieces:
-                columns["decoded"] = pa.array([_join_pieces(x, pieces.value) for x in filled], pa.binary())
-            yield pa.RecordBatch.from_pydict(columns)
-
-    folded = rows.mapInArrow(sketch, "id long, sketch binary, rare array<array<bigint>>").select(
-        "id", "sketch", F.transform("rare", lambda word: fold_merges(word, literal)).alias("found")
+            for ids, sketches, found in zip(batch.column("ids"), batch.column("sketches"), batch.column("found")):
+                words = found.values
+                lengths, flat = words.value_lengths().to_numpy(zero_copy_only=False), words.flatten().to_numpy(zero_copy_only=False)
+                filled = [
+                    _fill_holes(np.frombuffer(s, "<u4"), lengths, flat).astype("<u4").tobytes() for s in sketches.as_py()
+                ]
+                columns = {"id": ids.values, "ids": pa.array(filled, pa.binary())}
+                if pieces:
+                    columns["decoded"] = pa.array([_join_pieces(x, pieces.value) for x in filled], pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    schema = "ids array<bigint>, sketches array<binary>, rare array<array<bigint>>"
+    folded = rows.mapInArrow(freeing(sketch), schema).select(
+        "ids", "sketches", F.transform("rare", lambda word: fold_merges(word, literal)).alias("found")
     )
-    return folded.mapInArrow(fill, "id long, ids binary" + (", decoded binary" if decoded else ""))
+    return folded.mapInArrow(freeing(fill), "id long, ids binary" + (", decoded binary" if decoded else ""))
+
+
+def _one_list(values: pa.Array) -> pa.ListArray:
+    """A column of one row, which is a list of all values."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def _laid_out(parts: list[bytes], which: np.ndarray, ends: list[int]) -> tuple[np.ndarray, list[int]]:
+    """The parts of all words one after another, as 32-bit integers, and where those of each text end."""
+    lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+    flat, starts = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(lengths) - lengths
+    sizes = lengths[which]
+    word_ends = np.cumsum(sizes)
+    places = np.arange(word_ends[-1] if len(which) else 0) + np.repeat(starts[which] - (word_ends - sizes), sizes)
+    return flat[places], np.concatenate([[0], word_ends])[ends].tolist()
 
 
 def _fill_holes(sketch: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np.ndarray:
