@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import snapshot, texts
+from quayside.llm.common import small_batches, snapshot
 
 # Fixed values of the base kinds. (?:\G|(?<!x)) lets a run of x start only where it begins or
 # where the last match ended; no other start in it can match if this one does not.
@@ -114,10 +114,16 @@ def _valid(kind: str) -> Column:
     return F.filter(kind, lambda s: VALID[kind](s["value"]))
 
 
-def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, mark, one column of spans for each base kind, mention) for every row; mark tells texts apart."""
-    rows = texts(docs, id_col, text_col).select(
-        "id", F.xxhash64("text").alias("mark"), F.coalesce("text", F.lit("")).alias("text")
+def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
+    """(id, mark, one column of spans for each base kind, mention) for every row; mark tells texts apart.
+
+    With ``keep`` also row, all columns of the row.
+    """
+    small_batches(docs.sparkSession)
+    text = F.col(text_col).cast("string")
+    kept_row = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if keep else []
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("mark"), F.coalesce(text, F.lit("")).alias("text"), *kept_row
     )
     found = with_spans(rows, "text", {**PATTERNS, "mention": MENTION}, _HINTS)
     kept = [F.when(F.size(k) > 0, _valid(k)).otherwise(F.col(k)).alias(k) for k in KINDS]
@@ -132,7 +138,7 @@ def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         ),
     )
     contexts = F.when(F.size("mention") > 0, contexts).otherwise(F.array().cast("array<struct<start:int,end:int,value:string,before:string>>"))
-    return found.select("id", "mark", *kept, contexts.alias("mention"))
+    return found.select("id", "mark", *kept, contexts.alias("mention"), *(["row"] if keep else []))
 
 
 def _kind_of(value: Column) -> Column:
@@ -207,7 +213,11 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     A discovered span that touches a base span of its row is not listed, since that data is known.
     """
-    found = snapshot(base_spans(docs, id_col, text_col), "spans")
+    return _with_more(snapshot(base_spans(docs, id_col, text_col), "spans"))
+
+
+def _with_more(found: DataFrame) -> DataFrame:
+    """Written base spans with the discovered ones beside them."""
     new = discovered(found).groupBy("id", "mark").agg(
         F.array_sort(F.collect_set(F.struct("start", "end", "kind"))).alias("more")
     )
@@ -253,13 +263,14 @@ def _with_kind(kind: str) -> Column:
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with all spans of their texts replaced by their kinds; columns unchanged."""
-    found = find(docs, id_col, text_col)
+    """``docs`` with all spans of their texts replaced by their kinds; columns unchanged.
+
+    The rows are written once with their base spans, and only discovered spans are joined to them, so texts are not shuffled
+    unless discovered spans are too many to be sent to all tasks.
+    """
+    found = _with_more(snapshot(base_spans(docs, id_col, text_col, keep=True), "rows"))
     spans = F.array_sort(F.concat(*map(_with_kind, KINDS)))
-    spans = found.select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), spans.alias("_spans"))
-    spans = snapshot(spans.where(F.size("_spans") > 0).distinct(), "cuts")
-    text = F.col(text_col).cast("string")
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_mark"))
-    rows = docs.join(spans, same, "left")
-    clean = F.when(F.col("_spans").isNotNull(), redacted(text, F.col("_spans"))).otherwise(F.col(text_col))
-    return rows.withColumn(text_col, clean).select(*docs.columns)
+    text = F.col(f"row.`{text_col}`").cast("string")
+    rows = found.select("row", spans.alias("cuts"))
+    clean = F.when(F.size("cuts") > 0, redacted(text, F.col("cuts"))).otherwise(F.col(f"row.`{text_col}`"))
+    return rows.select(*((clean if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
