@@ -278,7 +278,9 @@ def decided(found: DataFrame) -> DataFrame:
         for name, group in groupby(given, lambda r: r["conv"]):
             yield pa.RecordBatch.from_pylist(list(_decision(name, list(group))), _DECIDED_ARROW)
 
-    dealt = narrow.repartition("conv").sortWithinPartitions("conv", "part", "piece")
+    # rows are few and small but take long: a stated number of tasks is not made fewer for their size
+    parts = max(1, int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = narrow.repartition(parts, "conv").sortWithinPartitions("conv", "part", "piece")
     return snapshot(dealt.mapInArrow(run, _DECIDED), "decided")
 
 
