@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import bpe, langid, pii, simhash
-from quayside.llm.common import sha256_hex, snapshot, table
+from quayside.llm.common import free_name, sha256_hex, snapshot, table
 from quayside.llm.queries import BYTE_BPE, decontaminated
 
 
@@ -30,9 +30,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     found = decontaminated(spark, docs, sf_dir).where("n_hit > 0")
-    hit = snapshot(found.select(F.col("id").alias("_hit"), F.col("mark").alias("_mark")).distinct(), "hit")
+    hit_id, mark = (free_name(docs, n) for n in ("_hit", "_mark"))
+    hit = snapshot(found.select(F.col("id").alias(hit_id), F.col("mark").alias(mark)).distinct(), "hit")
     text = F.xxhash64(F.col("text").cast("string"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_hit")) & (text == F.col("_mark"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(hit_id)) & (text == F.col(mark))
     return docs.join(hit, same, "left_anti")
 
 
