@@ -196,10 +196,11 @@ def _predict_batch(texts: list[str | None], model: Model | None) -> tuple[list[s
 
 
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text", lang_as: str = "lang_pred", score_as: str = "score") -> DataFrame:
-    """``docs`` without its text, with the predicted language and its share of the document's words."""
-    kept = [c for c in docs.columns if c != text_col]
-    if clash := {lang_as, score_as} & set(kept):
-        raise ValueError(f"columns {sorted(clash)} are there already; choose other names")
+    """``docs`` without its text, with the predicted language and its share of the document's words.
+
+    A column that has one of the two names already gives way to them.
+    """
+    kept = [c for c in docs.columns if c.lower() not in {text_col.lower(), lang_as.lower(), score_as.lower()}]
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(*kept, F.col(text_col).cast("string").alias(text_col))
