@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date
 from functools import reduce
 
@@ -13,9 +15,10 @@ from pyspark.sql import functions as F
 from quayside import IntakeConfig, load_category
 from quayside.functions import names
 from quayside.operators import monitor
+from quayside.plans.load import WRITE_SETTINGS
 from quayside.plans.oplog import OpsStore
 from quayside.plans.probe import probe_files
-from quayside.session import new_folder
+from quayside.session import local_frame, new_folder
 from quayside.sources import hadoop
 from quayside.sources.catalog import entries
 from quayside.sources.folder import list_folder
@@ -27,6 +30,29 @@ FEWEST = 3
 FIRST_DAY = date(2000, 1, 1)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """A session with other settings for a while."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def dealt(texts: DataFrame, stamps: list[str]) -> DataFrame:
+    """Rows with each stamp in a partition of its own; rows without one are in the first."""
+    known = F.array(*map(F.lit, stamps)).cast("array<string>")
+    own = F.coalesce(F.array_position(known, F.col("stamp")), F.lit(0)).cast("int")
+    return texts.repartitionById(len(stamps) + 1, own)
+
+
 class Delivery:
     """A landing zone of its own, with one category."""
 
@@ -42,23 +68,21 @@ class Delivery:
     def put(
         self, feed: str, df: DataFrame, stamp: Column, quote_all: bool = False, **options: str
     ) -> None:
-        """Write a frame as files ``<feed>_<stamp>.csv``, one writer per stamp."""
+        """Write a frame as files ``<feed>_<stamp>.csv``, one writer per stamp, which sorts nothing."""
         texts = df.select(*(F.col(c).cast("string").alias(c) for c in df.columns), stamp.alias("stamp"))
-        counts = texts.groupBy("stamp").count().select(
-            F.concat(F.lit(f"{feed}_"), "stamp", F.lit(".csv")).alias("file_nm"),
-            F.lit(len(df.columns)).alias("col_cnt"),
-            F.col("count").alias("row_cnt"),
-        )
-        self.counts.append(counts)
+        counts = texts.groupBy("stamp").count().collect()
+        rows = [(r["stamp"] and f"{feed}_{r['stamp']}.csv", len(df.columns), r["count"]) for r in counts]
+        self.counts.append(local_frame(self.spark, rows, "file_nm string, col_cnt int, row_cnt long"))
         target = f"{self.parts}/{feed}"
-        (
-            texts.repartition("stamp")
-            .write.partitionBy("stamp")
-            .options(header=True, escape='"', quoteAll=quote_all, nullValue="\\N")
-            .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-            .options(**options)
-            .csv(target)
-        )
+        with settings(df.sparkSession, WRITE_SETTINGS):
+            (
+                dealt(texts, sorted(r["stamp"] for r in counts if r["stamp"] is not None))
+                .write.partitionBy("stamp")
+                .options(header=True, escape='"', quoteAll=quote_all, nullValue="\\N")
+                .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+                .options(**options)
+                .csv(target)
+            )
         hadoop.make_folder(self.spark, self.folder)
         for part, _, _ in hadoop.walk(self.spark, target):
             if part.endswith(".csv"):
