@@ -25,7 +25,8 @@ from quayside.sources.folder import list_folder
 from quayside.sources.manifest import read_all_manifests
 from standins.frames import table
 
-FILE_BYTES = 1 << 30
+#: Bytes of text in a file that spreads a table: its writer, and whoever reads it whole, is one task.
+FILE_BYTES = 1 << 28
 FEWEST = 3
 FIRST_DAY = date(2000, 1, 1)
 
@@ -125,9 +126,10 @@ class Delivery:
         return served.drop("SRC_FILE_NM", "LOAD_TS")
 
 
-def spread(spark: SparkSession, sf_dir: str, name: str, key: str) -> Column:
-    """Stamps that spread a table over about one file per GiB."""
-    size = hadoop.size(spark, f"{sf_dir}/{name}.parquet")
+def spread(source: DataFrame, key: str) -> Column:
+    """Stamps that spread a table over files of about FILE_BYTES of text, however well it is compressed."""
+    width = reduce(Column.__add__, (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(2)) + 1 for c in source.columns))
+    size = source.agg(F.sum(width.cast("long"))).first()[0] or 0
     n_files = max(FEWEST, math.ceil(size / FILE_BYTES))
     offset = F.pmod(F.xxhash64(key), F.lit(n_files)).cast("int")
     return F.date_format(F.date_add(F.lit(FIRST_DAY), offset), "yyyyMMdd")
@@ -141,7 +143,7 @@ def round_trip(spark: SparkSession, sf_dir: str, name: str, key: str, quote_all:
     """A table delivered as CSV files, loaded, and read back from its dated tables."""
     source = table(spark, sf_dir, name)
     delivery = Delivery(spark)
-    delivery.put(name.upper(), source, spread(spark, sf_dir, name, key), quote_all)
+    delivery.put(name.upper(), source, spread(source, key), quote_all)
     delivery.announce()
     delivery.load()
     tables = [cast_like(t, source) for t in delivery.dated_tables()]

@@ -3,6 +3,18 @@ from pyspark.sql import functions as F
 from standins import delivery
 
 
+def test_a_table_is_spread_by_its_text_not_by_its_compressed_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(delivery, "FILE_BYTES", 40_000)
+    rows = spark.range(2000).select(F.col("id").alias("k"), F.lit("the same text, " * 10 + "again").alias("t"))
+    rows.write.parquet(str(tmp_path / "rows.parquet"))  # some 10 kB
+    source = spark.read.parquet(str(tmp_path / "rows.parquet"))
+    sizes = [r["count"] for r in source.groupBy(delivery.spread(source, "k").alias("stamp")).count().collect()]
+    assert 7 <= len(sizes) <= 9 and max(sizes) < 400
+
+    back = delivery.round_trip(spark, str(tmp_path), "rows", "k")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, source.collect()))
+
+
 def test_each_stamp_has_a_writer_of_its_own(spark):
     stamps = [f"2000{month:02d}01" for month in range(1, 13)]
     days = F.date_format(F.add_months(F.lit("2000-01-01").cast("date"), (F.col("id") % 13).cast("int")), "yyyyMMdd")
