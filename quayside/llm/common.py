@@ -105,6 +105,11 @@ def by_bytes(column: pa.Array, most: int = BATCH_BYTES) -> Iterator[tuple[int, i
         yield begin, len(column)
 
 
+def strings(column: pa.Array) -> list[str | None]:
+    """What ``to_pylist`` gives for texts, without an Arrow scalar for each."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Id and text under names of our own, so that other columns cannot clash; sets small_batches."""
     small_batches(df.sparkSession)

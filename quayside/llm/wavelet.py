@@ -50,10 +50,14 @@ class WaveletMatrix:
     def of(cls, ids: np.ndarray, bits: int = BITS) -> WaveletMatrix:
         planes, zeros = [], []
         for bit in range(bits - 1, -1, -1):
-            ones = (ids >> bit & 1).astype(bool)
+            ones = (ids & ids.dtype.type(1 << bit)) != 0
             planes.append(np.packbits(ones))
-            zeros.append(int(len(ids) - np.count_nonzero(ones)))
-            ids = np.concatenate([ids[~ones], ids[ones]])
+            zero, one = np.flatnonzero(~ones), np.flatnonzero(ones)
+            zeros.append(len(zero))
+            below = np.empty_like(ids)
+            np.take(ids, zero, out=below[: len(zero)], mode="clip")
+            np.take(ids, one, out=below[len(zero) :], mode="clip")
+            ids = below
         return cls(planes, zeros, len(ids))
 
     def _bit(self, level: int, at: int) -> int:
@@ -122,12 +126,12 @@ class WaveletMatrix:
 
     def all(self) -> np.ndarray:
         """The whole sequence, from the lowest plane up."""
-        ids = np.zeros(self.size, dtype=np.uint32)
+        ids = np.zeros(self.size, dtype=np.uint16 if len(self.planes) <= 16 else np.uint32)
         for level in range(len(self.planes) - 1, -1, -1):
-            ones = np.unpackbits(self.planes[level], count=self.size).astype(bool)
-            above = np.empty_like(ids)
-            above[~ones] = ids[: self.zeros[level]]
-            above[ones] = ids[self.zeros[level] :] | np.uint32(1 << (len(self.planes) - 1 - level))
+            ones = np.unpackbits(self.planes[level], count=self.size).view(bool)
+            above, zeros = np.empty_like(ids), self.zeros[level]
+            ids[zeros:] |= ids.dtype.type(1 << (len(self.planes) - 1 - level))
+            above[np.flatnonzero(~ones)], above[np.flatnonzero(ones)] = ids[:zeros], ids[zeros:]
             ids = above
         return ids
 

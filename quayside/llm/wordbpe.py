@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from quayside.llm.common import by_bytes
+from quayside.llm.common import by_bytes, strings
 
 #: Words whose ids a Python worker remembers: two generations of so many.
 REMEMBERED = 1 << 18
@@ -95,50 +95,54 @@ class Encoder:
         lists = pc.split_pattern(lines, " ")
         coded = lists.flatten().dictionary_encode()
         which = coded.indices.to_numpy(zero_copy_only=False)
-        raw = self._ids_of(coded.dictionary.to_pylist())
+        raw = self._ids_of(strings(coded.dictionary))
         lengths = np.fromiter(map(len, raw), np.int64, len(raw)) // 2
         flat, starts = np.frombuffer(b"".join(raw), "<u2"), np.cumsum(lengths) - lengths
         sizes = lengths[which]
         word_ends = np.cumsum(sizes)
-        places = np.arange(word_ends[-1] if len(which) else 0) + np.repeat(starts[which] - (word_ends - sizes), sizes)
+        total = int(word_ends[-1]) if len(which) else 0
+        narrow = np.int32 if total < 1 << 31 else np.int64
+        places = np.arange(total, dtype=narrow) + np.repeat((starts[which] - (word_ends - sizes)).astype(narrow), sizes)
         text_ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
         return flat[places], np.concatenate([[0], word_ends])[text_ends]
 
     def _ids_of(self, words: list[str]) -> list[bytes]:
         """The ids of distinct words."""
-        known = self.words
-        new = [w for w in words if w not in known]
-        if len(known) + len(new) > REMEMBERED:  # frequent words come back from what was before
-            self.before, self.words = known, {}
-            known, new = self.words, words
-        if new:
-            for word in new:
-                if word in self.before:
-                    known[word] = self.before[word]
-            self._learn([w for w in new if w not in known])
-        return list(map(known.__getitem__, words))
+        found = list(map(self.words.get, words))
+        missing = [k for k, raw in enumerate(found) if raw is None]
+        if not missing:
+            return found
+        if len(self.words) + len(missing) > REMEMBERED:  # frequent words come back from what was before
+            self.before, self.words = self.words, {w: raw for w, raw in zip(words, found) if raw is not None}
+        known, before = self.words, self.before
+        for k in missing:
+            raw = before.get(words[k])
+            if raw is not None:
+                known[words[k]] = raw
+        self._learn([words[k] for k in missing if words[k] not in known])
+        for k in missing:
+            found[k] = known[words[k]]
+        return found
 
     def _learn(self, new: list[str]) -> None:
-        plain, letters, others = [], [], []
-        for word in new:
-            if self.merges and _LETTERS.fullmatch(word):
-                plain.append(word)
-                letters.append(word if word.isascii() else word.lower())
-            else:
-                others.append(word)
-        if plain:
-            self.words.update(zip(plain, self._merged(letters)))
-        self.words.update(self._whole(others))
+        plain = list(map(_LETTERS.fullmatch, new)) if self.merges else [None] * len(new)
+        letters = [w for w, is_plain in zip(new, plain) if is_plain]
+        if letters:
+            self.words.update(zip(letters, self._merged(letters)))
+        self.words.update(self._whole([w for w, is_plain in zip(new, plain) if not is_plain]))
 
     def _whole(self, words: list[str]) -> list[tuple[str, bytes]]:
         encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False) if words else []
         return [(w, np.array(e.ids, dtype="<u2").tobytes()) for w, e in zip(words, encoded)]
 
-    def _merged(self, letters: list[str]) -> list[bytes]:
-        line = " ".join(w if w.isascii() else w.encode().decode("latin-1").translate(_byte_letters()) for w in letters)
+    def _merged(self, words: list[str]) -> list[bytes]:
+        line = " ".join(words)
+        if not line.isascii():
+            raw = np.frombuffer(line.lower().encode(), np.uint8)
+            line = _byte_letters()[raw].tobytes().decode("utf-32-le")
         ids = np.array(self.merges.encode_batch_fast([line], add_special_tokens=False)[0].ids, dtype="<u2")
         ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-        if len(ends) != len(letters) or ends[-1] != len(ids):
+        if len(ends) != len(words) or ends[-1] != len(ids):
             raise ValueError("the tokenizer does not mark the ends of words as expected")
         raw = ids.tobytes()
         return [raw[2 * a : 2 * b] for a, b in zip([0, *ends], ends)]
@@ -161,8 +165,14 @@ def _merges_only(settings: dict) -> bool:
 
 
 @cache
-def _byte_letters() -> dict[int, int]:
-    """The letter that byte-level tokenizers write for each byte: itself if it can be seen, else one from 256 on."""
+def _byte_letters() -> np.ndarray:
+    """The letter that byte-level tokenizers write for each byte: itself if it can be seen, else one from 256 on.
+
+    A space stays one, as it stands between words.
+    """
     seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    hidden = (b for b in range(256) if b not in seen)
-    return {b: 256 + n for n, b in enumerate(hidden)}
+    hidden = [b for b in range(256) if b not in seen]
+    letters = np.arange(256, dtype="<u4")
+    letters[hidden] = 256 + np.arange(len(hidden))
+    letters[ord(" ")] = ord(" ")
+    return letters

@@ -1,11 +1,12 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from quayside.llm import wavelet
+from quayside.llm import wavelet, wordbpe
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -52,3 +53,25 @@ def test_files_hold_what_the_library_gives(spark, odd_docs, odd_texts, tmp_path,
 
 def test_empty(no_docs):
     assert wavelet.round_trip(no_docs, PATH, 2).count() == 0
+
+
+def test_new_words_of_a_batch_are_merged_together(monkeypatch):
+    encode, library = wordbpe.Encoder(PATH), Tokenizer.from_file(PATH)
+    monkeypatch.setattr(wordbpe, "REMEMBERED", 40)  # words are forgotten and come back
+    asked = []
+    merged = encode._merged
+    monkeypatch.setattr(encode, "_merged", lambda words: asked.append(len(words)) or merged(words))
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        letters = rng.choice(list("abcéÀßÿ ,.中\n"), (20, 40))
+        texts = ["".join(row) for row in letters.tolist()] + [None, "", "Éte ÄÖÜ <unk>"]
+        found = [ids.tolist() for ids in encode.column(pa.array(texts, pa.string()))]
+        assert found == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(asked) == 30  # once a batch, not once a word
+
+
+def test_a_matrix_is_read_in_ids_of_its_own_width():
+    ids = np.random.default_rng(1).integers(0, 1 << 16, 5000).astype("<u2")
+    assert wavelet.WaveletMatrix.of(ids).all().dtype == np.uint16
+    wide = np.random.default_rng(2).integers(0, 1 << 20, 5000).astype("<u4")
+    assert (wavelet.WaveletMatrix.of(wide, 20).all() == wide).all()
