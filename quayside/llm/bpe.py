@@ -7,8 +7,8 @@ occurrences, and a join of all occurrences with their words would shuffle the co
 
 * words are counted over the whole corpus; the ``HOT_WORDS`` most frequent ones (a bound on
   what is broadcast, not on what is encoded) are folded once and broadcast with their ids;
-* documents are handled some megabytes at a time: a batch's distinct words are found as whole arrays, and those
-  that are not in the map travel beside the batch, each once, as arrays of bytes, and are folded in place. No text and
+* documents are handled a megabyte at a time: the distinct words of a part are numbered as they are found, and those
+  that are not in the map travel beside the part, each once, as arrays of bytes, and are folded in place. No text and
   no token is shuffled.
 
 Rows are kept one for one. A null text is an empty one and has no ids. Ids that repeat or are null change
@@ -21,7 +21,7 @@ import base64
 import heapq
 import json
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,13 +30,15 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import broadcast, by_bytes, freeing, let_go, short_plans, snapshot, texts
+from quayside.llm.common import broadcast, by_bytes, freeing, let_go, short_plans, snapshot, strings, texts
 
 #: Words in the broadcast map, at most, and the bytes of each.
 HOT_WORDS = 1 << 18
 HOT_BYTES = 64
 #: Longer words are merged with a heap: a fold copies its state at each step, so its time is quadratic.
 FOLD_BYTES = 1 << 13
+#: Bytes of texts whose words are folded together: the rows of a part are held several times on their way to the fold and back.
+SKETCH_BYTES = 1 << 20
 #: Words counted in a task before they are handed on.
 _COUNTED = 400_000
 #: Small maps in the literal; a prime.
@@ -97,6 +99,9 @@ def fold_merges(word: Column, merges: Column) -> Column:
             return F.shiftright(state, 16).bitwiseAND(F.lit(_LOW))
 
         def merge(pieces: Column, _: Column) -> Column:
+            return _let(F.array_min(pieces), lambda best: merged(pieces, best))
+
+        def merged(pieces: Column, best: Column) -> Column:
             def at(i: Column) -> Column:
                 own = F.shiftright(best, 32)
                 new = piece(own, start_of(best), id_of(F.get(pieces, i + 1)))
@@ -108,7 +113,6 @@ def fold_merges(word: Column, merges: Column) -> Column:
                     F.slice(pieces, 1, F.greatest(i - 2, F.lit(0))), changed, F.slice(pieces, i + 2, F.size(pieces))
                 )
 
-            best = F.array_min(pieces)
             place = F.array_position(pieces, best).cast("int")
             return F.when(best >= F.lit(_NO_RANK << 32), pieces).otherwise(_let(place, at))
 
@@ -160,34 +164,41 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     return lambda text: general(text) if _BEYOND.search(text) else special(text)
 
 
-def _words(texts: pa.Array, find: Callable[[str], list[str]]) -> tuple[pa.DictionaryArray, list[int]]:
-    """All words of some texts, coded, and where those of each text end."""
-    words: list[str] = []
-    ends = []
-    for text in texts.to_pylist():
-        words += find(text or "")
-        ends.append(len(words))
-    return pa.array(words, pa.string()).dictionary_encode(), ends
+def _words(texts: pa.Array, find: Callable[[str], list[str]]) -> tuple[list[str], np.ndarray, list[int]]:
+    """The distinct words of some texts, which of them each word is, and where those of each text end.
 
+    The words of one text are held at a time; beyond them, distinct words and a number for each word.
+    """
+    numbers: defaultdict[str, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
+    which = []
+    for text in strings(texts):
+        words = find(text or "")
+        which.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+    ends = np.cumsum([len(w) for w in which]).tolist()
+    return list(numbers), np.concatenate(which) if which else np.empty(0, np.int32), ends
 
-def _count_words(rows: DataFrame, pattern: str) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, seen = splitter(pattern), Counter()
 
-        def counted() -> pa.RecordBatch:
-            words = [w for w in seen if len(w) <= HOT_BYTES]
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([seen[w] for w in words], pa.int64())], ["word", "n"])
+def _counted(batches: Iterator[pa.RecordBatch], find: Callable[[str], list[str]]) -> Iterator[pa.RecordBatch]:
+    """Words and how often they occur, handed on whenever _COUNTED of them are held."""
+    seen: Counter[str] = Counter()
 
-        for batch in batches:
-            column = batch.column("text")
-            for begin, end in by_bytes(column):
-                coded, _ = _words(column.slice(begin, end - begin), find)
-                counts = np.bincount(coded.indices.to_numpy(zero_copy_only=False), minlength=len(coded.dictionary))
-                seen.update(dict(zip(coded.dictionary.to_pylist(), counts.tolist())))
-                if len(seen) > _COUNTED:
-                    yield counted()
-                    seen.clear()
-        yield counted()
+    def held() -> pa.RecordBatch:
+        words = [w for w in seen if len(w) <= HOT_BYTES]
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([seen[w] for w in words], pa.int64())], ["word", "n"])
+
+    for batch in batches:
+        for text in strings(batch.column("text")):
+            seen.update(find(text or ""))
+            if len(seen) > _COUNTED:
+                yield held()
+                seen.clear()
+    yield held()
+
+
+def _count_words(rows: DataFrame, pattern: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _counted(batches, splitter(pattern))
 
     return rows.mapInArrow(freeing(run), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -272,9 +283,9 @@ def encode(
         find, look = splitter(pattern), hot.value.get
         for batch in batches:
             column = batch.column("text")
-            for begin, end in by_bytes(column):
-                coded, ends = _words(column.slice(begin, end - begin), find)
-                words, rare = coded.dictionary.to_pylist(), []
+            for begin, end in by_bytes(column, SKETCH_BYTES):
+                words, which, ends = _words(column.slice(begin, end - begin), find)
+                rare = []
                 parts = list(map(look, words))
                 for k, part in enumerate(parts):
                     if part is None:
@@ -284,7 +295,7 @@ def encode(
                         else:
                             parts[k] = (_HOLE | len(rare)).to_bytes(4, "little")
                             rare.append(raw)
-                found, places = _laid_out(parts, coded.indices.to_numpy(zero_copy_only=False), ends)
+                found, places = _laid_out(parts, which, ends)
                 sketches = [found[a:b].tobytes() for a, b in zip([0, *places], places)]
                 ids = batch.column("id").slice(begin, end - begin)
                 yield pa.RecordBatch.from_arrays(

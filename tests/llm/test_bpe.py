@@ -1,5 +1,9 @@
+import tracemalloc
+from collections import Counter
+
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -40,3 +44,30 @@ def test_empty(no_docs):
 def test_long_words_merge_alike(library, word):
     ranks = bpe.load_ranks(PATH)
     assert bpe.merge_long(word, ranks) == library._core_bpe.encode_single_piece(word)
+
+
+def test_words_of_a_batch_are_not_held_one_by_one():
+    texts = pa.array([" ".join(f"word{k % 5000}" for k in range(n, n + 4000)) for n in range(0, 100_000, 1000)] + [None, ""])
+    find = bpe.splitter(public_tokenizers.PATTERN)
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    every = [find(t or "") for t in texts.to_pylist()]
+    total = sum(map(len, every))
+    tracemalloc.start()
+    try:
+        words, which, ends = bpe._words(texts, find)
+        most_words = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        counts = {r["word"]: r["n"] for b in bpe._counted(iter([batch]), find) for r in b.to_pylist()}
+        most_counted = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [[words[k] for k in which[a:b]] for a, b in zip([0, *ends], ends)] == every
+    assert counts == Counter(w for found in every for w in found)
+    assert most_words < 25 * total and most_counted < 25 * total  # a list of all words: more than 55 bytes each
+
+
+def test_texts_are_folded_a_part_at_a_time(spark, library, monkeypatch):
+    monkeypatch.setattr(bpe, "SKETCH_BYTES", 100)
+    texts = [(n, f"some words of text {n} " * 9) for n in range(40)]
+    found = bpe.encode(spark.createDataFrame(texts, "doc_id long, text string"), PATH, public_tokenizers.PATTERN, decoded=True).collect()
+    assert sorted((str(r.id), bytes(r.ids), bytes(r.decoded)) for r in found) == expected(library, texts)
