@@ -7,9 +7,13 @@ occurrences, and a join of all occurrences with their words would shuffle the co
 
 * words are counted over the whole corpus; the ``HOT_WORDS`` most frequent ones (a bound on
   what is broadcast, not on what is encoded) are folded once and broadcast with their ids;
-* documents are handled a megabyte at a time: the distinct words of a part are numbered as they are found, and those
-  that are not in the map travel beside the part, each once, as arrays of bytes, and are folded in place. No text and
-  no token is shuffled.
+* documents are handled a megabyte at a time. Distinct words that are not in the map are numbered as a task finds them
+  and travel ahead of the documents that they are in, as arrays of bytes, to be folded in place; the task's next step
+  keeps their ids, so a word travels once in a task, until ``SENT_BYTES`` of words are kept and the numbers begin
+  again. No text and no token is shuffled.
+
+Texts are split as whole columns of bytes where the pattern is the one that ``_BY_CLASSES`` names: words begin where
+classes of characters change. Other patterns are searched in each text.
 
 Rows are kept one for one. A null text is an empty one and has no ids. Ids that repeat or are null change
 nothing, as rows are never matched by them. An empty table gives an empty one.
@@ -21,12 +25,15 @@ import base64
 import heapq
 import json
 import re
-from collections import Counter, defaultdict
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +44,13 @@ HOT_WORDS = 1 << 18
 HOT_BYTES = 64
 #: Longer words are merged with a heap: a fold copies its state at each step, so its time is quadratic.
 FOLD_BYTES = 1 << 13
-#: Bytes of texts whose words are folded together: the rows of a part are held several times on their way to the fold and back.
+#: Bytes of texts whose words are looked up together, and which are split together.
 SKETCH_BYTES = 1 << 20
+SPLIT_BYTES = 1 << 18
+#: Bytes of words whose ids a task keeps, each with so many more for what it takes to keep it; and bytes of words in a row.
+SENT_BYTES = 8 << 20
+_KEPT = 64
+_ROW_BYTES = 1 << 14
 #: Words counted in a task before they are handed on.
 _COUNTED = 400_000
 #: Small maps in the literal; a prime.
@@ -153,33 +165,121 @@ _LETTERS, _NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 _BEYOND = re.compile("[\x1c-\x1f\x85\u0250-\U0010ffff]")
 
 
-def splitter(pattern: str) -> Callable[[str], list[str]]:
-    """All matches of a pattern in a text; where its classes can be written out, by the faster library."""
-    general = regex.compile(pattern).findall
-    written = pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^\s{_LETTERS}{_NUMBERS}]")
-    written = written.replace(r"\p{L}", f"[{_LETTERS}]").replace(r"\p{N}", f"[{_NUMBERS}]")
-    if "\\p" in written or "[[" in written:
-        return general
-    special = re.compile(written).findall
-    return lambda text: general(text) if _BEYOND.search(text) else special(text)
-
-
-def _words(texts: pa.Array, find: Callable[[str], list[str]]) -> tuple[list[str], np.ndarray, list[int]]:
+#: The pattern whose matches are found by classes of characters.
+_BY_CLASSES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_SPACE = 3
+
+
+class Splitter:
+    """All matches of a pattern in a text, or in a column of texts."""
+
+    def __init__(self, pattern: str):
+        self.by_classes = pattern == _BY_CLASSES
+        self.general = regex.compile(pattern).findall
+        written = pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^\s{_LETTERS}{_NUMBERS}]")
+        written = written.replace(r"\p{L}", f"[{_LETTERS}]").replace(r"\p{N}", f"[{_NUMBERS}]")
+        self.special = None if "\\p" in written or "[[" in written else re.compile(written).findall
+
+    def __call__(self, text: str) -> list[str]:
+        """The matches in one text; where the pattern's classes can be written out, by the faster library."""
+        return self.general(text) if self.special is None or _BEYOND.search(text) else self.special(text)
+
+    def column(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The matches in some texts (null: none), one after another, and where those of each text end."""
+        if self.by_classes:
+            return _split_by_classes(texts)
+        found = [self(text or "") for text in strings(texts)]
+        return pa.array([w for words in found for w in words], pa.string()), np.cumsum([len(w) for w in found], dtype=np.int64)
+
+
+def splitter(pattern: str) -> Splitter:
+    return Splitter(pattern)
+
+
+@cache
+def _classes() -> np.ndarray:
+    """The class of each character: 1 for letters, 2 for numbers, 3 for white space, 0 for others."""
+    found = np.zeros(0x110000, np.uint8)
+    for first in range(0, len(found), 1 << 12):
+        some = np.arange(first, first + (1 << 12), dtype="<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        for kind, pattern in ((1, r"\p{L}+"), (2, r"\p{N}+"), (_SPACE, r"\s+")):
+            for run in regex.finditer(pattern, some):
+                found[first + run.start() : first + run.end()] = kind
+    return found
+
+
+def _classes_of(raw: np.ndarray) -> np.ndarray:
+    """The class of the character that each byte of some UTF-8 is part of."""
+    kinds = _classes()[:256][raw]
+    wide = np.flatnonzero(raw >= 0xC0)
+    if len(wide):
+        lead = raw[wide]
+        for least, size, mask in ((0xC0, 2, 0x1F), (0xE0, 3, 0x0F), (0xF0, 4, 0x07)):
+            at = wide[(lead >= least) & (lead < 0x100 - mask - 1)]
+            code = (raw[at] & mask).astype(np.int32)
+            for k in range(1, size):
+                code = code << 6 | raw[at + k] & 0x3F
+            own = _classes()[code]
+            for k in range(size):
+                kinds[at + k] = own
+    return kinds
+
+
+def _split_by_classes(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The matches of _BY_CLASSES: begins of words are marked among the bytes of all texts."""
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    _, places, data = texts.buffers()
+    bounds = np.frombuffer(places, np.int32)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int32)
+    size, bounds = int(bounds[-1] - bounds[0]), bounds - bounds[0]
+    if not size:
+        return pa.array([], pa.string()), np.zeros(len(texts), np.int64)
+    data = data.slice(int(np.frombuffer(places, np.int32)[texts.offset]), size)
+    raw = np.frombuffer(data, np.uint8)
+    kinds = _classes_of(raw)
+    of_text = np.zeros(size + 1, bool)
+    of_text[bounds] = True
+    begins = of_text.copy()
+    begins[1:-1] |= kinds[1:] != kinds[:-1]
+    # The last white space before a word stands apart from what is before it; a blank belongs to the word.
+    behind = np.flatnonzero((kinds[:-1] == _SPACE) & begins[1:-1]) + 1
+    behind = behind[~of_text[behind]]
+    last = behind - 1
+    for _ in range(3):  # to the first byte of a character
+        last = last - ((raw[last] & 0xC0) == 0x80)
+    begins[last] = True
+    begins[behind[raw[last] == ord(" ")]] = False
+    # An apostrophe at which a word begins takes the letters of a contraction.
+    sign = np.flatnonzero((raw[:-1] == ord("'")) & begins[:-2])
+    sign = sign[~of_text[sign + 1]]
+    short = sign[np.isin(raw[sign + 1], list(b"stmd"))]
+    sign = sign[sign + 2 < size]
+    sign = sign[~of_text[sign + 2]]
+    pair = raw[sign + 1].astype(np.int32) << 8 | raw[sign + 2]
+    long = sign[np.isin(pair, [int.from_bytes(x) for x in (b"re", b"ve", b"ll")])]
+    for at, length in ((short, 2), (long, 3)):
+        begins[at + 1] = False
+        begins[at + length] = True
+    starts = np.flatnonzero(begins).astype(np.int32)
+    ends = np.searchsorted(starts, bounds[1:])
+    return pa.StringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), data), ends
+
+
+def _words(texts: pa.Array, find: Splitter) -> tuple[list[str], np.ndarray, list[int]]:
     """The distinct words of some texts, which of them each word is, and where those of each text end.
 
-    The words of one text are held at a time; beyond them, distinct words and a number for each word.
+    The words of SPLIT_BYTES of texts are found at a time.
     """
-    numbers: defaultdict[str, int] = defaultdict()
-    numbers.default_factory = numbers.__len__
-    which = []
-    for text in strings(texts):
-        words = find(text or "")
-        which.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
-    ends = np.cumsum([len(w) for w in which]).tolist()
-    return list(numbers), np.concatenate(which) if which else np.empty(0, np.int32), ends
+    chunks, ends, held = [], [np.empty(0, np.int64)], 0
+    for begin, end in by_bytes(texts, SPLIT_BYTES):
+        words, places = find.column(texts.slice(begin, end - begin))
+        chunks.append(words)
+        ends.append(places + held)
+        held += len(words)
+    coded = pa.chunked_array(chunks, pa.string()).dictionary_encode().combine_chunks()
+    return strings(coded.dictionary), coded.indices.to_numpy(), np.concatenate(ends).tolist()
 
 
-def _counted(batches: Iterator[pa.RecordBatch], find: Callable[[str], list[str]]) -> Iterator[pa.RecordBatch]:
+def _counted(batches: Iterator[pa.RecordBatch], find: Splitter) -> Iterator[pa.RecordBatch]:
     """Words and how often they occur, handed on whenever _COUNTED of them are held."""
     seen: Counter[str] = Counter()
 
@@ -188,8 +288,11 @@ def _counted(batches: Iterator[pa.RecordBatch], find: Callable[[str], list[str]]
         return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([seen[w] for w in words], pa.int64())], ["word", "n"])
 
     for batch in batches:
-        for text in strings(batch.column("text")):
-            seen.update(find(text or ""))
+        column = batch.column("text")
+        for begin, end in by_bytes(column, SKETCH_BYTES):
+            words, which, _ = _words(column.slice(begin, end - begin), find)
+            for word, n in zip(words, np.bincount(which, minlength=len(words)).tolist()):
+                seen[word] += n
             if len(seen) > _COUNTED:
                 yield held()
                 seen.clear()
@@ -279,53 +382,117 @@ def encode(
     let_go()
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For each part of a batch, its documents as ids of frequent words and holes, and the words of the holes."""
-        find, look = splitter(pattern), hot.value.get
-        for batch in batches:
-            column = batch.column("text")
-            for begin, end in by_bytes(column, SKETCH_BYTES):
-                words, which, ends = _words(column.slice(begin, end - begin), find)
-                rare = []
-                parts = list(map(look, words))
-                for k, part in enumerate(parts):
-                    if part is None:
-                        raw = words[k].encode()
-                        if len(raw) > FOLD_BYTES:
-                            parts[k] = np.array(merge_long(raw, all_ranks.value), dtype="<u4").tobytes()
-                        else:
-                            parts[k] = (_HOLE | len(rare)).to_bytes(4, "little")
-                            rare.append(raw)
-                found, places = _laid_out(parts, which, ends)
-                sketches = [found[a:b].tobytes() for a, b in zip([0, *places], places)]
-                ids = batch.column("id").slice(begin, end - begin)
-                yield pa.RecordBatch.from_arrays(
-                    [_one_list(ids), _one_list(pa.array(sketches, pa.binary())), _one_list(_as_byte_ids(rare, byte_ids))],
-                    ["ids", "sketches", "rare"],
-                )
+        return _sketched(batches, splitter(pattern), hot.value, all_ranks, byte_ids)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ids, sketches, found in zip(batch.column("ids"), batch.column("sketches"), batch.column("found")):
-                words = found.values
-                lengths, flat = words.value_lengths().to_numpy(zero_copy_only=False), words.flatten().to_numpy(zero_copy_only=False)
-                filled = [
-                    _fill_holes(np.frombuffer(s, "<u4"), lengths, flat).astype("<u4").tobytes() for s in sketches.as_py()
-                ]
-                columns = {"id": ids.values, "ids": pa.array(filled, pa.binary())}
-                if pieces:
-                    columns["decoded"] = pa.array([_join_pieces(x, pieces.value) for x in filled], pa.binary())
-                yield pa.RecordBatch.from_pydict(columns)
-
-    schema = "ids array<bigint>, sketches array<binary>, rare array<array<bigint>>"
-    folded = rows.mapInArrow(freeing(sketch), schema).select(
-        "ids", "sketches", F.transform("rare", lambda word: fold_merges(word, literal)).alias("found")
+        return _filled(batches, pa.array(pieces.value, pa.binary()) if pieces else None)
+
+    # The rows of a task stay in order between the two steps: nothing is shuffled there.
+    folded = rows.mapInArrow(freeing(sketch), "id long, sketch binary, first long, rare array<array<bigint>>").select(
+        "id", "sketch", "first", F.transform("rare", lambda word: fold_merges(word, literal)).alias("found")
     )
     return folded.mapInArrow(freeing(fill), "id long, ids binary" + (", decoded binary" if decoded else ""))
 
 
-def _one_list(values: pa.Array) -> pa.ListArray:
-    """A column of one row, which is a list of all values."""
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+_RARE = pa.list_(pa.list_(pa.int64()))
+
+
+def _sketched(
+    batches: Iterator[pa.RecordBatch], find: Splitter, hot: dict[str, bytes], all_ranks: Broadcast, byte_ids: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """Documents as ids of frequent words and holes, and ahead of them the words of holes that were not sent before."""
+    sent: dict[str, int] = {}
+    kept = 0
+    for batch in batches:
+        column = batch.column("text")
+        for begin, end in by_bytes(column, SKETCH_BYTES):
+            if kept > SENT_BYTES:
+                sent.clear()
+                kept = 0
+            words, which, ends = _words(column.slice(begin, end - begin), find)
+            rare, first = [], len(sent)
+            parts = list(map(hot.get, words))
+            for k, part in enumerate(parts):
+                if part is not None:
+                    continue
+                number = sent.get(words[k])
+                if number is None:
+                    raw = words[k].encode()
+                    if len(raw) > FOLD_BYTES:
+                        parts[k] = np.array(merge_long(raw, all_ranks.value), dtype="<u4").tobytes()
+                        continue
+                    number = sent[words[k]] = len(sent)
+                    kept += len(raw) + _KEPT
+                    rare.append(raw)
+                parts[k] = (_HOLE | number).to_bytes(4, "little")
+            if rare:
+                yield _rare_rows(_as_byte_ids(rare, byte_ids), first)
+            found, places = _laid_out(parts, which, ends)
+            ids = batch.column("id").slice(begin, end - begin)
+            yield pa.RecordBatch.from_arrays(
+                [ids, _cut(found, np.array(places)), pa.array(np.full(len(ids), -1)), pa.nulls(len(ids), _RARE)],
+                ["id", "sketch", "first", "rare"],
+            )
+
+
+def _filled(batches: Iterator[pa.RecordBatch], pieces: pa.Array | None) -> Iterator[pa.RecordBatch]:
+    """The documents with their holes filled; rows of folded words are kept until their numbers begin again."""
+    lengths, flat = np.empty(0, np.int64), np.empty(0, "<u4")
+    for batch in batches:
+        firsts = batch.column("first").to_numpy()
+        turns = np.flatnonzero(np.diff(firsts < 0)) + 1
+        for begin, end in zip([0, *turns.tolist()], [*turns.tolist(), len(firsts)]):
+            rows = batch.slice(begin, end - begin)
+            if firsts[begin] >= 0:
+                again = np.flatnonzero(firsts[begin:end] == 0)
+                if len(again):
+                    rows = rows.slice(int(again[-1]))
+                    lengths, flat = lengths[:0], flat[:0]
+                words = rows.column("found").flatten()
+                lengths = np.concatenate([lengths, words.value_lengths().to_numpy(zero_copy_only=False)])
+                flat = np.concatenate([flat, words.flatten().to_numpy(zero_copy_only=False).astype("<u4")])
+                continue
+            raw, places = _laid_open(rows.column("sketch"))
+            filled, ends = _fill_holes(np.frombuffer(raw, "<u4"), lengths, flat, places // 4)
+            columns = {"id": rows.column("id"), "ids": _cut(filled, ends)}
+            if pieces is not None:
+                decoded, places = _laid_open(pieces.take(pa.array(filled)))
+                columns["decoded"] = _cut(np.frombuffer(decoded, np.uint8), np.concatenate([[0], places])[ends])
+            yield pa.RecordBatch.from_pydict(columns)
+
+
+def _rare_rows(words: pa.ListArray, first: int) -> pa.RecordBatch:
+    """Rows of about _ROW_BYTES of words, each with the number of its first word."""
+    held = np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)) // _ROW_BYTES
+    begins = np.concatenate([[0], np.flatnonzero(np.diff(held)) + 1, [len(words)]]).astype(np.int32)
+    size = len(begins) - 1
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.nulls(size, pa.int64()),
+            pa.nulls(size, pa.binary()),
+            pa.array(begins[:-1].astype(np.int64) + first),
+            pa.ListArray.from_arrays(pa.array(begins), words),
+        ],
+        ["id", "sketch", "first", "rare"],
+    )
+
+
+def _cut(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A column of binaries from all values one after another and where those of each row end."""
+    places = (np.concatenate([[0], ends]) * values.itemsize).astype(np.int32)
+    if len(values) * values.itemsize >= 1 << 31:
+        raise OverflowError("the ids or bytes of one text exceed 2 GiB")
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(places), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _laid_open(column: pa.Array) -> tuple[pa.Buffer | bytes, np.ndarray]:
+    """All bytes of a column of binaries without nulls, and where those of each row end."""
+    column = column.cast(pa.binary())
+    _, places, data = column.buffers()
+    if not len(column) or data is None:
+        return b"", np.zeros(len(column), np.int64)
+    places = np.frombuffer(places, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return data.slice(int(places[0]), int(places[-1] - places[0])), places[1:] - places[0]
 
 
 def _laid_out(parts: list[bytes], which: np.ndarray, ends: list[int]) -> tuple[np.ndarray, list[int]]:
@@ -338,19 +505,21 @@ def _laid_out(parts: list[bytes], which: np.ndarray, ends: list[int]) -> tuple[n
     return flat[places], np.concatenate([[0], word_ends])[ends].tolist()
 
 
-def _fill_holes(sketch: np.ndarray, lengths: np.ndarray, flat: np.ndarray) -> np.ndarray:
-    """The ids with each hole replaced by the ids of its word."""
-    offsets = np.cumsum(lengths) - lengths
-    hole = (sketch & _HOLE) != 0
-    which = sketch[hole] & (_HOLE - 1)
-    sizes = np.ones(len(sketch), dtype=np.int64)
-    sizes[hole] = lengths[which]
-    shift = np.zeros(len(sketch), dtype=np.int64)  # from a place in the result to one in flat
-    shift[hole] = offsets[which] - (np.cumsum(sizes) - sizes)[hole]
-    out = np.repeat(sketch, sizes)
-    filled = np.flatnonzero(np.repeat(hole, sizes))
-    out[filled] = flat[filled + np.repeat(shift, sizes)[filled]]
-    return out
+def _fill_holes(sketch: np.ndarray, lengths: np.ndarray, flat: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids with each hole replaced by the ids of its word, and where those of each text end now."""
+    holes = np.flatnonzero(sketch & _HOLE)
+    if not len(holes):
+        return sketch, ends
+    which = sketch[holes] & (_HOLE - 1)
+    sizes = lengths[which]
+    grown = np.concatenate([[0], np.cumsum(sizes - 1)])  # by how much the holes so far are longer than one id
+    counts = np.ones(len(sketch), dtype=np.int32)
+    counts[holes] = sizes
+    out = np.repeat(sketch, counts)
+    # places in the result and in flat of the ids of all holes
+    within = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out[np.repeat(holes + grown[:-1], sizes) + within] = flat[np.repeat((np.cumsum(lengths) - lengths)[which], sizes) + within]
+    return out, ends + grown[np.searchsorted(holes, ends)]
 
 
 def decode(encoded: DataFrame, ranks_path: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:

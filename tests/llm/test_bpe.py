@@ -71,3 +71,58 @@ def test_texts_are_folded_a_part_at_a_time(spark, library, monkeypatch):
     texts = [(n, f"some words of text {n} " * 9) for n in range(40)]
     found = bpe.encode(spark.createDataFrame(texts, "doc_id long, text string"), PATH, public_tokenizers.PATTERN, decoded=True).collect()
     assert sorted((str(r.id), bytes(r.ids), bytes(r.decoded)) for r in found) == expected(library, texts)
+
+
+def test_columns_are_split_as_single_texts(odd_texts):
+    find = bpe.splitter(public_tokenizers.PATTERN)
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    texts = [t for _, t in odd_texts]
+    texts += ["'", "x'", "s", "'s's 't'rest 'r", "e", "it's 'll  'd\t've\n'm", " ", "a ", "  ", "  b　c", None, "", "''s"]
+    texts += [every, "'s".join(every), " \n".join(every)]
+    found, ends = find.column(pa.array(["it'", *texts, "s"]).slice(1, len(texts)))
+    words = found.to_pylist()
+    assert find.by_classes
+    assert [words[a:b] for a, b in zip([0, *ends], ends)] == [find.general(t or "") for t in texts]
+
+
+def test_other_patterns_split_columns_too():
+    words, ends = bpe.splitter(r"\p{Lu}\p{Ll}*|\d+").column(pa.array(["OneTwo3", None, "Élan 45"]))
+    assert (words.to_pylist(), ends.tolist()) == (["One", "Two", "3", "Élan", "45"], [3, 3, 5])
+
+
+def sketched(batches, hot):
+    ranks = bpe.load_ranks(PATH)
+    return list(bpe._sketched(batches, bpe.splitter(public_tokenizers.PATTERN), hot, None, bpe._byte_ids(ranks)))
+
+
+def test_rare_words_travel_once_in_a_task_and_in_small_rows():
+    texts = [" ".join(f"{chr(97 + k % 26)}q{k}z" for k in range(n % 7, 30_000)) for n in range(20)]
+    batches = [pa.RecordBatch.from_pydict({"id": [n], "text": [t]}) for n, t in enumerate(texts)]
+    rows = [r for b in sketched(iter(batches), {}) for r in b.to_pylist()]
+    rare = [bytes(w) for r in rows for w in r["rare"] or []]
+    assert len(rare) > 30_000 and len(rare) == len(set(rare))
+    assert max(len(w) for r in rows for w in [sum(r["rare"] or [], [])]) < 2 * bpe._ROW_BYTES
+
+
+def test_numbers_of_rare_words_begin_again(library, monkeypatch):
+    monkeypatch.setattr(bpe, "SENT_BYTES", 3000)
+    monkeypatch.setattr(bpe, "_ROW_BYTES", 100)
+    texts = [(n, None if n % 9 == 8 else " ".join(f"w{k}rd{k * k}" for k in range(n % 5, 30 + n % 13))) for n in range(60)]
+    batches = [pa.RecordBatch.from_pydict({"id": [n], "text": pa.array([t], pa.string())}) for n, t in texts]
+    sent = [b for b in sketched(iter(batches), {" w1rd1": b"\1\0\0\0"}) if b.num_rows]
+    assert sum(r["first"] == 0 for b in sent for r in b.to_pylist()) > 3
+    ids_of = library._core_bpe.encode_single_piece
+    byte_of = {int(n): b for b, n in enumerate(bpe._byte_ids(bpe.load_ranks(PATH)))}
+    folded = [
+        b.set_column(
+            3, "found", pa.array([None if r is None else [ids_of(bytes(byte_of[x] for x in w)) for w in r] for r in b["rare"].to_pylist()], bpe._RARE)
+        )
+        for b in map(pa.Table.from_batches, ([b] for b in sent))
+    ]
+    together = pa.concat_tables(folded).combine_chunks().to_batches(max_chunksize=7)
+    found = [r for b in bpe._filled(iter(together), None) for r in b.to_pylist()]
+    one = int.from_bytes(b"\1\0\0\0", "little")
+    expected_ids = {}
+    for n, t in texts:
+        expected_ids[n] = [i for w in bpe.splitter(public_tokenizers.PATTERN)(t or "") for i in ([one] if w == " w1rd1" else ids_of(w.encode()))]
+    assert {r["id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in found} == expected_ids
