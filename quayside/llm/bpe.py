@@ -8,7 +8,7 @@ occurrences, and a join of all occurrences with their words would shuffle the co
 * words are counted over the whole corpus; the ``HOT_WORDS`` most frequent ones (a bound on
   what is broadcast, not on what is encoded) are folded once and broadcast with their ids;
 * documents are handled a megabyte at a time. Distinct words that are not in the map are numbered as a task finds them
-  and travel ahead of the documents that they are in, as arrays of bytes, to be folded in place; the task's next step
+  and travel ahead of the documents that they are in, as arrays of pieces, to be folded in place; the task's next step
   keeps their ids, so a word travels once in a task, until ``SENT_BYTES`` of words are kept and the numbers begin
   again. No text and no token is shuffled.
 
@@ -25,7 +25,6 @@ import base64
 import heapq
 import json
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
@@ -91,7 +90,7 @@ def _let(value: Column, use) -> Column:
 
 
 def fold_merges(word: Column, merges: Column) -> Column:
-    """The ids of a word, given as an array of the ids of its bytes.
+    """The ids of a word, given by ``_as_pieces`` as the pieces that are its bytes.
 
     The state is an array of longs, one for each piece: the rank of its merge with the next
     piece, where it starts, and its id. Its minimum is the leftmost of the best merges.
@@ -128,9 +127,8 @@ def fold_merges(word: Column, merges: Column) -> Column:
             place = F.array_position(pieces, best).cast("int")
             return F.when(best >= F.lit(_NO_RANK << 32), pieces).otherwise(_let(place, at))
 
-        start = F.transform(word, lambda x, i: piece(x, i.cast("long"), F.get(word, i + 1)))
         steps = F.when(F.size(word) > 1, F.sequence(F.lit(2), F.size(word))).otherwise(F.array().cast("array<int>"))
-        return F.aggregate(steps, start, merge, lambda pieces: F.transform(pieces, id_of))
+        return F.aggregate(steps, word, merge, lambda pieces: F.transform(pieces, id_of))
 
     return _let(merges, ids)
 
@@ -264,7 +262,7 @@ def _split_by_classes(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return pa.StringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), data), ends
 
 
-def _words(texts: pa.Array, find: Splitter) -> tuple[list[str], np.ndarray, list[int]]:
+def _coded(texts: pa.Array, find: Splitter) -> tuple[pa.Array, np.ndarray, list[int]]:
     """The distinct words of some texts, which of them each word is, and where those of each text end.
 
     The words of SPLIT_BYTES of texts are found at a time.
@@ -276,27 +274,35 @@ def _words(texts: pa.Array, find: Splitter) -> tuple[list[str], np.ndarray, list
         ends.append(places + held)
         held += len(words)
     coded = pa.chunked_array(chunks, pa.string()).dictionary_encode().combine_chunks()
-    return strings(coded.dictionary), coded.indices.to_numpy(), np.concatenate(ends).tolist()
+    return coded.dictionary, coded.indices.to_numpy(), np.concatenate(ends).tolist()
+
+
+def _words(texts: pa.Array, find: Splitter) -> tuple[list[str], np.ndarray, list[int]]:
+    words, which, ends = _coded(texts, find)
+    return strings(words), which, ends
 
 
 def _counted(batches: Iterator[pa.RecordBatch], find: Splitter) -> Iterator[pa.RecordBatch]:
     """Words and how often they occur, handed on whenever _COUNTED of them are held."""
-    seen: Counter[str] = Counter()
+    held: list[pa.Table] = []
+    fresh = 0
 
-    def held() -> pa.RecordBatch:
-        words = [w for w in seen if len(w) <= HOT_BYTES]
-        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([seen[w] for w in words], pa.int64())], ["word", "n"])
+    def summed() -> pa.Table:
+        return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
 
     for batch in batches:
         column = batch.column("text")
         for begin, end in by_bytes(column, SKETCH_BYTES):
-            words, which, _ = _words(column.slice(begin, end - begin), find)
-            for word, n in zip(words, np.bincount(which, minlength=len(words)).tolist()):
-                seen[word] += n
-            if len(seen) > _COUNTED:
-                yield held()
-                seen.clear()
-    yield held()
+            words, which, _ = _coded(column.slice(begin, end - begin), find)
+            part = pa.table({"word": words, "n": np.bincount(which, minlength=len(words)).astype(np.int64)})
+            held.append(part.filter(pc.less_equal(pc.utf8_length(part["word"]), HOT_BYTES)))
+            fresh += len(words)
+            if fresh > _COUNTED:
+                held, fresh = [summed()], 0
+                if held[0].num_rows > _COUNTED:
+                    yield from held.pop().to_batches()
+    if held:
+        yield from summed().to_batches()
 
 
 def _count_words(rows: DataFrame, pattern: str) -> DataFrame:
@@ -322,30 +328,39 @@ def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.where(F.lit(False) if lowest is None else (F.col("n") > 1) & (level >= lowest))
 
 
-def _byte_ids(ranks: dict[bytes, int]) -> np.ndarray:
-    return np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+def _of_bytes(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The id of each byte, and the rank of each pair of bytes."""
+    ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+    pairs = np.array([[ranks.get(bytes([a, b]), _NO_RANK) for b in range(256)] for a in range(256)], dtype=np.int32)
+    return ids, pairs
 
 
-def _as_byte_ids(words: list[bytes], byte_ids: np.ndarray) -> pa.ListArray:
-    """A list of the ids of its bytes for each word."""
-    ends = np.cumsum(np.fromiter(map(len, words), np.int32, len(words)), dtype=np.int32)
-    values = byte_ids[np.frombuffer(b"".join(words), np.uint8)]
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(values))
+def _as_pieces(words: list[bytes], of_bytes: tuple[np.ndarray, np.ndarray]) -> pa.ListArray:
+    """What ``fold_merges`` begins with, for each word: its bytes as pieces."""
+    ids, pairs = of_bytes
+    sizes = np.fromiter(map(len, words), np.int32, len(words))
+    ends = np.cumsum(sizes, dtype=np.int32)
+    raw = np.frombuffer(b"".join(words), np.uint8)
+    ranks = np.full(len(raw), _NO_RANK, dtype=np.int64)
+    ranks[:-1] = pairs[raw[:-1], raw[1:]]
+    ranks[ends - 1] = _NO_RANK
+    starts = np.arange(len(raw)) - np.repeat(ends - sizes, sizes)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ranks << 32 | starts << 16 | ids[raw]))
 
 
 def _hot_words(rows: DataFrame, pattern: str, ranks: dict[bytes, int], literal: Column, most: int) -> dict[str, bytes]:
     """The ids of the most frequent words, and of all words that are tokens."""
     counts = snapshot(_count_words(rows, pattern), "words")
-    byte_ids = _byte_ids(ranks)
+    of_bytes = _of_bytes(ranks)
 
     def as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = [w.as_py().encode() for w in batch.column("word")]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), _as_byte_ids(words, byte_ids)], ["word", "bytes"])
+            yield pa.RecordBatch.from_arrays([batch.column("word"), _as_pieces(words, of_bytes)], ["word", "pieces"])
 
     hot = snapshot(_most_frequent(counts, most).select("word"), "hot").repartition(16)  # small, but much work
-    hot = hot.mapInArrow(as_bytes, "word string, bytes array<bigint>")
-    found = hot.select("word", fold_merges(F.col("bytes"), literal).alias("ids")).toArrow()
+    hot = hot.mapInArrow(as_bytes, "word string, pieces array<bigint>")
+    found = hot.select("word", fold_merges(F.col("pieces"), literal).alias("ids")).toArrow()
     lists = found["ids"].combine_chunks()
     ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)).tolist() if len(lists) else []
     raw = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
@@ -375,14 +390,14 @@ def encode(
     spark = docs.sparkSession
     short_plans(spark)
     ranks = load_ranks(ranks_path)
-    literal, byte_ids = _merge_literal(ranks), _byte_ids(ranks)
+    literal, of_bytes = _merge_literal(ranks), _of_bytes(ranks)
     hot = broadcast(spark, _hot_words(rows, pattern, ranks, literal, hot_words))
     all_ranks = broadcast(spark, ranks)
     pieces = broadcast(spark, _pieces(ranks)) if decoded else None
     let_go()
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _sketched(batches, splitter(pattern), hot.value, all_ranks, byte_ids)
+        return _sketched(batches, splitter(pattern), hot.value, all_ranks, of_bytes)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _filled(batches, pa.array(pieces.value, pa.binary()) if pieces else None)
@@ -398,7 +413,7 @@ _RARE = pa.list_(pa.list_(pa.int64()))
 
 
 def _sketched(
-    batches: Iterator[pa.RecordBatch], find: Splitter, hot: dict[str, bytes], all_ranks: Broadcast, byte_ids: np.ndarray
+    batches: Iterator[pa.RecordBatch], find: Splitter, hot: dict[str, bytes], all_ranks: Broadcast, of_bytes: tuple[np.ndarray, np.ndarray]
 ) -> Iterator[pa.RecordBatch]:
     """Documents as ids of frequent words and holes, and ahead of them the words of holes that were not sent before."""
     sent: dict[str, int] = {}
@@ -426,7 +441,7 @@ def _sketched(
                     rare.append(raw)
                 parts[k] = (_HOLE | number).to_bytes(4, "little")
             if rare:
-                yield _rare_rows(_as_byte_ids(rare, byte_ids), first)
+                yield _rare_rows(_as_pieces(rare, of_bytes), first)
             found, places = _laid_out(parts, which, ends)
             ids = batch.column("id").slice(begin, end - begin)
             yield pa.RecordBatch.from_arrays(

@@ -92,14 +92,14 @@ def test_other_patterns_split_columns_too():
 
 def sketched(batches, hot):
     ranks = bpe.load_ranks(PATH)
-    return list(bpe._sketched(batches, bpe.splitter(public_tokenizers.PATTERN), hot, None, bpe._byte_ids(ranks)))
+    return list(bpe._sketched(batches, bpe.splitter(public_tokenizers.PATTERN), hot, None, bpe._of_bytes(ranks)))
 
 
 def test_rare_words_travel_once_in_a_task_and_in_small_rows():
     texts = [" ".join(f"{chr(97 + k % 26)}q{k}z" for k in range(n % 7, 30_000)) for n in range(20)]
     batches = [pa.RecordBatch.from_pydict({"id": [n], "text": [t]}) for n, t in enumerate(texts)]
     rows = [r for b in sketched(iter(batches), {}) for r in b.to_pylist()]
-    rare = [bytes(w) for r in rows for w in r["rare"] or []]
+    rare = [tuple(w) for r in rows for w in r["rare"] or []]
     assert len(rare) > 30_000 and len(rare) == len(set(rare))
     assert max(len(w) for r in rows for w in [sum(r["rare"] or [], [])]) < 2 * bpe._ROW_BYTES
 
@@ -112,10 +112,10 @@ def test_numbers_of_rare_words_begin_again(library, monkeypatch):
     sent = [b for b in sketched(iter(batches), {" w1rd1": b"\1\0\0\0"}) if b.num_rows]
     assert sum(r["first"] == 0 for b in sent for r in b.to_pylist()) > 3
     ids_of = library._core_bpe.encode_single_piece
-    byte_of = {int(n): b for b, n in enumerate(bpe._byte_ids(bpe.load_ranks(PATH)))}
+    byte_of = {int(n): b for b, n in enumerate(bpe._of_bytes(bpe.load_ranks(PATH))[0])}
     folded = [
         b.set_column(
-            3, "found", pa.array([None if r is None else [ids_of(bytes(byte_of[x] for x in w)) for w in r] for r in b["rare"].to_pylist()], bpe._RARE)
+            3, "found", pa.array([None if r is None else [ids_of(bytes(byte_of[x & bpe._LOW] for x in w)) for w in r] for r in b["rare"].to_pylist()], bpe._RARE)
         )
         for b in map(pa.Table.from_batches, ([b] for b in sent))
     ]
