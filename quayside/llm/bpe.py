@@ -26,7 +26,7 @@ import heapq
 import json
 import re
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -348,8 +348,8 @@ def _as_pieces(words: list[bytes], of_bytes: tuple[np.ndarray, np.ndarray]) -> p
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ranks << 32 | starts << 16 | ids[raw]))
 
 
-def _hot_words(rows: DataFrame, pattern: str, ranks: dict[bytes, int], literal: Column, most: int) -> dict[str, bytes]:
-    """The ids of the most frequent words, and of all words that are tokens."""
+def _hot_words(rows: DataFrame, pattern: str, ranks: dict[bytes, int], literal: Column, most: int) -> bytes:
+    """The ids of the most frequent words, as an Arrow stream: the driver makes no object of each word."""
     counts = snapshot(_count_words(rows, pattern), "words")
     of_bytes = _of_bytes(ranks)
 
@@ -361,11 +361,23 @@ def _hot_words(rows: DataFrame, pattern: str, ranks: dict[bytes, int], literal:
     hot = snapshot(_most_frequent(counts, most).select("word"), "hot").repartition(16)  # small, but much work
     hot = hot.mapInArrow(as_bytes, "word string, pieces array<bigint>")
     found = hot.select("word", fold_merges(F.col("pieces"), literal).alias("ids")).toArrow()
-    lists = found["ids"].combine_chunks()
-    ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)).tolist() if len(lists) else []
-    raw = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-    ids = {w: raw[4 * a : 4 * b] for w, a, b in zip(found["word"].to_pylist(), [0, *ends], ends)}
-    for token, rank in ranks.items():
+    stream = pa.BufferOutputStream()
+    with pa.ipc.new_stream(stream, found.schema) as writer:
+        writer.write_table(found)
+    return stream.getvalue().to_pybytes()
+
+
+@lru_cache(1)
+def _hot_map(stream: bytes, tokens: tuple[bytes, ...]) -> dict[str, bytes]:
+    """The ids of the most frequent words, and of all words that are tokens."""
+    found = pa.ipc.open_stream(stream).read_all()
+    ids: dict[str, bytes] = {}
+    for batch in found.to_batches():
+        lists = batch.column("ids")
+        ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+        raw = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
+        ids.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(strings(batch.column("word")), [0, *ends], ends))
+    for rank, token in enumerate(tokens):
         try:
             ids[token.decode()] = rank.to_bytes(4, "little")
         except UnicodeDecodeError:  # a part of a character, so never a word
@@ -393,14 +405,14 @@ def encode(
     literal, of_bytes = _merge_literal(ranks), _of_bytes(ranks)
     hot = broadcast(spark, _hot_words(rows, pattern, ranks, literal, hot_words))
     all_ranks = broadcast(spark, ranks)
-    pieces = broadcast(spark, _pieces(ranks)) if decoded else None
+    pieces = broadcast(spark, tuple(_pieces(ranks)))
     let_go()
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _sketched(batches, splitter(pattern), hot.value, all_ranks, of_bytes)
+        return _sketched(batches, splitter(pattern), _hot_map(hot.value, pieces.value), all_ranks, of_bytes)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _filled(batches, pa.array(pieces.value, pa.binary()) if pieces else None)
+        return _filled(batches, pa.array(pieces.value, pa.binary()) if decoded else None)
 
     # The rows of a task stay in order between the two steps: nothing is shuffled there.
     folded = rows.mapInArrow(freeing(sketch), "id long, sketch binary, first long, rare array<array<bigint>>").select(

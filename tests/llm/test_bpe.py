@@ -126,3 +126,13 @@ def test_numbers_of_rare_words_begin_again(library, monkeypatch):
     for n, t in texts:
         expected_ids[n] = [i for w in bpe.splitter(public_tokenizers.PATTERN)(t or "") for i in ([one] if w == " w1rd1" else ids_of(w.encode()))]
     assert {r["id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in found} == expected_ids
+
+
+def test_the_driver_makes_no_object_of_each_frequent_word(spark):
+    ranks = bpe.load_ranks(PATH)
+    rows = spark.createDataFrame([(1, "qzxv qzxv"), (2, " qzxv")], "id long, text string")
+    stream = bpe._hot_words(rows, public_tokenizers.PATTERN, ranks, bpe._merge_literal(ranks), 10)
+    assert isinstance(stream, bytes)
+    found = bpe._hot_map(stream, tuple(bpe._pieces(ranks)))
+    assert np.frombuffer(found[" qzxv"], "<u4").tolist() == bpe.merge_long(b" qzxv", ranks)
+    assert found[" the"] == ranks[b" the"].to_bytes(4, "little") and "qzxv" not in found
